@@ -70,9 +70,9 @@ def order_profile(lines: DataFrame, chunk_width: int = 1 << 16, chunk_prefix: in
 
     chunks = orders.groupBy(*place).agg(F.count("*").alias("_orders"))
     within_day = W.partitionBy("customer_id", "order_date").orderBy("_chunk").rowsBetween(*upto_previous)
-    chunks = chunks.withColumn("_before_chunk", F.coalesce(F.sum("_orders").over(within_day), F.lit(0)))
+    placed = chunks.withColumn("_before_chunk", F.coalesce(F.sum("_orders").over(within_day), F.lit(0)))
 
-    days = orders.groupBy("customer_id", "order_date").agg(F.count("*").alias("_day_orders"))
+    days = chunks.groupBy("customer_id", "order_date").agg(F.sum("_orders").alias("_day_orders"))
     history = W.partitionBy("customer_id")
     days = days.select(
         "customer_id",
@@ -87,7 +87,7 @@ def order_profile(lines: DataFrame, chunk_width: int = 1 << 16, chunk_prefix: in
     in_chunk = F.row_number().over(W.partitionBy(*place).orderBy("order_id"))
     return (
         orders.withColumn("_in_chunk", in_chunk)
-        .join(chunks.join(days, ["customer_id", "order_date"]), place)
+        .join(placed.join(days, ["customer_id", "order_date"]), place)
         .select(
             "customer_id",
             "order_id",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ledgerline.functions.keys import row_digest
 from ledgerline.schemas import (
-    CUSTOMER_COLUMNS, DECIMAL_LIMITS, ITEM_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS, SUMMARY_COLUMNS,
+    CUSTOMER_COLUMNS, DECIMAL_LIMITS, ID_COLUMNS, ITEM_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS, SUMMARY_COLUMNS,
 )
 
 
@@ -22,29 +22,34 @@ def first_per_key(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -
     return ranked.where("_position = 1").select(*columns)
 
 
+def keyed(lines: DataFrame) -> DataFrame:
+    """Lines that can be loaded: the key columns of all tables are required."""
+    return lines.dropna(subset=list(ID_COLUMNS))
+
+
 def customers(lines: DataFrame) -> DataFrame:
-    return first_per_key(lines, CUSTOMER_COLUMNS, ["order_date", "order_id", "product_id"])
+    return first_per_key(keyed(lines), CUSTOMER_COLUMNS, ["order_date", "order_id", "product_id"])
 
 
 def customers_preferring_names(lines: DataFrame, guest: str = "Guest Customer") -> DataFrame:
     """As ``customers``, but a line with a real name wins over an earlier guest line."""
-    marked = lines.withColumn("_guest", F.col("customer_name") == guest)
+    marked = keyed(lines).withColumn("_guest", F.col("customer_name") == guest)
     return first_per_key(marked, CUSTOMER_COLUMNS, ["_guest", "order_date", "order_id", "product_id"])
 
 
 def products(lines: DataFrame) -> DataFrame:
-    return first_per_key(lines, PRODUCT_COLUMNS, ["order_date", "order_id"])
+    return first_per_key(keyed(lines), PRODUCT_COLUMNS, ["order_date", "order_id"])
 
 
 def order_headers(lines: DataFrame) -> DataFrame:
     """One header per order; dates lose any time of day."""
-    dated = lines.withColumns({c: F.col(c).cast("date") for c in ("order_date", "ship_date")})
+    dated = keyed(lines).withColumns({c: F.col(c).cast("date") for c in ("order_date", "ship_date")})
     return first_per_key(dated, ORDER_COLUMNS, ["product_id", "order_date", "ship_date"])
 
 
 def order_items(lines: DataFrame) -> DataFrame:
     """Line facts; a missing discount takes the column default of zero, amounts become decimals."""
-    typed = lines.withColumns(
+    typed = keyed(lines).withColumns(
         {c: F.col(c).cast(f"decimal({p},{s})") for c, (p, s) in DECIMAL_LIMITS.items()}
     )
     return typed.withColumn(

@@ -39,7 +39,7 @@ def exact_quantiles(
     """(keys, prob, quantile) with linear interpolation between neighbouring ranks.
 
     ``counted`` has the keys, a double ``value`` (NaN is ignored) and its frequency ``cnt``. ``keys``
-    must not be empty; the rows in flight besides the data are two per key and probability.
+    must not be empty. Besides the data only one row per key and probability is in flight.
     """
     keys = list(keys)
     known = ~F.isnan("value")
@@ -48,66 +48,71 @@ def exact_quantiles(
         F.min(F.when(known, F.col("value"))).alias("lo"),
         F.max(F.when(known, F.col("value"))).alias("hi"),
     )
-    wanted = []
-    for p in probs:
-        spot = (F.col("n") - 1) * F.lit(float(p))
-        wanted.append(
-            F.struct(
-                F.lit(float(p)).alias("prob"),
-                F.lit(0).alias("side"),
-                F.floor(spot).alias("rank"),
-                (spot - F.floor(spot)).alias("weight"),
-            )
-        )
-        wanted.append(
-            F.struct(
-                F.lit(float(p)).alias("prob"),
-                F.lit(1).alias("side"),
-                F.least(F.floor(spot) + 1, F.col("n") - 1).alias("rank"),
-                (spot - F.floor(spot)).alias("weight"),
-            )
-        )
-    targets = limits.select(*keys, "lo", "hi", F.inline(F.array(*wanted)))
-
-    width = F.col("hi") - F.col("lo")
-    equal_bin = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1)))
-    for step in range(rounds + 1):
-        by_value = step == rounds
-        targets = _narrow(counted, targets, keys, F.col("value") if by_value else F.coalesce(equal_bin, F.lit(0)))
-
-    low = F.max(F.when(F.col("side") == 0, F.col("lo")))
-    high = F.max(F.when(F.col("side") == 1, F.col("lo")))
-    return targets.groupBy(*keys, "prob").agg(
-        (low + (high - low) * F.max("weight")).alias("quantile")
+    whole = _binned(counted, _few(limits, keys), [*keys, "n"], bins)
+    spots = [((F.col("n") - 1) * F.lit(float(p)), float(p)) for p in probs]
+    wanted = F.array(
+        *[
+            F.struct(F.lit(p).alias("prob"), F.floor(spot).alias("rank"), (spot - F.floor(spot)).alias("weight"))
+            for spot, p in spots
+        ]
     )
+    targets = _hit(whole.select("*", F.inline(wanted)).withColumn("after", F.lit(None).cast("double")), keys)
+    for _ in range(rounds - 1):
+        targets = _hit(_binned(counted, _few(targets, keys), [*keys, *_TARGET], bins), keys)
+
+    # What is left of each interval is counted value by value.
+    last = _hit(_binned(counted, _few(targets, keys), [*keys, *_TARGET], None), keys)
+    exhausted = F.col("rank") + 1 >= F.col("left")
+    upper = F.when(exhausted, F.coalesce("after", "lo")).otherwise(F.col("lo"))
+    return last.select(*keys, "prob", (F.col("lo") + (upper - F.col("lo")) * F.col("weight")).alias("quantile"))
+
+
+#: State of a search: the rank inside the interval, and the smallest value above the interval.
+_TARGET = ["prob", "rank", "weight", "after"]
 
 
-def _narrow(counted: DataFrame, targets: DataFrame, keys: list[str], bin_of) -> DataFrame:
-    """One round: count per bin of each open interval and keep the bin that holds the rank."""
-    spans = targets.select(*keys, "lo", "hi").distinct()
-    if keys == ["metric"]:
-        # One row per listed column, probability and side: a fixed size.
-        spans = F.broadcast(spans)
-    span = [*keys, "lo", "hi"]
+def _few(frame: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per listed column and probability is a fixed size and is broadcast; with keys taken from
+    the data the size is not known here and the planner decides by statistics."""
+    return F.broadcast(frame) if keys == ["metric"] else frame
+
+
+def _binned(counted: DataFrame, intervals: DataFrame, group: list[str], bins: int | None) -> DataFrame:
+    """Rows per bin of every interval with the running count and the next value above each bin."""
+    width = F.col("hi") - F.col("lo")
+    if bins is None:
+        position = F.col("value")
+    else:
+        place = F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1))
+        position = F.coalesce(F.when(width > 0, place), F.lit(0))
+    keys = [k for k in group if k in counted.columns]
     filled = (
-        counted.join(spans, keys)
+        counted.join(intervals, keys)
         .where(F.col("value").between(F.col("lo"), F.col("hi")))
-        .groupBy(*span, bin_of.alias("bin"))
-        .agg(F.sum("cnt").alias("cnt"), F.min("value").alias("bin_lo"), F.max("value").alias("bin_hi"))
+        .groupBy(*group, "lo", "hi", position.alias("bin"))
+        .agg(F.sum("cnt").alias("size"), F.min("value").alias("bin_lo"), F.max("value").alias("bin_hi"))
     )
-    upto = F.sum("cnt").over(W.partitionBy(*span).orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranked = filled.withColumn("upto", upto)
-    found = targets.join(ranked, span).where(
-        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("cnt"))
+    in_order = W.partitionBy(*group, "lo", "hi").orderBy("bin")
+    return filled.withColumns(
+        {
+            "upto": F.sum("size").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)),
+            "following": F.lead("bin_lo").over(in_order),
+        }
     )
-    return found.select(
+
+
+def _hit(binned: DataFrame, keys: list[str]) -> DataFrame:
+    """The bin that holds the wanted rank becomes the next interval."""
+    before = F.col("upto") - F.col("size")
+    return binned.where((F.col("rank") >= before) & (F.col("rank") < F.col("upto"))).select(
         *keys,
         F.col("bin_lo").alias("lo"),
         F.col("bin_hi").alias("hi"),
         "prob",
-        "side",
-        (F.col("rank") - (F.col("upto") - F.col("cnt"))).alias("rank"),
+        (F.col("rank") - before).alias("rank"),
+        F.col("size").alias("left"),
         "weight",
+        F.coalesce("following", "after").alias("after"),
     )
 
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerline.functions.numbers import half_even, ratio
+from ledgerline.session import cut_lineage
 from ledgerline.sources.literals import segment_action_table, segment_label_table
 
 # Cluster counts tried, starts per count, seed, iterations.
@@ -66,28 +69,33 @@ class ClusterFit:
     silhouette: float
 
 
-def best_kmeans(vectors: DataFrame, clusters: int, starts: int = STARTS) -> KMeansModel:
-    """The model with the lowest cost out of several seeded starts."""
-    fits = [
-        KMeans(k=clusters, seed=SEED + i, maxIter=MAX_ITERATIONS, featuresCol="features", predictionCol="cluster").fit(vectors)
-        for i in range(starts)
-    ]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def _fit(vectors: DataFrame, clusters: int, start: int) -> KMeansModel:
+    means = KMeans(
+        k=clusters, seed=SEED + start, maxIter=MAX_ITERATIONS, featuresCol="features", predictionCol="cluster"
+    )
+    return means.fit(vectors)
 
 
 def sweep_clusters(
-    scaled: DataFrame, clusters: Iterable[int] = CLUSTER_RANGE, starts: int = STARTS
+    scaled: DataFrame, clusters: Iterable[int] = CLUSTER_RANGE, starts: int = STARTS, parallelism: int = 8
 ) -> list[ClusterFit]:
-    """Fit every cluster count; only costs, scores and centres reach the driver."""
-    vectors = _vectors(scaled).persist()
+    """For every cluster count the model with the lowest cost out of several seeded starts.
+
+    The fits are independent jobs over one cached frame and are submitted side by side; only costs,
+    scores and centres reach the driver.
+    """
+    vectors = cut_lineage(_vectors(scaled)).persist()
     evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
+    runs = [(k, start) for k in clusters for start in range(starts)]
     try:
+        vectors.count()
+        with ThreadPool(parallelism) as pool:
+            fit = inheritable_thread_target(vectors.sparkSession)(lambda run: _fit(vectors, *run))
+            models = dict(zip(runs, pool.map(fit, runs, chunksize=1)))
         fits = []
-        for k in clusters:
-            model = best_kmeans(vectors, k, starts)
-            fits.append(
-                ClusterFit(k, model, model.summary.trainingCost, evaluator.evaluate(model.transform(vectors)))
-            )
+        for k in dict.fromkeys(k for k, _ in runs):
+            model = min((models[k, s] for s in range(starts)), key=lambda m: m.summary.trainingCost)
+            fits.append(ClusterFit(k, model, model.summary.trainingCost, evaluator.evaluate(model.transform(vectors))))
         return fits
     finally:
         vectors.unpersist()
@@ -114,9 +122,14 @@ def _average_rank(column: str, ascending: bool) -> Column:
     return F.rank().over(W.orderBy(order)) + (ties - 1) / F.lit(2.0)
 
 
+def _exact_mean(column: str) -> Column:
+    """Mean of amounts with two decimals or whole numbers, independent of the order of the rows."""
+    return ratio(F.sum(F.col(column).cast("decimal(28,2)")), F.count(column))
+
+
 def cluster_profile(clustered: DataFrame) -> DataFrame:
     """Mean recency, frequency and monetary value per cluster with ranks and the segment name."""
-    profile = clustered.groupBy("cluster").agg(*[ratio(F.sum(c), F.count(c)).alias(c) for c in RFM])
+    profile = clustered.groupBy("cluster").agg(*[_exact_mean(c).alias(c) for c in RFM])
     return name_segments(profile)
 
 
@@ -154,7 +167,7 @@ def label_customers(clustered: DataFrame) -> DataFrame:
 def segment_sizes(labelled: DataFrame) -> DataFrame:
     """Customers and mean values per segment with the recommended action."""
     sizes = labelled.groupBy("segment").agg(
-        F.count("*").alias("customers"), *[half_even(ratio(F.sum(c), F.count(c)), 1).alias(c) for c in RFM]
+        F.count("*").alias("customers"), *[half_even(_exact_mean(c), 1).alias(c) for c in RFM]
     )
     actions = F.broadcast(segment_action_table(labelled.sparkSession))
     return sizes.join(actions, "segment", "left").orderBy(F.desc("customers"), "segment")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerline.functions.keys import row_digest
 from ledgerline.functions.labels import skew_label
@@ -34,14 +34,30 @@ def _weighted_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
 
 
 def describe(
-    df: DataFrame, columns: Sequence[str] = DESCRIBED_COLUMNS, precount: bool = True, digits: int = 2
+    df: DataFrame,
+    columns: Sequence[str] = DESCRIBED_COLUMNS,
+    precount: bool = True,
+    digits: int | None = 2,
+    scale: int | None = 2,
 ) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum, one row per column."""
+    """Count, mean, sample deviation, minimum, quartiles and maximum, one row per column.
+
+    Values of at most ``scale`` decimals are summed as decimals, so the mean does not depend on the
+    order of the rows; ``scale=None`` averages doubles. ``digits=None`` leaves the figures unrounded.
+    """
+
+    def mean(c: str) -> Column:
+        return F.avg(c) if scale is None else ratio(F.sum(F.col(c).cast(f"decimal(28,{scale})")), F.count(c))
+
+    def shown(c: str | Column, name: str) -> Column:
+        column = F.col(c) if isinstance(c, str) else c
+        return (column if digits is None else half_even(column, digits)).alias(name)
+
     wide = _numeric(df, columns).agg(
         *[
             F.struct(
                 F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
+                mean(c).alias("mean"),
                 F.stddev_samp(c).alias("std"),
                 F.min(c).alias("min"),
                 F.max(c).alias("max"),
@@ -60,9 +76,9 @@ def describe(
     return joined.select(
         "metric",
         F.col("m.count").alias("count"),
-        *[half_even(F.col(f"m.{c}"), digits).alias(c) for c in ("mean", "std", "min")],
-        *[half_even(c, digits).alias(c) for c in ("p25", "p50", "p75")],
-        half_even(F.col("m.max"), digits).alias("max"),
+        *[shown(f"m.{c}", c) for c in ("mean", "std", "min")],
+        *[shown(c, c) for c in ("p25", "p50", "p75")],
+        shown("m.max", "max"),
     )
 
 

@@ -189,7 +189,8 @@ def summary(spark, directory):
 
 @query
 def feature_table(spark, directory):
-    return plain(features.feature_table(summary(spark, directory)))
+    """Over the joined view of the stored tables, where an order has one customer and one date."""
+    return plain(features.feature_table(cleaning.repair_ship_dates(lines(spark, directory))))
 
 
 @query
@@ -366,9 +367,8 @@ def audit_lengths(spark, directory):
 
 @query
 def describe_numeric(spark, directory):
-    return rounded(
-        statistics.describe(explored(spark, directory), digits=9), 6, "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+    described = statistics.describe(explored(spark, directory), digits=None)
+    return rounded(described, 6, "std", "min", "p25", "p50", "p75", "max")
 
 
 @query
@@ -450,7 +450,7 @@ def rfm_scaled(spark, directory):
 
 @query
 def cluster_profile(spark, directory):
-    return rounded(segmentation.cluster_profile(_fixed_clusters(spark, directory)), 6, *segmentation.RFM)
+    return segmentation.cluster_profile(_fixed_clusters(spark, directory))
 
 
 @query

@@ -173,7 +173,7 @@ RFM = """last_day_seen AS (SELECT CAST(max(order_date) + INTERVAL 1 DAY AS DATE)
 PROFILE = """clustered AS (SELECT *, CAST(customer_id % 4 AS INTEGER) AS cluster FROM rfm
 ), means AS (
   SELECT cluster, CAST(sum(recency_days) AS DOUBLE) / count(*) AS recency_days,
-         CAST(sum(frequency) AS DOUBLE) / count(*) AS frequency, sum(monetary) / count(*) AS monetary
+         CAST(sum(frequency) AS DOUBLE) / count(*) AS frequency, CAST(sum(CAST(monetary AS DECIMAL(28,2))) AS DOUBLE) / count(*) AS monetary
   FROM clustered GROUP BY cluster
 ), ranked AS (
   SELECT *, rank() OVER (ORDER BY recency_days) + (count(*) OVER (PARTITION BY recency_days) - 1) / 2e0 AS recency_rank,
@@ -421,7 +421,7 @@ FROM (
   SELECT *, max(customer_total_orders_to_date) OVER (PARTITION BY customer_id) AS customer_lifetime_order_count FROM (
     SELECT *, {TIME_FEATURES}, CAST(date_diff('day', order_date, ship_date) AS INTEGER) AS days_to_ship, {FINANCIALS},
            {CUSTOMER_WINDOWS}, sum(sales) OVER (PARTITION BY order_id) AS order_total_sales
-    FROM summary))""", *tables),
+    FROM repaired))""", LINES, REPAIRED),
         "seasonal_weight": q(
             """SELECT order_date, CAST(w AS DOUBLE) AS seasonal_weight, CAST(total_sales AS DOUBLE) AS total_sales,
   round(CAST(total_sales AS DOUBLE) / CAST(w AS DOUBLE), 6) AS deseasonalized_sales
@@ -507,7 +507,7 @@ UNION ALL SELECT 'discount between 0 and 1', count(*) FILTER (NOT discount BETWE
         "audit_lengths": q(_length_checks(), LINES, DIRTY),
         # Exploratory statistics
         "describe_numeric": q(_per_column(
-            """SELECT '{c}' AS metric, count({v}) AS count, round(avg({v}), 6) AS mean, round(stddev_samp({v}), 6) AS std,
+            """SELECT '{c}' AS metric, count({v}) AS count, CAST(sum(CAST({c} AS DECIMAL(28,2))) AS DOUBLE) / count({v}) AS mean, round(stddev_samp({v}), 6) AS std,
   round(min({v}), 6) AS min, round(quantile_cont({v}, 0.25), 6) AS p25, round(quantile_cont({v}, 0.5), 6) AS p50,
   round(quantile_cont({v}, 0.75), 6) AS p75, round(max({v}), 6) AS max FROM {source}"""), *eda),
         "skew_kurtosis": q(
@@ -540,15 +540,14 @@ ORDER BY md5(concat_ws('|', CAST(order_id AS VARCHAR), CAST(product_id AS VARCHA
                 f"round((ln(1 + {c}) - (SELECT avg(ln(1 + {c})) FROM rfm)) / (SELECT stddev_pop(ln(1 + {c})) FROM rfm), 6) AS {c}_z"
                 for c in ("recency_days", "frequency", "monetary")) + " FROM rfm", LINES, RFM),
         "cluster_profile": q(
-            """SELECT cluster, round(recency_days, 6) AS recency_days, round(frequency, 6) AS frequency,
-  round(monetary, 6) AS monetary, recency_rank, frequency_rank, monetary_rank, composite_rank, segment FROM profile""",
+            """SELECT cluster, recency_days, frequency, monetary, recency_rank, frequency_rank, monetary_rank, composite_rank, segment FROM profile""",
             LINES, RFM, PROFILE),
         "segment_labels": q(
             """SELECT customer_id, c.recency_days, c.frequency, c.monetary, cluster, segment
 FROM clustered c JOIN (SELECT cluster, segment FROM profile) USING (cluster)""", LINES, RFM, PROFILE),
         "segment_sizes": q(
             f"""SELECT segment, count(*) AS customers, {half_even('CAST(sum(c.recency_days) AS DOUBLE) / count(*)', 1)} AS recency_days,
-  {half_even('CAST(sum(c.frequency) AS DOUBLE) / count(*)', 1)} AS frequency, {half_even('sum(c.monetary) / count(*)', 1)} AS monetary,
+  {half_even('CAST(sum(c.frequency) AS DOUBLE) / count(*)', 1)} AS frequency, {half_even('CAST(sum(CAST(c.monetary AS DECIMAL(28,2))) AS DOUBLE) / count(*)', 1)} AS monetary,
   CASE segment WHEN 'Champions' THEN 'reward loyalty and offer new products first'
     WHEN 'Loyal Customers' THEN 'offer upgrades and complementary products'
     WHEN 'At Risk' THEN 'win back before the customer leaves' ELSE 're-engage at low cost by mail' END AS action

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the library relies on. All of them can be overridden by the cluster.
 RECOMMENDED_CONF = {
@@ -42,3 +43,20 @@ def local_session(app_name: str = "ledgerline-local", cores: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The frame read back from a reliable checkpoint, for data that iterative jobs read again and again.
+
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session without
+    one gets a temporary folder; on a cluster a machine's own folder would not survive that machine.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+            folder = tempfile.mkdtemp(prefix="ledgerline-checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
