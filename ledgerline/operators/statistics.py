@@ -84,32 +84,38 @@ def describe(
 
 def shape_moments(df: DataFrame, columns: Sequence[str] = DESCRIBED_COLUMNS, digits: int = 2) -> DataFrame:
     """Population skewness and excess kurtosis with the verbal reading of the skewness."""
-    wide = _numeric(df, columns).agg(
-        *[F.struct(F.skewness(c).alias("skewness"), F.kurtosis(c).alias("kurtosis")).alias(c) for c in columns]
-    )
-    rows = wide.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("m")) for c in columns]))
+    values = unpivot_numbers(df, columns)
+    moments = values.groupBy("metric").agg(
+        F.skewness("value").alias("skewness"), F.kurtosis("value").alias("kurtosis")
     )
-    return rows.select(
+    return moments.select(
         "metric",
-        half_even("m.skewness", digits).alias("skewness"),
-        half_even("m.kurtosis", digits).alias("kurtosis"),
-        skew_label("m.skewness").alias("shape"),
+        half_even("skewness", digits).alias("skewness"),
+        half_even("kurtosis", digits).alias("kurtosis"),
+        skew_label("skewness").alias("shape"),
     )
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = DESCRIBED_COLUMNS, digits: int = 2) -> DataFrame:
-    """Pearson matrix: every pair once in a single aggregation, mirrored into rows."""
-    wide = _numeric(df, columns).agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in combinations(columns, 2)])
+    """Pearson matrix in one pass: every unordered pair of columns is one group, then mirrored.
 
-    def cell(a: str, b: str):
-        if a == b:
-            return F.lit(1.0)
-        first, second = sorted((a, b), key=list(columns).index)
-        return half_even(F.col(f"`{first}|{second}`"), digits)
-
-    rows = [F.struct(F.lit(a).alias("metric"), *[cell(a, b).alias(b) for b in columns]) for a in columns]
-    return wide.select(F.inline(F.array(*rows)))
+    Rows are fanned out to the pairs and aggregated at once in the same task. One aggregate per pair side
+    by side would outgrow generated code.
+    """
+    pairs = list(combinations(columns, 2))
+    cells = [part for a, b in pairs for part in (F.lit(a), F.lit(b), F.col(a), F.col(b))]
+    fanned = _numeric(df, columns).select(F.stack(F.lit(len(pairs)), *cells).alias("a", "b", "x", "y"))
+    values = fanned.groupBy("a", "b").agg(half_even(F.corr("x", "y"), digits).alias("value"))
+    sides = F.array(
+        F.struct(F.col("a").alias("metric"), F.col("b").alias("other"), "value"),
+        F.struct(F.col("b").alias("metric"), F.col("a").alias("other"), "value"),
+    )
+    return (
+        values.select(F.inline(sides))
+        .groupBy("metric")
+        .agg(*[F.max(F.when(F.col("other") == c, F.col("value"))).alias(c) for c in columns])
+        .select("metric", *[F.when(F.col("metric") == c, F.lit(1.0)).otherwise(F.col(c)).alias(c) for c in columns])
+    )
 
 
 def correlation_extremes(matrix: DataFrame, target: str = "sales") -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(14, 2)
+# Eighteen digits at most in every product below keep decimal arithmetic on long integers.
+MONEY = T.DecimalType(12, 2)
 RATE = T.DecimalType(4, 2)
 
 # Column names and their order in the flat order-line file.
@@ -37,6 +38,25 @@ def _order_line_type(column: str) -> T.DataType:
 #: Layout of a cleaned file.
 ORDER_LINE_SCHEMA = T.StructType([T.StructField(c, _order_line_type(c)) for c in ORDER_LINE_COLUMNS])
 
+#: Star-schema input tables. Declared, so that opening a table reads no file footers.
+STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+}
+
 # Columns of the normalized tables, in order.
 CUSTOMER_COLUMNS = ("customer_id", "customer_name", "segment", "country", "city", "state", "region")
 PRODUCT_COLUMNS = ("product_id", "product_name", "category", "sub_category")
