@@ -75,17 +75,16 @@ def association_rules(
     counts = item_counts(items)
     count_a = counts.select(F.col("item").alias("item_a"), F.col("order_count").alias("orders_a"))
     count_b = counts.select(F.col("item").alias("item_b"), F.col("order_count").alias("orders_b"))
+    counted = pair_counts(items, min_support).join(count_a, "item_a").join(count_b, "item_b")
+    return measure_rules(counted, total, min_lift)
+
+
+def measure_rules(counted: DataFrame, total: Column, min_lift: float = MIN_LIFT) -> DataFrame:
+    """Support, confidences and lift of counted pairs (item_a, item_b, co_occurrence_count, orders_a, orders_b)."""
     together = F.col("co_occurrence_count")
     support = together / total
     lift = support / ((F.col("orders_a") / total) * (F.col("orders_b") / total))
-    rules = (
-        pair_counts(items, min_support)
-        .join(count_a, "item_a")
-        .join(count_b, "item_b")
-        .withColumn("_lift", lift)
-        .where(F.col("_lift") >= min_lift)
-    )
-    return rules.select(
+    return counted.withColumn("_lift", lift).where(F.col("_lift") >= min_lift).select(
         F.col("item_a").alias("product_a"),
         F.col("item_b").alias("product_b"),
         together,
