@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerline.functions.numbers import half_even
+from ledgerline.operators.joins import join_per_key
 from ledgerline.operators.normalize import first_per_key
 
 # Rule thresholds, recommendations per product, and what counts as thin evidence.
@@ -55,7 +56,7 @@ def pair_counts(items: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame
     Baskets are cut to frequent items before they are paired, and each task sums its pairs before the
     shuffle. Neither changes a result: a pair is never more frequent than its rarer item.
     """
-    kept = items.join(_frequent(items, min_support).select("item"), "item", "left_semi")
+    kept = join_per_key(items, _frequent(items, min_support).select("item"), ["item"], "left_semi")
     left = kept.select("order_id", F.col("item").alias("item_a"))
     right = kept.select("order_id", F.col("item").alias("item_b"))
     pairs = left.join(right, "order_id").where(F.col("item_a") < F.col("item_b"))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from ledgerline.functions import calendar as cal
 from ledgerline.functions.labels import discount_bucket, order_size
 from ledgerline.functions.numbers import half_even, percent, ratio
+from ledgerline.operators.joins import join_per_key
 
 #: Columns that tell a line about later orders of its customer: never use them to predict.
 LEAKY_COLUMNS = ("customer_lifetime_order_count", "is_repeat_customer")
@@ -132,7 +133,7 @@ def add_customer_features(df: DataFrame) -> DataFrame:
 def add_order_features(df: DataFrame) -> DataFrame:
     """Order total on every line and the size class of the order."""
     totals = df.groupBy("order_id").agg(F.sum("sales").alias("order_total_sales"))
-    joined = df.join(totals, "order_id", "left")
+    joined = join_per_key(df, totals, ["order_id"], "left")
     return joined.select(*df.columns, "order_total_sales", order_size("order_total_sales").alias("order_size_category"))
 
 

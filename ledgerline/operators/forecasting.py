@@ -132,12 +132,16 @@ def trend_lines(split: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def trend_predictions(split: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Trend forecast of the held-out weeks of every series."""
+def trend_predictions(split: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Trend forecast of the held-out weeks of every series, or of the one series without keys."""
     lines = trend_lines(split, keys)
     test = split.where("NOT is_train")
-    line: Column = F.col("intercept") + F.col("slope") * F.col("time_index")
-    return test.join(lines, list(keys)).withColumn("predicted", line)
+    if keys:
+        test, slope, intercept = test.join(lines, list(keys)), F.col("slope"), F.col("intercept")
+    else:
+        line = lines.select(F.struct("slope", "intercept")).scalar()
+        slope, intercept = line["slope"], line["intercept"]
+    return test.withColumn("predicted", intercept + slope * F.col("time_index"))
 
 
 def series_forecasts(split: DataFrame, keys: Sequence[str], features: Sequence[str] = WEEK_FEATURES) -> DataFrame:

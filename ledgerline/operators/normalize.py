@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ledgerline.functions.keys import row_digest
+from ledgerline.operators.joins import join_per_key
 from ledgerline.schemas import (
     CUSTOMER_COLUMNS, DECIMAL_LIMITS, ID_COLUMNS, ITEM_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS, SUMMARY_COLUMNS,
 )
@@ -83,5 +84,7 @@ def with_load_time(df: DataFrame) -> DataFrame:
 def order_summary(items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Inner star join of the four tables. Sizes choose the strategy: small dimensions are broadcast by
     their statistics, large ones are sort-merged with skewed partitions split."""
-    joined = items.join(orders, "order_id").join(customers, "customer_id").join(products, "product_id")
+    joined = items
+    for table, key in ((orders, "order_id"), (customers, "customer_id"), (products, "product_id")):
+        joined = join_per_key(joined, table, [key])
     return joined.select(*[c for c in SUMMARY_COLUMNS if c in joined.columns])

@@ -34,21 +34,28 @@ def value_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    counted: DataFrame, keys: Sequence[str], probs: Sequence[float], bins: int = 4096, rounds: int = 2
+    counted: DataFrame,
+    keys: Sequence[str],
+    probs: Sequence[float],
+    bins: int = 4096,
+    rounds: int = 2,
+    small: bool | None = None,
 ) -> DataFrame:
     """(keys, prob, quantile) with linear interpolation between neighbouring ranks.
 
     ``counted`` has the keys, a double ``value`` (NaN is ignored) and its frequency ``cnt``. ``keys``
-    must not be empty. Besides the data only one row per key and probability is in flight.
+    must not be empty. Besides the data only one row per key and probability is in flight; ``small``
+    tells that these fit a broadcast and is found out when not given.
     """
     keys = list(keys)
+    small = few_groups(counted, keys) if small is None else small
     known = ~F.isnan("value")
     limits = counted.groupBy(*keys).agg(
         F.sum(F.when(known, F.col("cnt"))).alias("n"),
         F.min(F.when(known, F.col("value"))).alias("lo"),
         F.max(F.when(known, F.col("value"))).alias("hi"),
     )
-    whole = _binned(counted, _few(limits, keys), [*keys, "n"], bins)
+    whole = _binned(counted, per_group(limits, small), [*keys, "n"], bins)
     spots = [((F.col("n") - 1) * F.lit(float(p)), float(p)) for p in probs]
     wanted = F.array(
         *[
@@ -58,10 +65,10 @@ def exact_quantiles(
     )
     targets = _hit(whole.select("*", F.inline(wanted)).withColumn("after", F.lit(None).cast("double")), keys)
     for _ in range(rounds - 1):
-        targets = _hit(_binned(counted, _few(targets, keys), [*keys, *_TARGET], bins), keys)
+        targets = _hit(_binned(counted, per_group(targets, small), [*keys, *_TARGET], bins), keys)
 
     # What is left of each interval is counted value by value.
-    last = _hit(_binned(counted, _few(targets, keys), [*keys, *_TARGET], None), keys)
+    last = _hit(_binned(counted, per_group(targets, small), [*keys, *_TARGET], None), keys)
     exhausted = F.col("rank") + 1 >= F.col("left")
     upper = F.when(exhausted, F.coalesce("after", "lo")).otherwise(F.col("lo"))
     return last.select(*keys, "prob", (F.col("lo") + (upper - F.col("lo")) * F.col("weight")).alias("quantile"))
@@ -71,10 +78,19 @@ def exact_quantiles(
 _TARGET = ["prob", "rank", "weight", "after"]
 
 
-def _few(frame: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per listed column and probability is a fixed size and is broadcast; with keys taken from
-    the data the size is not known here and the planner decides by statistics."""
-    return F.broadcast(frame) if keys == ["metric"] else frame
+#: Most groups whose per-group rows are broadcast.
+BROADCAST_GROUPS = 10_000
+
+
+def few_groups(counted: DataFrame, keys: Sequence[str], most: int = BROADCAST_GROUPS) -> bool:
+    """Whether rows kept per group are few enough to broadcast: without further keys there is one group
+    per listed column, otherwise the groups are counted."""
+    return list(keys) == ["metric"] or counted.select(*keys).distinct().limit(most + 1).count() <= most
+
+
+def per_group(frame: DataFrame, small: bool) -> DataFrame:
+    """Small frames are broadcast; others are joined by shuffle, with skewed partitions split."""
+    return F.broadcast(frame) if small else frame
 
 
 def _binned(counted: DataFrame, intervals: DataFrame, group: list[str], bins: int | None) -> DataFrame:

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ledgerline.functions.keys import row_digest
 from ledgerline.functions.labels import skew_label
 from ledgerline.functions.numbers import half_even, ratio
-from ledgerline.operators.quantiles import exact_quantiles, unpivot_numbers, value_counts, widen_quantiles
+from ledgerline.operators.quantiles import (
+    exact_quantiles, few_groups, per_group, unpivot_numbers, value_counts, widen_quantiles,
+)
 from ledgerline.schemas import CHARTED_COLUMNS, DESCRIBED_COLUMNS
 
 # Histogram bins, density grid, sample size, whisker length in interquartile ranges.
@@ -183,13 +185,14 @@ def box_summary(
     """Quartiles, whiskers snapped to the data and the values beyond them, per column and key."""
     group = [*keys, "metric"]
     values = _weighted_values(df, columns, keys, precount)
+    small = few_groups(values, group)
     quartiles = widen_quantiles(
-        exact_quantiles(values, group, [0.25, 0.5, 0.75]), group, {0.25: "q1", 0.5: "median", 0.75: "q3"}
+        exact_quantiles(values, group, [0.25, 0.5, 0.75], small=small), group, {0.25: "q1", 0.5: "median", 0.75: "q3"}
     )
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        values.join(quartiles, group)
+        values.join(per_group(quartiles, small), group)
         .groupBy(*group, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),

@@ -25,7 +25,8 @@ def _path(output: str, *parts: str) -> str:
 def clean(spark: SparkSession, raw_csv: str, output: str) -> None:
     raw = read_raw_csv(spark, raw_csv)
     write_parquet(cleaning.clean(raw), _path(output, "clean"))
-    write_parquet(reports.cleaning_report(raw), _path(output, "reports", "cleaning"))
+    stored = read_parquet(spark, _path(output, "clean"), produced_by="clean")
+    write_parquet(reports.cleaning_report(raw, stored), _path(output, "reports", "cleaning"))
     typed = cleaning.convert_types(raw)
     write_parquet(cleaning.conversion_audit(raw, typed), _path(output, "reports", "conversions"))
 

@@ -42,16 +42,21 @@ def kpi_report(lines: DataFrame, top: int = 10, months: int = 6) -> DataFrame:
     )
 
 
-def cleaning_report(raw: DataFrame) -> DataFrame:
+def cleaning_report(raw: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Figures of a cleaning run; outliers are searched in the stored clean table when there is one."""
     unique = cleaning.remove_copies(cleaning.fill_missing(raw))
     typed = cleaning.convert_types(unique)
-    clean = typed.transform(cleaning.repair_ship_dates).transform(cleaning.drop_invalid_amounts)
+    if stored is None:
+        clean = typed.transform(cleaning.repair_ship_dates).transform(cleaning.drop_invalid_amounts)
+        fences = cleaning.iqr_fences(clean)
+    else:
+        fences = cleaning.iqr_fences(stored, precount=False)
     return stack(
         [
             one_row_section(cleaning.shape_audit(raw), "shape", ["rows_before", "copies_removed", "rows_after"]),
             section(cleaning.null_profile(raw), "missing", "column_name", "null_count"),
             section(cleaning.rule_violations(typed), "rules", "rule", "violations"),
-            section(cleaning.iqr_fences(clean), "outliers", "metric", "outliers"),
+            section(fences, "outliers", "metric", "outliers"),
         ]
     )
 

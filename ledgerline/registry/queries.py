@@ -594,8 +594,7 @@ def series_trend_forecast(spark, directory):
 
 @query
 def forecast_metrics(spark, directory):
-    split = _split(spark, directory).withColumn("series", F.lit(1))
-    return forecasting.error_metrics(forecasting.trend_predictions(split, ["series"]), keys=[])
+    return forecasting.error_metrics(forecasting.trend_predictions(_split(spark, directory)), keys=[])
 
 
 @query
