@@ -185,7 +185,8 @@ def box_summary(
     """Quartiles, whiskers snapped to the data and the values beyond them, per column and key."""
     group = [*keys, "metric"]
     values = _weighted_values(df, columns, keys, precount)
-    small = few_groups(values, group)
+    # Counted on the input, where only the key columns are read, not on the counted values.
+    small = not keys or few_groups(df, keys)
     quartiles = widen_quantiles(
         exact_quantiles(values, group, [0.25, 0.5, 0.75], small=small), group, {0.25: "q1", 0.5: "median", 0.75: "q3"}
     )
