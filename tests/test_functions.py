@@ -4,7 +4,6 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from hypothesis import given, settings, strategies as st
 
 from ledgerline.functions import calendar as cal, keys, labels
 from ledgerline.functions.numbers import half_even, ratio

@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 
 from conftest import rows
-from pyspark.sql import functions as F
 
 from ledgerline.operators import audits, normalize
 from ledgerline.schemas import ORDER_LINE_COLUMNS

@@ -7,10 +7,9 @@ import re
 from contextlib import contextmanager
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
 
-from ledgerline.operators import baskets, features, normalize
+from ledgerline.operators import features, normalize
 from ledgerline.operators.joins import join_per_key
 from ledgerline.registry.queries import QUERIES
 from ledgerline.session import cut_lineage
