@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: Characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -198,3 +198,21 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     return pairs.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
         pairs.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )
+
+
+def ranks(df: DataFrame, key: str, tie: list[str], bucket_rows: int, across_keys: bool = False) -> DataFrame:
+    """Adds ``rank``, dense from 0 per key or, with ``across_keys``, over all keys in their order.
+
+    For keys of few distinct values: their counts are broadcast. A key of many rows is cut by a hash of the tie
+    columns into as many buckets as it needs, and rows are ordered inside buckets only. A row per bucket, that is per
+    key and per ``bucket_rows`` rows, meets in one window.
+    """
+    counted = df.groupBy(key).agg(F.ceil(F.count("*") / bucket_rows).cast("int").alias("__parts"))
+    split = df.join(F.broadcast(counted), key).withColumn("__part", F.pmod(F.hash(*tie), F.col("__parts")))
+    counts = split.groupBy(key, "__part").agg(F.count("*").alias("__n"))
+    scope = Window.partitionBy(F.lit(0)).orderBy(key, "__part") if across_keys else Window.partitionBy(key).orderBy("__part")
+    before = F.coalesce(F.sum("__n").over(scope.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(key, "__part", before.alias("__before"))
+    numbered = split.withColumn("__inside", F.row_number().over(Window.partitionBy(key, "__part").orderBy(*tie)) - 1)
+    placed = numbered.join(offsets, [key, "__part"]).withColumn("rank", (F.col("__before") + F.col("__inside")).cast("long"))
+    return placed.drop("__parts", "__part", "__inside", "__before")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.llm.common import cut, row_key, text_of
+from ledgerline.llm.common import cut, ranks, row_key, text_of
 
 #: Bits of each dimension; 2^(bits x dimensions) cells are the proven bound of the broadcast cell tables.
 BITS = 4
@@ -64,22 +64,6 @@ def on_curve(df: DataFrame, dimensions: list[str], bits: int = BITS) -> DataFram
     return df.withColumn("cell", cell).join(F.broadcast(table), "cell").drop("cell")
 
 
-def with_rank(df: DataFrame, tie: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Adds ``rank``, dense from 0 in the order of curve, then hash slice, then tie.
-
-    A cell of many rows is cut by a hash into as many buckets as it needs. Only bucket counts pass one task:
-    a row per cell and per ``bucket_rows`` rows.
-    """
-    cells = df.groupBy("curve").agg(F.ceil(F.count("*") / bucket_rows).cast("int").alias("parts"))
-    split = df.join(F.broadcast(cells), "curve").withColumn("part", F.pmod(F.hash(tie), F.col("parts")))
-    counts = split.groupBy("curve", "part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("curve", "part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("curve", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("curve", "part").orderBy(tie, "doc_id")
-    numbered = split.withColumn("inside", F.row_number().over(inside) - 1)
-    return numbered.join(offsets, ["curve", "part"]).withColumn("rank", F.col("before") + F.col("inside")).drop("parts", "part", "inside", "before")
-
-
 def cut_runs(ranked: DataFrame, shards: int, total: int) -> DataFrame:
     """Adds ``shard`` and ``slot``: the curve is cut into runs whose row counts differ by one at most."""
     shard = F.expr(f"(rank * {shards}) div {max(total, 1)}")
@@ -106,7 +90,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, bits: int = BITS) -> DataF
     narrow = cut(narrow)
     total = narrow.count()
     placed = on_curve(narrow, ["lang_code", "source_code", "size"], bits)
-    return cut_runs(with_rank(placed, "tie"), shards, total).drop("rank", "tie", "lang_code", "source_code")
+    return cut_runs(ranks(placed, "curve", ["tie", "doc_id"], BUCKET_ROWS, across_keys=True), shards, total).drop("rank", "tie", "lang_code", "source_code")
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:

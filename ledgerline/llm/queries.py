@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import hilbert, line_dedup, mixing
+from ledgerline.llm import hilbert, line_dedup, mixing, packing
 from ledgerline.llm.common import cut, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,17 @@ def op2_line_dedup(spark, directory):
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op4_pack_sequences(spark, directory):
+    return packing.pack(documents(spark, directory), vocabulary())
+
+
 @query
 def op5_hilbert_shards(spark, directory):
     placed = hilbert.hilbert_shards(documents(spark, directory))
