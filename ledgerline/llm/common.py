@@ -10,6 +10,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ledgerline.operators.joins import join_per_key
+
 #: Characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -178,23 +180,21 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     A round links every node's larger neighbours and then its smaller ones to the smallest neighbour. Both steps
     are group-bys with map-side minima and joins; no group of edges is gathered.
     """
-    pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    pairs = cut(pairs)
+    pairs = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    digest = [F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
+    before = None
     for _ in range(rounds):
         both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = join_per_key(both.where("b > a"), least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
-        linked = large.join(small, "a").select(
-            F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
-        ).select("e.*").where("a <> b").distinct()
-        after = cut(linked)
-        sums = [
-            f.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() for f in (pairs, after)
-        ]
-        pairs = after
-        if sums[0] == sums[1]:
+        ends = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        linked = join_per_key(large, small, ["a"]).select(F.explode(ends).alias("e")).select("e.*")
+        pairs = cut(linked.where("a <> b").distinct())
+        after = pairs.agg(*digest).first()
+        if after == before:
             break
+        before = after
     return pairs.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
         pairs.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )

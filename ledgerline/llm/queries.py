@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import hilbert, line_dedup, mixing, packing
+from ledgerline.llm import hilbert, line_dedup, minhash, mixing, packing
 from ledgerline.llm.common import cut, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,13 @@ def op5_hilbert_shards(spark, directory):
     )
 
 
+@query
+def op8_superminhash(spark, directory):
+    """Four words to a shingle, as the contract of this query says; the operator's default is five."""
+    found = minhash.near_duplicates(documents(spark, directory), width=4)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 @query
 def op10_source_mix(spark, directory):
     sized = cut(mixing.measured(documents(spark, directory)))
@@ -102,3 +109,33 @@ mixed AS (
 )
 SELECT doc_id, size, source_size, target, size * copies AS taken, source, copies FROM mixed
 """
+
+ORACLE_SQL["op8_superminhash"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+gram AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS g
+  FROM doc
+),
+grams AS (SELECT DISTINCT doc_id, g FROM gram),
+sized AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sized x ON c.a = x.doc_id JOIN sized y ON c.b = y.doc_id
+  WHERE 100 * c.both >= 80 * (x.n + y.n - c.both)
+),
+reach AS (
+  SELECT doc_id AS node, doc_id AS low FROM doc
+  UNION
+  SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.node
+),
+lowest AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, o.component_id, d.doc_id = o.component_id AS kept
+FROM doc d LEFT JOIN sized s ON d.doc_id = s.doc_id JOIN lowest o ON o.node = d.doc_id
+"""
