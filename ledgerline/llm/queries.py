@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import hilbert, line_dedup, minhash, mixing, packing
+from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, packing
 from ledgerline.llm.common import cut, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,11 @@ def op8_superminhash(spark, directory):
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+@query
+def op9_output_code_language(spark, directory):
+    return language.identify(documents(spark, directory))
+
+
 @query
 def op10_source_mix(spark, directory):
     sized = cut(mixing.measured(documents(spark, directory)))
