@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, packing
+from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, outliers, packing
 from ledgerline.llm.common import cut, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op2_line_dedup(spark, directory):
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op3_robust_outliers(spark, directory):
+    return outliers.judge(documents(spark, directory))
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
