@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, outliers, packing
+from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, outliers, packing, pii
 from ledgerline.llm.common import cut, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,17 @@ def documents(spark: SparkSession, directory: str) -> DataFrame:
     return read_table(spark, directory, "documents")
 
 
+@query
+def op1_personal_data(spark, directory):
+    found = pii.find(documents(spark, directory))
+    counts = [pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    everything = F.sort_array(F.concat("base", "added"))
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(everything).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 @query
 def op2_line_dedup(spark, directory):
     out = line_dedup.dedup_lines(documents(spark, directory).select("doc_id", "text"))
