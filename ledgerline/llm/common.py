@@ -216,3 +216,35 @@ def ranks(df: DataFrame, key: str, tie: list[str], bucket_rows: int, across_keys
     numbered = split.withColumn("__inside", F.row_number().over(Window.partitionBy(key, "__part").orderBy(*tie)) - 1)
     placed = numbered.join(offsets, [key, "__part"]).withColumn("rank", (F.col("__before") + F.col("__inside")).cast("long"))
     return placed.drop("__parts", "__part", "__inside", "__before")
+
+
+def sorted_runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of whole groups, with the groups' bounds, from a partition sorted by a numeric key without nulls.
+
+    Holds one batch and the group that it leaves open.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        changes = np.flatnonzero(values[1:] != values[:-1]) + 1
+        if held:
+            before = held[-1].column(held[-1].schema.get_field_index(key))[-1].as_py()
+            if before != values[0]:
+                changes = np.concatenate([[0], changes])
+        if not len(changes):
+            held.append(batch)
+            continue
+        whole = pa.Table.from_batches([*held, batch.slice(0, int(changes[-1]))]).combine_chunks().to_batches()
+        held = [batch.slice(int(changes[-1]))]
+        for part in whole:
+            yield part, _bounds(part, key)
+    if held:
+        for part in pa.Table.from_batches(held).combine_chunks().to_batches():
+            yield part, _bounds(part, key)
+
+
+def _bounds(batch: pa.RecordBatch, key: str) -> np.ndarray:
+    values = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, outliers, packing, pii
+from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, neighbours, outliers, packing, pii
 from ledgerline.llm.common import cut, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,12 @@ def op5_hilbert_shards(spark, directory):
     )
 
 
+@query
+def op6_nn_descent(spark, directory):
+    found = neighbours.near_duplicates(read_table(spark, directory, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
 @query
 def op8_superminhash(spark, directory):
     """Four words to a shingle, as the contract of this query says; the operator's default is five."""
@@ -160,3 +166,23 @@ lowest AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, o.component_id, d.doc_id = o.component_id AS kept
 FROM doc d LEFT JOIN sized s ON d.doc_id = s.doc_id JOIN lowest o ON o.node = d.doc_id
 """
+
+ORACLE_SQL["op6_nn_descent"] = """
+WITH RECURSIVE unit AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95
+),
+reach AS (
+  SELECT vec_id AS node, vec_id AS low FROM embeddings
+  UNION
+  SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.node
+),
+lowest AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, o.component_id, e.vec_id = o.component_id AS kept
+FROM embeddings e JOIN lowest o ON o.node = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
