@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, neighbours, outliers, packing, pii
+from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, neighbours, outliers, packing, pii, suffixes
 from ledgerline.llm.common import cut, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,12 @@ def op6_nn_descent(spark, directory):
     return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
 
 
+@query
+def op7_suffix_dedup(spark, directory):
+    out = suffixes.without_repeats(documents(spark, directory))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_superminhash(spark, directory):
     """Four words to a shingle, as the contract of this query says; the operator's default is five."""
