@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,13 +20,12 @@ SPACES = " \t\n\x0b\x0c\r"
 SLICE_BYTES = 2 << 20
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The frame, computed once and kept in the checkpoint folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: what the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is what the cluster names in ``spark.checkpoint.dir``; only a local session without one
-    gets a folder of its own.
+    Only a local session without one gets a folder of its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
@@ -33,9 +33,22 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="ledgerline-llm-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The frame, computed once and kept in the shared folder until it is no longer used."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written as a Parquet table of its own to the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
