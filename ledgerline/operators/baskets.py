@@ -121,13 +121,13 @@ def recommendation_lists(ranked: DataFrame) -> DataFrame:
 def top_rules(rules: DataFrame, names: DataFrame, n: int = 10) -> DataFrame:
     """The strongest rules with the names of both items."""
     best = rules.orderBy(F.desc("lift"), "product_a", "product_b").limit(n)
-    name_a = names.select(F.col("item").alias("product_a"), F.col("product_name").alias("name_a"))
-    name_b = names.select(F.col("item").alias("product_b"), F.col("product_name").alias("name_b"))
-    # The names are the large side here: the ten rules are the ones to broadcast.
-    with_a = name_a.join(F.broadcast(best), "product_a", "right")
-    return name_b.join(F.broadcast(with_a), "product_b", "right").select(
-        "name_a", "name_b", *rules.columns
-    )
+    # At most 2n items are wanted; the names, which may be many, are cut to them before the rules meet them.
+    wanted = best.select(F.explode(F.array("product_a", "product_b")).alias("item")).distinct()
+    few = names.join(F.broadcast(wanted), "item", "left_semi")
+    name_a = few.select(F.col("item").alias("product_a"), F.col("product_name").alias("name_a"))
+    name_b = few.select(F.col("item").alias("product_b"), F.col("product_name").alias("name_b"))
+    named = best.join(F.broadcast(name_a), "product_a", "left").join(F.broadcast(name_b), "product_b", "left")
+    return named.select("name_a", "name_b", *rules.columns)
 
 
 def rule_evidence(rules: DataFrame, items: DataFrame) -> DataFrame:

@@ -81,6 +81,24 @@ def conversion_audit(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.sparkSession.createDataFrame(rows, "column_name string, type_before string, type_after string")
 
 
+def conversion_report(before: DataFrame) -> DataFrame:
+    """Per column: type before and after the conversion, values given, and values that did not parse."""
+    after = convert_types(before)
+    types = {f.name: (before.schema[f.name].dataType.simpleString(), f.dataType.simpleString()) for f in after.schema}
+    both = before.select(*[F.col(c).isNotNull().alias(f"_given_{c}") for c in before.columns], *before.columns)
+    converted = convert_types(both)
+    wide = converted.agg(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"), F.lit(types[c][0]).alias("type_before"), F.lit(types[c][1]).alias("type_after"),
+                F.count_if(f"_given_{c}").alias("given"), F.count_if(F.col(f"_given_{c}") & F.col(c).isNull()).alias("unparsed"),
+            ).alias(c)
+            for c in before.columns
+        ]
+    )
+    return wide.select(F.inline(F.array(*before.columns)))
+
+
 def _holds(condition: Column) -> Column:
     """A comparison with null counts as not violated."""
     return F.coalesce(condition, F.lit(False))

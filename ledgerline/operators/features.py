@@ -41,18 +41,49 @@ def add_financial_features(df: DataFrame) -> DataFrame:
     )
 
 
-def _key_chunk(df: DataFrame, key: str, width: int, prefix: int) -> Column:
-    """Coarse, order-preserving part of an order key.
+#: Orders of a customer's day that are ranked in one window.
+CHUNK_ORDERS = 1 << 16
 
-    Whole-number keys fall into ranges of ``width``, so at most that many orders share a chunk; text
-    keys are cut to their first ``prefix`` characters.
-    """
-    if isinstance(df.schema[key].dataType, T.IntegralType):
-        return F.floor(F.col(key) / F.lit(width))
-    return F.substring(F.col(key).cast("string"), 1, prefix)
+
+def _shared_prefix(a: str, b: str) -> Column:
+    """Length of the common prefix of two strings."""
+    size = F.least(F.length(a), F.length(b))
+    same = F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.substring(F.col(a), i, F.lit(1)) == F.substring(F.col(b), i, F.lit(1)))
+    differs = F.array_position(same, False)
+    return F.when(differs > 0, differs - 1).otherwise(size).cast("int")
 
 
-def order_profile(lines: DataFrame, chunk_width: int = 1 << 16, chunk_prefix: int = 8) -> DataFrame:
+def with_chunks(orders: DataFrame, chunk_orders: int = CHUNK_ORDERS) -> DataFrame:
+    """Adds ``_chunk``: an order-preserving part of the order keys of each customer's day.
+
+    A day of n orders has n / ``chunk_orders`` chunks, so nearly all days have one. Keys are placed between the day's
+    smallest and largest one: whole numbers by their value, texts by the seven bytes after what all keys of the day
+    begin with. Long common beginnings, sparse keys and hashed keys spread alike.
+    """
+    day = ["customer_id", "order_date"]
+    whole = isinstance(orders.schema["order_id"].dataType, T.IntegralType)
+    key = F.col("order_id") if whole else F.col("order_id").cast("string")
+    days = orders.groupBy(*day).agg(F.count("*").alias("_n"), F.min(key).alias("_low"), F.max(key).alias("_high"))
+    parts = F.ceil(F.col("_n") / chunk_orders)
+    if whole:
+        days = days.withColumn("_skip", F.lit(0))
+    else:
+        days = days.withColumn("_skip", F.when(parts > 1, _shared_prefix("_low", "_high")).otherwise(0))
+
+    def code(c: Column) -> Column:
+        if whole:
+            return c.cast("double")
+        after = F.substring(F.encode(F.substring(c, F.col("_skip") + 1, F.lit(7)), "UTF-8"), F.lit(1), F.lit(7))
+        return F.conv(F.rpad(F.hex(after), 14, "0"), 16, 10).cast("double")
+
+    low, high = code(F.col("_low")), code(F.col("_high"))
+    share = (code(key) - low) / (high - low + 1.0)
+    placed = join_per_key(orders, days.withColumn("_parts", parts), day)
+    chunk = F.when(F.col("_parts") > 1, F.floor(share * F.col("_parts"))).otherwise(F.lit(0).cast("long"))
+    return placed.withColumn("_chunk", chunk).drop("_n", "_low", "_high", "_skip", "_parts")
+
+
+def order_profile(lines: DataFrame, chunk_orders: int = CHUNK_ORDERS) -> DataFrame:
     """One row per order with its total and its place in the customer's history.
 
     The place is the rank by (date, order id) among the customer's orders. A customer may own a large
@@ -64,8 +95,8 @@ def order_profile(lines: DataFrame, chunk_width: int = 1 << 16, chunk_prefix: in
         lines.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id", "order_id", "order_date")
         .agg(F.sum("sales").alias("order_total_sales"))
-        .withColumn("_chunk", _key_chunk(lines, "order_id", chunk_width, chunk_prefix))
     )
+    orders = with_chunks(orders, chunk_orders)
     place = ["customer_id", "order_date", "_chunk"]
     upto_previous = (W.unboundedPreceding, -1)
 

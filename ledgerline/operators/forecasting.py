@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerline.operators.features import LEAKY_COLUMNS
 
@@ -80,6 +81,8 @@ def fit_models(
         for name, fit in models.items():
             try:
                 fitted[name] = fit(train)
+            except ValueError:  # a wrong predictor is a mistake of the caller
+                raise
             except Exception as error:  # a missing optional model must not stop the comparison
                 logger.warning("%s could not be fitted and is skipped: %s", name, error)
     finally:
@@ -88,16 +91,14 @@ def fit_models(
 
 
 def predict(split: DataFrame, fitted: dict[str, PipelineModel]) -> DataFrame:
-    """(model, week_end, total_sales, predicted) over the held-out weeks."""
+    """(model, week_end, total_sales, predicted) over the held-out weeks; no rows if no model was fitted."""
     test = split.where("NOT is_train")
     frames = [
         model.transform(test).select(F.lit(name).alias("model"), "week_end", TARGET, "predicted")
         for name, model in fitted.items()
     ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    none = test.select(F.lit("").alias("model"), "week_end", TARGET, F.lit(0.0).alias("predicted")).where(F.lit(False))
+    return reduce(DataFrame.unionByName, frames, none)
 
 
 def error_metrics(predictions: DataFrame, keys: Sequence[str] = ("model",), digits: tuple[int, int] = (2, 4)) -> DataFrame:
@@ -117,6 +118,28 @@ def compare_models(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("is_best", F.col("model") == winner.scalar())
 
 
+def model_checks(split: DataFrame, fitted: dict[str, PipelineModel], tolerance: float = 1e-6) -> DataFrame:
+    """(model, held_out_weeks, holds): every held-out week is predicted, and what must be so of each kind of model is so.
+
+    The residuals of the linear regression on its training weeks are orthogonal to its predictors, forest predictions stay
+    inside the range of the training values, and the harmonic predictions are finite.
+    """
+    train, test = split.where("is_train"), split.where("NOT is_train")
+    low, high = (train.agg(f(TARGET)).scalar() for f in (F.min, F.max))
+    frames = []
+    for name, model in fitted.items():
+        predicted = model.transform(test)
+        inside = F.count_if(F.col("predicted").between(low, high)) == F.count("*")
+        finite = F.count_if(F.abs("predicted") < float("inf")) == F.count("*")
+        holds = inside if name == "Random Forest" else finite
+        if name == "Linear Regression":
+            residual = F.col(TARGET) - F.col("predicted")
+            sums = [F.abs(F.sum(residual * F.col(f))) <= tolerance * F.sum(F.abs(F.col(TARGET) * F.col(f))) for f in WEEK_FEATURES]
+            holds = holds & model.transform(train).agg(reduce(Column.__and__, sums)).scalar()
+        frames.append(predicted.agg(F.lit(name).alias("model"), F.count("predicted").alias("held_out_weeks"), holds.alias("holds")))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def actual_vs_predicted(predictions: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per held-out week with the actual value and one column per model."""
     return predictions.groupBy("week_end", TARGET).agg(
@@ -147,25 +170,29 @@ def trend_predictions(split: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def series_forecasts(split: DataFrame, keys: Sequence[str], features: Sequence[str] = WEEK_FEATURES) -> DataFrame:
     """Least squares on the calendar features for every series at once.
 
-    Each group is one series of weekly totals, so its size is bounded by the calendar; the series are
-    spread over the cluster.
+    One aggregation sums the products of the features over each series' training weeks; the normal equations, a row per
+    series, are solved where that row lies; the held-out weeks are predicted in the join back.
     """
     reject_leaky(features)
     keys, features = list(keys), list(features)
-    fields = [split.schema[k] for k in keys] + [
-        split.schema["week_end"], split.schema[TARGET], T.StructField("predicted", T.DoubleType())
-    ]
-
-    def fit_one(series: pd.DataFrame) -> pd.DataFrame:
-        design = np.column_stack([np.ones(len(series)), series[features].to_numpy(dtype=float)])
-        train = series["is_train"].to_numpy(dtype=bool)
-        if train.any():
-            weights, *_ = np.linalg.lstsq(design[train], series[TARGET].to_numpy(dtype=float)[train], rcond=None)
-            predicted = design @ weights
-        else:
-            predicted = np.full(len(series), np.nan)
-        held_out = series[~train].assign(predicted=predicted[~train])
-        return held_out[[*keys, "week_end", TARGET, "predicted"]]
-
-    needed = split.select(*keys, "week_end", TARGET, "is_train", *features)
-    return needed.groupBy(*keys).applyInPandas(fit_one, T.StructType(fields))
+    terms = ["_one", *features]
+    named = split.withColumn("_one", F.lit(1.0))
+    products = {f"_p{i}_{j}": F.sum(F.col(a).cast("double") * F.col(b)) for i, a in enumerate(terms) for j, b in enumerate(terms) if i <= j}
+    targets = {f"_t{i}": F.sum(F.col(a) * F.col(TARGET)) for i, a in enumerate(terms)}
+    sums = named.where("is_train").groupBy(*keys).agg(*[v.alias(k) for k, v in {**products, **targets}.items()])
+
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            weights = []
+            for row in frame.to_dict("records"):
+                normal = [[row[f"_p{min(i, j)}_{max(i, j)}"] for j in range(len(terms))] for i in range(len(terms))]
+                size = np.sqrt(np.diag(normal))
+                size[size == 0] = 1.0
+                scaled = np.array(normal) / np.outer(size, size)
+                weights.append(np.linalg.lstsq(scaled, np.array([row[f"_t{i}"] for i in range(len(terms))]) / size, rcond=1e-12)[0] / size)
+            yield frame[keys].assign(_weights=weights)
+
+    schema = T.StructType([*[split.schema[k] for k in keys], T.StructField("_weights", T.ArrayType(T.DoubleType()))])
+    solved = sums.mapInPandas(solve, schema)
+    predicted = reduce(Column.__add__, [F.col("_weights")[i] * F.col(c) for i, c in enumerate(terms)])
+    return named.where("NOT is_train").join(solved, keys, "left").select(*keys, "week_end", TARGET, predicted.alias("predicted"))

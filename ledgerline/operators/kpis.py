@@ -15,25 +15,29 @@ def _grouped(df: DataFrame, *keys: str):
 
 
 def headline(df: DataFrame) -> DataFrame:
-    """The core figures as one row.
+    """The core figures as one row, from one pass.
 
-    Lines are first reduced to one row per customer and order; distinct counts and the repeat rate
-    are taken from that much smaller frame.
+    Lines are first reduced to one row per customer and order. Each of these goes once to its customer and once to
+    its order, so that distinct customers, distinct orders and repeat customers come from one aggregation.
     """
     pairs = df.groupBy("customer_id", "order_id").agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
-    totals = pairs.agg(
+    nothing = [F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in ("sales", "profit")]
+    sides = F.array(
+        F.struct(F.lit("customer").alias("side"), F.col("customer_id").cast("string").alias("id"), F.col("order_id").isNotNull().cast("int").alias("one"), "sales", "profit"),
+        F.struct(F.lit("order").alias("side"), F.col("order_id").cast("string").alias("id"), F.lit(0).alias("one"), *nothing),
+    )
+    ends = pairs.select(F.inline(sides)).groupBy("side", "id").agg(
+        F.sum("one").alias("orders"), F.sum("sales").alias("sales"), F.sum("profit").alias("profit")
+    )
+    known = F.col("id").isNotNull()
+    customer = (F.col("side") == "customer") & known
+    with_repeats = ends.agg(
         money_sum("sales").alias("total_sales"),
         money_sum("profit").alias("total_profit"),
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("total_customers"),
-    )
-    repeaters = (
-        pairs.where(F.col("customer_id").isNotNull() & F.col("order_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(F.count("*").alias("n"))
-        .agg(F.count_if(F.col("n") > 1))
+        F.count_if((F.col("side") == "order") & known).alias("total_orders"),
+        F.count_if(customer).alias("total_customers"),
+        F.count_if(customer & (F.col("orders") > 1)).alias("repeat_customers"),
     )
-    with_repeats = totals.withColumn("repeat_customers", repeaters.scalar())
     rate = percent("repeat_customers", "total_customers")
     return with_repeats.select(
         "total_sales",

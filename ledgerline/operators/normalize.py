@@ -62,14 +62,15 @@ def number_items(items: DataFrame, digits: int = 4) -> DataFrame:
     """Dense, repeatable line numbers 1..N without a global sort.
 
     Rows fall into ``16 ** digits`` buckets by their digest, whatever their keys. A running count over
-    the buckets gives each its first number, and a row's position inside the bucket is added to it.
-    Use five digits beyond some 10^10 rows.
+    the buckets gives each its first number, and a row's position inside the bucket is added to it. The
+    numbers follow the whole digest, then the columns: ``digits`` sets the number of buckets and changes none.
     """
-    bucketed = items.withColumn("_bucket", F.substring(row_digest(ITEM_COLUMNS), 1, digits))
+    digested = items.withColumn("_digest", row_digest(ITEM_COLUMNS))
+    bucketed = digested.withColumn("_bucket", F.substring("_digest", 1, digits))
     sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     before = F.sum("_size").over(W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select("_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
-    position = F.row_number().over(W.partitionBy("_bucket").orderBy(*ITEM_COLUMNS))
+    position = F.row_number().over(W.partitionBy("_bucket").orderBy("_digest", *ITEM_COLUMNS))
     return (
         bucketed.withColumn("_position", position)
         .join(offsets, "_bucket")

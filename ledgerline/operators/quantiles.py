@@ -1,16 +1,16 @@
 """Exact quantiles by successive narrowing, without sorting the data or gathering it in one task.
 
-The built-in exact percentile keeps every distinct value of a group in one buffer. Here each round
-counts rows per bin of the interval that still holds the wanted rank (at most ``bins`` counters per
-task and interval), moves to the bin with that rank, and shrinks the interval to the smallest and
-largest value seen in it. After the rounds the few values left are counted one by one.
+The built-in exact percentile keeps every distinct value of a group in one buffer. Here values are read as whole numbers
+in the same order (``order_code``), and each round counts rows by the next sixteen bits of the numbers that still share
+the wanted rank's leading bits: at most 65,536 counters per task and interval, whatever the values. After four rounds all
+64 bits are known and the interval is one value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 def unpivot_numbers(
@@ -33,29 +33,35 @@ def value_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     return values.groupBy(*keys, "value").agg(F.count("*").alias("cnt"))
 
 
-def exact_quantiles(
-    counted: DataFrame,
-    keys: Sequence[str],
-    probs: Sequence[float],
-    bins: int = 4096,
-    rounds: int = 2,
-    small: bool | None = None,
-) -> DataFrame:
+#: Bits that are left to look at after each round.
+SHIFTS = (48, 32, 16, 0)
+
+
+def order_code(value: str) -> Column:
+    """The double as a 64-bit whole number in the same order: sign, exponent and fraction as they are stored."""
+    size = F.abs(F.col(value))
+    rough = F.floor(F.log2(size)).cast("int")
+    # The logarithm may miss the exponent by one next to a power of two.
+    exponent = F.greatest(
+        rough - F.when(size < F.pow(F.lit(2.0), rough), 1).otherwise(0) + F.when(size / 2 >= F.pow(F.lit(2.0), rough), 1).otherwise(0),
+        F.lit(-1022),
+    )
+    fraction = size / F.pow(F.lit(2.0), exponent)
+    lead = F.when(fraction >= 1, (exponent + 1023).cast("long")).otherwise(F.lit(0).cast("long"))
+    code = F.shiftleft(lead, 52) + ((fraction - F.when(fraction >= 1, 1.0).otherwise(0.0)) * float(1 << 52)).cast("long")
+    return F.when(size == 0, F.lit(0).cast("long")).when(F.col(value) < 0, -code).otherwise(code)
+
+
+def exact_quantiles(counted: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """(keys, prob, quantile) with linear interpolation between neighbouring ranks.
 
-    ``counted`` has the keys, a double ``value`` (NaN is ignored) and its frequency ``cnt``. ``keys``
-    must not be empty. Besides the data only one row per key and probability is in flight; ``small``
-    tells that these fit a broadcast and is found out when not given.
+    ``counted`` has the keys, a double ``value`` (NaN is ignored) and its frequency ``cnt``. ``keys`` must not be
+    empty. Besides the data only one row per key and probability is in flight.
     """
     keys = list(keys)
-    small = few_groups(counted, keys) if small is None else small
-    known = ~F.isnan("value")
-    limits = counted.groupBy(*keys).agg(
-        F.sum(F.when(known, F.col("cnt"))).alias("n"),
-        F.min(F.when(known, F.col("value"))).alias("lo"),
-        F.max(F.when(known, F.col("value"))).alias("hi"),
-    )
-    whole = _binned(counted, per_group(limits, small), [*keys, "n"], bins)
+    coded = counted.where(~F.isnan("value")).withColumn("code", order_code("value"))
+    whole = _binned(coded, None, keys, SHIFTS[0])
+    n = F.sum("size").over(W.partitionBy(*keys))
     spots = [((F.col("n") - 1) * F.lit(float(p)), float(p)) for p in probs]
     wanted = F.array(
         *[
@@ -63,52 +69,34 @@ def exact_quantiles(
             for spot, p in spots
         ]
     )
-    targets = _hit(whole.select("*", F.inline(wanted)).withColumn("after", F.lit(None).cast("double")), keys)
-    for _ in range(rounds - 1):
-        targets = _hit(_binned(counted, per_group(targets, small), [*keys, *_TARGET], bins), keys)
-
-    # What is left of each interval is counted value by value.
-    last = _hit(_binned(counted, per_group(targets, small), [*keys, *_TARGET], None), keys)
+    targets = _hit(whole.withColumn("n", n).select("*", F.inline(wanted)).withColumn("after", F.lit(None).cast("double")), keys)
+    for shift in SHIFTS[1:]:
+        targets = _hit(_binned(coded, per_group(targets, keys), [*keys, *_TARGET], shift), keys)
     exhausted = F.col("rank") + 1 >= F.col("left")
     upper = F.when(exhausted, F.coalesce("after", "lo")).otherwise(F.col("lo"))
-    return last.select(*keys, "prob", (F.col("lo") + (upper - F.col("lo")) * F.col("weight")).alias("quantile"))
+    return targets.select(*keys, "prob", (F.col("lo") + (upper - F.col("lo")) * F.col("weight")).alias("quantile"))
 
 
 #: State of a search: the rank inside the interval, and the smallest value above the interval.
 _TARGET = ["prob", "rank", "weight", "after"]
 
 
-#: Most groups whose per-group rows are broadcast.
-BROADCAST_GROUPS = 10_000
-
-
-def few_groups(counted: DataFrame, keys: Sequence[str], most: int = BROADCAST_GROUPS) -> bool:
-    """Whether rows kept per group are few enough to broadcast: without further keys there is one group
-    per listed column, otherwise the groups are counted."""
-    return list(keys) == ["metric"] or counted.select(*keys).distinct().limit(most + 1).count() <= most
-
-
-def per_group(frame: DataFrame, small: bool) -> DataFrame:
-    """Small frames are broadcast; others are joined by shuffle, with skewed partitions split."""
-    return F.broadcast(frame) if small else frame
+def per_group(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Without further keys there is a row per listed column and probability, which fits a broadcast whatever the data.
+    With keys the choice is left to the sizes at run time."""
+    return F.broadcast(frame) if list(keys) == ["metric"] else frame
 
 
-def _binned(counted: DataFrame, intervals: DataFrame, group: list[str], bins: int | None) -> DataFrame:
+def _binned(coded: DataFrame, intervals: DataFrame | None, group: list[str], shift: int) -> DataFrame:
     """Rows per bin of every interval with the running count and the next value above each bin."""
-    width = F.col("hi") - F.col("lo")
-    if bins is None:
-        position = F.col("value")
-    else:
-        place = F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1))
-        position = F.coalesce(F.when(width > 0, place), F.lit(0))
-    keys = [k for k in group if k in counted.columns]
-    filled = (
-        counted.join(intervals, keys)
-        .where(F.col("value").between(F.col("lo"), F.col("hi")))
-        .groupBy(*group, "lo", "hi", position.alias("bin"))
-        .agg(F.sum("cnt").alias("size"), F.min("value").alias("bin_lo"), F.max("value").alias("bin_hi"))
+    keys = [k for k in group if k in coded.columns]
+    bounds = ["lo", "hi"] if intervals is not None else []
+    if intervals is not None:
+        coded = coded.join(intervals, keys).where(F.col("value").between(F.col("lo"), F.col("hi")))
+    filled = coded.groupBy(*group, *bounds, F.shiftright("code", shift).alias("bin")).agg(
+        F.sum("cnt").alias("size"), F.min("value").alias("bin_lo"), F.max("value").alias("bin_hi")
     )
-    in_order = W.partitionBy(*group, "lo", "hi").orderBy("bin")
+    in_order = W.partitionBy(*group, *bounds).orderBy("bin")
     return filled.withColumns(
         {
             "upto": F.sum("size").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -12,8 +13,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ledgerline.functions.numbers import half_even, ratio
-from ledgerline.session import cut_lineage
+from ledgerline.functions.numbers import half_even
 from ledgerline.sources.literals import segment_action_table, segment_label_table
 
 # Cluster counts tried, starts per count, seed, iterations.
@@ -42,18 +42,23 @@ def rfm(df: DataFrame) -> DataFrame:
     )
 
 
-def scale(rfm_rows: DataFrame) -> DataFrame:
-    """log1p, then z-scores with the population deviation; a constant column becomes zero."""
-    logs = rfm_rows.select("customer_id", *[F.log1p(c).alias(c) for c in RFM])
-    stats = logs.agg(
-        F.struct(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in RFM]).alias("s")
-    )
+def fit_scaling(rfm_rows: DataFrame) -> DataFrame:
+    """(measure, mean, std) of the logarithms, with the population deviation: what new customers are scaled by."""
+    logs = rfm_rows.select(*[F.log1p(c).alias(c) for c in RFM])
+    wide = logs.agg(*[F.struct(F.lit(c).alias("measure"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in RFM])
+    return wide.select(F.inline(F.array(*RFM)))
+
+
+def scale(rfm_rows: DataFrame, scaling: DataFrame | None = None) -> DataFrame:
+    """log1p, then z-scores by the given scaling or by the rows' own; a constant column becomes zero."""
+    scaling = fit_scaling(rfm_rows) if scaling is None else scaling
+    fitted = scaling.agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("mean", "std"))))).scalar()
 
     def z(c: str) -> Column:
-        std = stats.scalar()[c]["std"]
-        return (F.col(c) - stats.scalar()[c]["mean"]) / F.when(std == 0, F.lit(1.0)).otherwise(std)
+        std = fitted[c]["std"]
+        return (F.log1p(c) - fitted[c]["mean"]) / F.when(std == 0, F.lit(1.0)).otherwise(std)
 
-    return logs.select("customer_id", *[z(c).alias(f"{c}_z") for c in RFM])
+    return rfm_rows.select("customer_id", *[z(c).alias(f"{c}_z") for c in RFM])
 
 
 def _vectors(scaled: DataFrame) -> DataFrame:
@@ -84,7 +89,7 @@ def sweep_clusters(
     The fits are independent jobs over one cached frame and are submitted side by side; only costs,
     scores and centres reach the driver.
     """
-    vectors = cut_lineage(_vectors(scaled)).persist()
+    vectors = _vectors(scaled).persist()
     evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
     runs = [(k, start) for k in clusters for start in range(starts)]
     try:
@@ -115,6 +120,33 @@ def assign_clusters(rfm_rows: DataFrame, scaled: DataFrame, model: KMeansModel)
     return rfm_rows.join(assigned, "customer_id")
 
 
+def fit_checks(scaled: DataFrame, fits: list[ClusterFit], tolerance: float = 1e-6) -> DataFrame:
+    """What must hold of every fit, from one pass over the customers: all are assigned, each to the nearest centre, the
+    cost is the sum of the squared distances, and one cluster count is selected."""
+    best = max(fits, key=lambda f: f.silhouette).clusters
+    assigned = _vectors(scaled)
+    for fit in fits:
+        assigned = fit.model.transform(assigned).withColumnRenamed("cluster", f"_c{fit.clusters}")
+    assigned = assigned.join(scaled, "customer_id")
+    figures = []
+    for fit in fits:
+        squares = [reduce(Column.__add__, [F.pow(F.col(f"{c}_z") - float(x), 2) for c, x in zip(RFM, centre)]) for centre in fit.model.clusterCenters()]
+        own, least = F.get(F.array(*squares), F.col(f"_c{fit.clusters}")), F.least(*squares)
+        figures.append(
+            F.struct(
+                F.lit(fit.clusters).alias("clusters"), F.count(own).alias("customers"), F.count_if(own > least + tolerance).alias("not_nearest"),
+                (F.abs(F.sum(own) - fit.inertia) <= tolerance * fit.inertia).alias("inertia_matches"),
+                F.lit(sum(f.clusters == best for f in fits)).alias("selected"),
+            )
+        )
+    return assigned.agg(F.array(*figures).alias("f")).select(F.inline("f"))
+
+
+def score_customers(rfm_rows: DataFrame, scaling: DataFrame, model: KMeansModel) -> DataFrame:
+    """Customers that the model has not seen, scaled as its training rows were, with their cluster."""
+    return assign_clusters(rfm_rows, scale(rfm_rows, scaling), model)
+
+
 def _average_rank(column: str, ascending: bool) -> Column:
     """Rank whose ties share the mean of their positions. Clusters are few: one small window."""
     order = F.col(column).asc() if ascending else F.col(column).desc()
@@ -122,14 +154,9 @@ def _average_rank(column: str, ascending: bool) -> Column:
     return F.rank().over(W.orderBy(order)) + (ties - 1) / F.lit(2.0)
 
 
-def _exact_mean(column: str) -> Column:
-    """Mean of amounts with two decimals or whole numbers, independent of the order of the rows."""
-    return ratio(F.sum(F.col(column).cast("decimal(28,2)")), F.count(column))
-
-
 def cluster_profile(clustered: DataFrame) -> DataFrame:
     """Mean recency, frequency and monetary value per cluster with ranks and the segment name."""
-    profile = clustered.groupBy("cluster").agg(*[_exact_mean(c).alias(c) for c in RFM])
+    profile = clustered.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in RFM])
     return name_segments(profile)
 
 
@@ -159,15 +186,15 @@ def name_segments(profile: DataFrame) -> DataFrame:
 
 
 def label_customers(clustered: DataFrame) -> DataFrame:
-    """Every customer with its segment; the profile has one row per cluster and is broadcast."""
+    """Every customer with its segment."""
     names = cluster_profile(clustered).select("cluster", "segment")
-    return clustered.join(F.broadcast(names), "cluster", "left").select("customer_id", *RFM, "cluster", "segment")
+    return clustered.join(names, "cluster", "left").select("customer_id", *RFM, "cluster", "segment")
 
 
 def segment_sizes(labelled: DataFrame) -> DataFrame:
     """Customers and mean values per segment with the recommended action."""
     sizes = labelled.groupBy("segment").agg(
-        F.count("*").alias("customers"), *[half_even(_exact_mean(c), 1).alias(c) for c in RFM]
+        F.count("*").alias("customers"), *[half_even(F.avg(c), 1).alias(c) for c in RFM]
     )
     actions = F.broadcast(segment_action_table(labelled.sparkSession))
     return sizes.join(actions, "segment", "left").orderBy(F.desc("customers"), "segment")

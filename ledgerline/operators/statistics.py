@@ -11,7 +11,7 @@ from ledgerline.functions.keys import row_digest
 from ledgerline.functions.labels import skew_label
 from ledgerline.functions.numbers import half_even, ratio
 from ledgerline.operators.quantiles import (
-    exact_quantiles, few_groups, per_group, unpivot_numbers, value_counts, widen_quantiles,
+    exact_quantiles, per_group, unpivot_numbers, value_counts, widen_quantiles,
 )
 from ledgerline.schemas import CHARTED_COLUMNS, DESCRIBED_COLUMNS
 
@@ -20,6 +20,8 @@ HISTOGRAM_BINS = 40
 DENSITY_POINTS = 200
 SAMPLE_ROWS = 2000
 WHISKER = 1.5
+#: Bandwidths beyond which the Gaussian kernel is exactly zero as a double.
+KERNEL_REACH = 39.0
 
 
 def _numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -40,17 +42,12 @@ def describe(
     columns: Sequence[str] = DESCRIBED_COLUMNS,
     precount: bool = True,
     digits: int | None = 2,
-    scale: int | None = 2,
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum, one row per column.
 
-    Values of at most ``scale`` decimals are summed as decimals, so the mean does not depend on the
-    order of the rows; ``scale=None`` averages doubles. ``digits=None`` leaves the figures unrounded.
+    ``digits=None`` leaves the figures unrounded.
     """
 
-    def mean(c: str) -> Column:
-        return F.avg(c) if scale is None else ratio(F.sum(F.col(c).cast(f"decimal(28,{scale})")), F.count(c))
-
     def shown(c: str | Column, name: str) -> Column:
         column = F.col(c) if isinstance(c, str) else c
         return (column if digits is None else half_even(column, digits)).alias(name)
@@ -59,7 +56,7 @@ def describe(
         *[
             F.struct(
                 F.count(c).alias("count"),
-                mean(c).alias("mean"),
+                F.avg(c).alias("mean"),
                 F.stddev_samp(c).alias("std"),
                 F.min(c).alias("min"),
                 F.max(c).alias("max"),
@@ -156,7 +153,8 @@ def density(df: DataFrame, columns: Sequence[str] = CHARTED_COLUMNS, points: int
 
     Exact: evaluated per distinct value, weighted by its frequency. Amounts have two decimals, so the
     distinct values are far fewer than the rows of a large table, and every task sums its share into
-    ``points`` cells per column before the shuffle.
+    ``points`` cells per column before the shuffle. A value counts at the grid points that its kernel
+    reaches; elsewhere the kernel is zero in double precision.
     """
     counted = _weighted_values(df, columns, [], precount=True)
     center = counted.groupBy("metric").agg(
@@ -170,13 +168,20 @@ def density(df: DataFrame, columns: Sequence[str] = CHARTED_COLUMNS, points: int
         F.sqrt(F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mean"), 2)) / (F.col("n") - 1)).alias("std")
     )
     bandwidth = spread.withColumn("h", F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).where("h > 0")
-    grid = counted.join(F.broadcast(bandwidth), "metric").withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    step = (F.col("hi") - F.col("lo")) / F.lit(points - 1)
+    reach = F.lit(KERNEL_REACH) * F.col("h")
+    first = F.greatest(F.floor((F.col("value") - reach - F.col("lo")) / step), F.lit(0))
+    last = F.least(F.ceil((F.col("value") + reach - F.col("lo")) / step), F.lit(points - 1))
+    near = counted.join(F.broadcast(bandwidth), "metric").withColumn("point", F.explode(F.sequence(first, last)))
     x = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / F.lit(points - 1)
     distance = (x - F.col("value")) / F.col("h")
     kernel = F.col("cnt") * F.exp(distance * distance * F.lit(-0.5))
-    summed = grid.groupBy("metric", "point", "n", "lo", "hi", "h").agg(F.sum(kernel).alias("mass"))
+    kept = ["metric", "point", "n", "lo", "hi", "h"]
+    every = bandwidth.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)).cast("array<bigint>")))
+    masses = near.select(*kept, kernel.alias("mass")).union(every.select(*kept, F.lit(0.0)))
+    summed = masses.groupBy(*kept).agg(F.sum("mass").alias("mass"))
     norm = F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi())
-    return summed.select("metric", "point", x.alias("x"), (F.col("mass") / norm).alias("density"))
+    return summed.select("metric", F.col("point").cast("int").alias("point"), x.alias("x"), (F.col("mass") / norm).alias("density"))
 
 
 def box_summary(
@@ -185,15 +190,13 @@ def box_summary(
     """Quartiles, whiskers snapped to the data and the values beyond them, per column and key."""
     group = [*keys, "metric"]
     values = _weighted_values(df, columns, keys, precount)
-    # Counted on the input, where only the key columns are read, not on the counted values.
-    small = not keys or few_groups(df, keys)
     quartiles = widen_quantiles(
-        exact_quantiles(values, group, [0.25, 0.5, 0.75], small=small), group, {0.25: "q1", 0.5: "median", 0.75: "q3"}
+        exact_quantiles(values, group, [0.25, 0.5, 0.75]), group, {0.25: "q1", 0.5: "median", 0.75: "q3"}
     )
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        values.join(per_group(quartiles, small), group)
+        values.join(per_group(quartiles, group), group)
         .groupBy(*group, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),

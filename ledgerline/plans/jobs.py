@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.operators import baskets, cleaning, features, forecasting, kpis, normalize, segmentation, timebins
@@ -78,7 +79,9 @@ def explore(spark: SparkSession, output: str) -> None:
 
 def segment(spark: SparkSession, output: str, clusters=segmentation.CLUSTER_RANGE, starts: int = segmentation.STARTS) -> None:
     rows = segmentation.rfm(_features(spark, output))
-    scaled = segmentation.scale(rows)
+    write_parquet(segmentation.fit_scaling(rows), _path(output, "models", "scaling"))
+    scaling = read_parquet(spark, _path(output, "models", "scaling"), produced_by="segment")
+    scaled = segmentation.scale(rows, scaling)
     fits = segmentation.sweep_clusters(scaled, clusters, starts)
     best = max(fits, key=lambda f: f.silhouette)
     labelled = segmentation.label_customers(segmentation.assign_clusters(rows, scaled, best.model))
@@ -89,6 +92,12 @@ def segment(spark: SparkSession, output: str, clusters=segmentation.CLUSTER_RANG
     best.model.write().overwrite().save(_path(output, "models", "segments"))
 
 
+def score(spark: SparkSession, output: str, customers: DataFrame) -> DataFrame:
+    """Customers (customer_id, recency_days, frequency, monetary) with the cluster the stored scaling and model give them."""
+    scaling = read_parquet(spark, _path(output, "models", "scaling"), produced_by="segment")
+    return segmentation.score_customers(customers, scaling, KMeansModel.load(_path(output, "models", "segments")))
+
+
 def recommend(
     spark: SparkSession, output: str, item: str = "product_id",
     min_support: float = baskets.MIN_SUPPORT, min_lift: float = baskets.MIN_LIFT,

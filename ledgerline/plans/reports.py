@@ -81,10 +81,12 @@ def eda_report(features: DataFrame) -> DataFrame:
     )
 
 
-def segment_report(sizes: DataFrame, sweep: DataFrame) -> DataFrame:
+def segment_report(sizes: DataFrame, sweep: DataFrame | None = None) -> DataFrame:
+    """Sizes and means of the segments, after the scores of the cluster counts where there was a choice."""
+    scores = [section(sweep, "silhouette", F.concat(F.lit("k="), F.col("clusters").cast("string")), "silhouette")] if sweep else []
     return stack(
         [
-            section(sweep, "silhouette", F.concat(F.lit("k="), F.col("clusters").cast("string")), "silhouette"),
+            *scores,
             section(sizes, "customers", "segment", "customers"),
             section(sizes, "recency_days", "segment", "recency_days"),
             section(sizes, "frequency", "segment", "frequency"),

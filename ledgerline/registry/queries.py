@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -12,15 +13,15 @@ from ledgerline.operators import (
     audits, baskets, cleaning, features, forecasting, kpis, normalize, segmentation, statistics, timebins,
 )
 from ledgerline.plans import reports
-from ledgerline.schemas import DATE_COLUMNS, ORDER_LINE_COLUMNS
+from ledgerline.schemas import ORDER_LINE_COLUMNS
 from ledgerline.sources.retail import StarTables, inject_faults, order_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+def query(fn: Query, name: str | None = None) -> Query:
+    QUERIES[name or fn.__name__] = fn
     return fn
 
 
@@ -178,7 +179,8 @@ def order_features(spark, directory):
 
 
 def summary(spark, directory):
-    clean = cleaning.clean(dirty(spark, directory))
+    # Keyed once, so that the four tables come from one and the same frame.
+    clean = normalize.keyed(cleaning.clean(dirty(spark, directory)))
     return normalize.order_summary(
         normalize.number_items(normalize.order_items(clean)),
         normalize.order_headers(clean),
@@ -189,8 +191,8 @@ def summary(spark, directory):
 
 @query
 def feature_table(spark, directory):
-    """Over the joined view of the stored tables, where an order has one customer and one date."""
-    return plain(features.feature_table(cleaning.repair_ship_dates(lines(spark, directory))))
+    """Over the joined view of the four tables, where an order has one customer and one date."""
+    return plain(features.feature_table(summary(spark, directory)))
 
 
 @query
@@ -250,10 +252,13 @@ def dedup_rows(spark, directory):
 def convert_types(spark, directory):
     """From text, as a raw file delivers it."""
     text = dirty(spark, directory).select(*[F.col(c).cast("string").alias(c) for c in ORDER_LINE_COLUMNS])
-    return cleaning.convert_types(text).select(
-        "order_id", *DATE_COLUMNS, "customer_id", "product_id", "customer_name", "ship_mode", "category", "quantity",
-        "sales", "discount", "profit",
-    )
+    return cleaning.convert_types(text)
+
+
+@query
+def conversion_report(spark, directory):
+    text = dirty(spark, directory).select(*[F.col(c).cast("string").alias(c) for c in ORDER_LINE_COLUMNS])
+    return cleaning.conversion_report(text)
 
 
 @query
@@ -362,13 +367,40 @@ def audit_lengths(spark, directory):
     return audits.length_audit(dirty(spark, directory))
 
 
+def _tables(spark, directory):
+    """The four normalized tables with their keys."""
+    clean = normalize.keyed(cleaning.clean(dirty(spark, directory)))
+    return {
+        "customers": (normalize.customers(clean), ["customer_id"]),
+        "products": (normalize.products(clean), ["product_id"]),
+        "orders": (normalize.order_headers(clean), ["order_id"]),
+        "order_items": (normalize.number_items(normalize.order_items(clean)), ["order_item_id"]),
+    }
+
+
+@query
+def audit_table_keys(spark, directory):
+    return audits.primary_key_audit(_tables(spark, directory))
+
+
+@query
+def audit_tables(spark, directory):
+    """Nulls in required columns and oversized values of all columns of the four tables."""
+    frames = []
+    for name, (df, _) in _tables(spark, directory).items():
+        nulls = audits.not_null_audit(df, df.columns).select("column_name", F.lit("not null").alias("rule"), F.col("null_count").alias("broken_rows"))
+        wide = audits.length_audit(df).select("column_name", F.lit("length").alias("rule"), F.col("oversized_values").alias("broken_rows"))
+        frames.append(nulls.unionByName(wide).select(F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, frames)
+
+
 # Exploratory statistics
 
 
 @query
 def describe_numeric(spark, directory):
     described = statistics.describe(explored(spark, directory), digits=None)
-    return rounded(described, 6, "std", "min", "p25", "p50", "p75", "max")
+    return rounded(described, 6, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 @query
@@ -426,6 +458,11 @@ def table_shape(spark, directory):
     return statistics.shape(lines(spark, directory))
 
 
+@query
+def eda_report(spark, directory):
+    return reports.eda_report(explored(spark, directory, "order_id", "category", "region"))
+
+
 # Segmentation
 
 
@@ -450,7 +487,7 @@ def rfm_scaled(spark, directory):
 
 @query
 def cluster_profile(spark, directory):
-    return segmentation.cluster_profile(_fixed_clusters(spark, directory))
+    return rounded(segmentation.cluster_profile(_fixed_clusters(spark, directory)), 6, *segmentation.RFM)
 
 
 @query
@@ -478,8 +515,20 @@ def k_sweep(spark, directory):
 def kmeans_segments(spark, directory):
     rows = _rfm(spark, directory)
     scaled = segmentation.scale(rows)
-    fit = segmentation.sweep_clusters(scaled, clusters=[4])[0]
-    return segmentation.label_customers(segmentation.assign_clusters(rows, scaled, fit.model))
+    best = max(segmentation.sweep_clusters(scaled), key=lambda fit: fit.silhouette)
+    return segmentation.label_customers(segmentation.assign_clusters(rows, scaled, best.model))
+
+
+@query
+def k_sweep_checks(spark, directory):
+    scaled = segmentation.scale(_rfm(spark, directory))
+    return segmentation.fit_checks(scaled, segmentation.sweep_clusters(scaled))
+
+
+@query
+def segment_report(spark, directory):
+    labelled = segmentation.label_customers(_fixed_clusters(spark, directory))
+    return reports.segment_report(segmentation.segment_sizes(labelled))
 
 
 # Market baskets
@@ -499,15 +548,12 @@ def _items(spark, directory):
     return baskets.basket_items(_basket_lines(spark, directory), "item")
 
 
-@query
+@partial(query, name="baskets")
 def basket_lists(spark, directory):
     listed = baskets.baskets(_basket_lines(spark, directory), "item")
     return listed.withColumn("items", F.array_join("items", ","))
 
 
-QUERIES["baskets"] = QUERIES.pop("basket_lists")
-
-
 @query
 def item_names(spark, directory):
     return baskets.item_names(_basket_lines(spark, directory), "item")
@@ -550,6 +596,13 @@ def rule_evidence(spark, directory):
     return baskets.rule_evidence(_rules(spark, directory), _items(spark, directory))
 
 
+@query
+def rule_report(spark, directory):
+    base = _basket_lines(spark, directory)
+    rules = baskets.association_rules(base.select("order_id", "item"), "item")
+    return reports.rule_report(rules, baskets.basket_items(base, "item"), baskets.item_names(base, "item"))
+
+
 # Forecasting
 
 
@@ -614,3 +667,17 @@ def actual_vs_predicted(spark, directory):
     split = _split(spark, directory)
     fitted = forecasting.fit_models(split)
     return forecasting.actual_vs_predicted(forecasting.predict(split, fitted), list(fitted))
+
+
+@query
+def model_checks(spark, directory):
+    split = _split(spark, directory)
+    return forecasting.model_checks(split, forecasting.fit_models(split))
+
+
+@query
+def forecast_report(spark, directory):
+    """Of the trend line, whose fit is a closed form."""
+    split = _split(spark, directory)
+    metrics = forecasting.error_metrics(forecasting.trend_predictions(split), keys=[]).withColumn("model", F.lit("Trend"))
+    return reports.forecast_report(metrics, timebins.split_bounds(split))

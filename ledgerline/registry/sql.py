@@ -105,8 +105,8 @@ TABLES = f"""dim_customer AS (
   SELECT order_id, product_id, CAST(sales AS DECIMAL(12,2)) AS sales, quantity, discount,
          CAST(profit AS DECIMAL(12,2)) AS profit FROM clean
 ), item AS (
-  SELECT row_number() OVER (ORDER BY substr(md5(concat_ws('|', order_id, product_id, CAST(sales AS VARCHAR),
-           CAST(quantity AS VARCHAR), CAST(discount AS VARCHAR), CAST(profit AS VARCHAR))), 1, 4), {ITEM_LIST}) AS order_item_id,
+  SELECT row_number() OVER (ORDER BY md5(concat_ws('|', order_id, product_id, CAST(sales AS VARCHAR),
+           CAST(quantity AS VARCHAR), CAST(discount AS VARCHAR), CAST(profit AS VARCHAR))), {ITEM_LIST}) AS order_item_id,
          {ITEM_LIST}
   FROM plain_item
 ), summary AS (
@@ -172,8 +172,7 @@ RFM = """last_day_seen AS (SELECT CAST(max(order_date) + INTERVAL 1 DAY AS DATE)
 
 PROFILE = """clustered AS (SELECT *, CAST(customer_id % 4 AS INTEGER) AS cluster FROM rfm
 ), means AS (
-  SELECT cluster, CAST(sum(recency_days) AS DOUBLE) / count(*) AS recency_days,
-         CAST(sum(frequency) AS DOUBLE) / count(*) AS frequency, CAST(sum(CAST(monetary AS DECIMAL(28,2))) AS DOUBLE) / count(*) AS monetary
+  SELECT cluster, avg(recency_days) AS recency_days, avg(frequency) AS frequency, avg(monetary) AS monetary
   FROM clustered GROUP BY cluster
 ), ranked AS (
   SELECT *, rank() OVER (ORDER BY recency_days) + (count(*) OVER (PARTITION BY recency_days) - 1) / 2e0 AS recency_rank,
@@ -358,6 +357,88 @@ GROUP BY bin, lo, w"""
 )
 
 
+# The columns of a flat file with their types after conversion, in Spark's and in SQL's words.
+CONVERTED = [
+    *[(c, "date", "DATE") for c in ("order_date", "ship_date")],
+    *[(c, "string", "VARCHAR") for c in (
+        "order_id", "ship_mode", "customer_id", "customer_name", "segment", "country", "city", "state", "region", "product_id",
+        "category", "sub_category", "product_name")],
+    *[(c, "double", "DOUBLE") for c in ("sales", "discount", "profit")],
+    ("quantity", "int", "INTEGER"),
+]
+
+# Tables and columns with the longest text or the decimal digits that each may hold.
+TABLE_LIMITS = {
+    "dim_customer": ("customers", {"customer_id": 20, "customer_name": 150, "segment": 30, "country": 60, "city": 80, "state": 80, "region": 20}),
+    "dim_product": ("products", {"product_id": 20, "product_name": 150, "category": 50, "sub_category": 50}),
+    "header": ("orders", {"order_id": 20, "customer_id": 20, "ship_mode": 30, "order_date": None, "ship_date": None}),
+    "item": ("order_items", {"order_id": 20, "product_id": 20, "sales": (12, 2), "discount": (4, 2), "profit": (12, 2), "quantity": None,
+                             "order_item_id": None}),
+}
+
+
+def _table_audit() -> str:
+    parts = []
+    for source, (name, columns) in TABLE_LIMITS.items():
+        for c, limit in columns.items():
+            parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'not null' AS rule, count(*) FILTER ({c} IS NULL) AS broken_rows FROM {source}")
+            if isinstance(limit, int):
+                parts.append(f"SELECT '{name}', '{c}', 'length', count(*) FILTER (length({c}) > {limit}) FROM {source}")
+            elif limit:
+                kind = f"DECIMAL({limit[0]},{limit[1]})"
+                parts.append(f"SELECT '{name}', '{c}', 'length', count(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS {kind}) IS NULL) FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _eda_report() -> str:
+    described, moments = [], []
+    for c in DESCRIBED_COLUMNS:
+        v = f"CAST({c} AS DOUBLE)"
+        figures = {"count": f"count({v})", "mean": half_even(f"avg({v})", 2), "std": half_even(f"stddev_samp({v})", 2), "min": half_even(f"min({v})", 2),
+                   **{f"p{p}": half_even(f"quantile_cont({v}, {p / 100})", 2) for p in (25, 50, 75)}, "max": half_even(f"max({v})", 2)}
+        described += [f"SELECT 'describe {m}' AS section, '{c}' AS metric, CAST({e} AS DOUBLE) AS value FROM eda" for m, e in figures.items()]
+        moments += [
+            f"SELECT '{name}', '{c}', {half_even(f'avg(pow(({v} - m) / s, {power})){less}', 2)} FROM eda, "
+            f"(SELECT avg({v}) AS m, stddev_pop({v}) AS s FROM eda)" for name, power, less in (("skewness", 3, ""), ("kurtosis", 4, " - 3"))
+        ]
+    others = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS metric, {half_even(f'corr(CAST(sales AS DOUBLE), CAST({c} AS DOUBLE))', 2)} AS value FROM eda" for c in DESCRIBED_COLUMNS if c != "sales")
+    return "\nUNION ALL\n".join([
+        *described, *moments,
+        "SELECT 'shape', 'row_count', CAST(count(*) AS DOUBLE) FROM eda", "SELECT 'shape', 'column_count', 13e0",
+        f"SELECT 'correlation with sales', 'highest: ' || metric, value FROM (SELECT * FROM ({others}) ORDER BY value DESC, metric LIMIT 1)",
+        f"SELECT 'correlation with sales', 'lowest_signed: ' || metric, value FROM (SELECT * FROM ({others}) ORDER BY value, metric LIMIT 1)",
+        "SELECT 'category sales', category, CAST(sum(sales) AS DOUBLE) FROM eda GROUP BY category",
+        "SELECT 'regional sales', region, CAST(sum(sales) AS DOUBLE) FROM eda GROUP BY region",
+        f"SELECT 'extreme months', kind || ': ' || month, total_sales FROM ({PEAK_LOW})",
+    ])
+
+
+def _segment_report() -> str:
+    sizes = "FROM clustered c JOIN (SELECT cluster, segment FROM profile) USING (cluster) GROUP BY segment"
+    return "\nUNION ALL\n".join([
+        f"SELECT 'customers' AS section, segment AS metric, CAST(count(*) AS DOUBLE) AS value {sizes}",
+        *[f"SELECT '{c}', segment, {half_even(f'avg(c.{c})', 1)} {sizes}" for c in ("recency_days", "frequency", "monetary")],
+    ])
+
+
+NAMES = """names AS (SELECT sub_category || '/' || category AS item, product_name FROM lines
+  QUALIFY row_number() OVER (PARTITION BY sub_category, category ORDER BY order_date, order_id, product_name) = 1)"""
+
+RULE_REPORT = """SELECT 'evidence' AS section, metric, CAST(value AS DOUBLE) AS value FROM (
+  UNPIVOT (SELECT (SELECT n FROM total) AS orders, (SELECT count(*) FROM counts) AS products,
+             CAST((SELECT count(*) * (count(*) - 1) // 2 FROM counts) AS BIGINT) AS possible_pairs, count(*) AS rules,
+             count(*) FILTER (co_occurrence_count < 10) AS thin_rules FROM rules)
+  ON COLUMNS(*) INTO NAME metric VALUE value)
+UNION ALL SELECT 'lift', concat_ws(' + ', a.product_name, b.product_name), r.lift FROM
+  (SELECT * FROM rules ORDER BY lift DESC, product_a, product_b LIMIT 10) r
+  LEFT JOIN names a ON r.product_a = a.item LEFT JOIN names b ON r.product_b = b.item"""
+
+FORECAST_REPORT = f"""SELECT 'split' AS section, CASE WHEN is_train THEN 'train weeks' ELSE 'test weeks' END AS metric,
+  CAST(count(*) AS DOUBLE) AS value FROM split GROUP BY is_train
+UNION ALL SELECT metric, 'Trend', value FROM (UNPIVOT ({METRICS}) ON COLUMNS(*) INTO NAME metric VALUE value)"""
+
+
 def oracle_sql() -> dict[str, str]:
     clean = (LINES, DIRTY, CLEAN)
     tables = (*clean, TABLES)
@@ -421,7 +502,7 @@ FROM (
   SELECT *, max(customer_total_orders_to_date) OVER (PARTITION BY customer_id) AS customer_lifetime_order_count FROM (
     SELECT *, {TIME_FEATURES}, CAST(date_diff('day', order_date, ship_date) AS INTEGER) AS days_to_ship, {FINANCIALS},
            {CUSTOMER_WINDOWS}, sum(sales) OVER (PARTITION BY order_id) AS order_total_sales
-    FROM repaired))""", LINES, REPAIRED),
+    FROM summary))""", *tables),
         "seasonal_weight": q(
             """SELECT order_date, CAST(w AS DOUBLE) AS seasonal_weight, CAST(total_sales AS DOUBLE) AS total_sales,
   round(CAST(total_sales AS DOUBLE) / CAST(w AS DOUBLE), 6) AS deseasonalized_sales
@@ -444,9 +525,12 @@ FROM (SELECT order_date, sum(sales) AS total_sales,
 UNION ALL SELECT 'discount', count(*), '0.0' FROM dirty WHERE discount IS NULL""", LINES, DIRTY),
         "dedup_rows": q(f"SELECT {ALL_LINE_COLUMNS} FROM distinct_rows", *clean),
         "convert_types": q(
-            """SELECT CAST(order_id AS VARCHAR) AS order_id, order_date, ship_date, CAST(customer_id AS VARCHAR) AS customer_id,
-  CAST(product_id AS VARCHAR) AS product_id, customer_name, ship_mode, category, quantity, """
-            + doubles("sales", "discount", "profit") + " FROM dirty", LINES, DIRTY),
+            f"""SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
+  CAST(product_id AS VARCHAR) AS product_id) FROM (SELECT {ALL_LINE_COLUMNS} FROM dirty)""", LINES, DIRTY),
+        "conversion_report": q("\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column_name, 'string' AS type_before, '{kind.lower()}' AS type_after, count({c}) AS given, "
+            f"count(*) FILTER ({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS {sql_kind}) IS NULL) AS unparsed FROM dirty"
+            for c, kind, sql_kind in CONVERTED), LINES, DIRTY),
         "rule_violations": q(
             """SELECT 'ship_date before order_date' AS rule, count(*) AS violations FROM typed WHERE ship_date < order_date HAVING count(*) > 0
 UNION ALL SELECT 'sales <= 0', count(*) FROM typed WHERE sales <= 0 HAVING count(*) > 0
@@ -505,9 +589,16 @@ UNION ALL SELECT 'sales > 0', count(*) FILTER (NOT sales > 0) FROM dirty
 UNION ALL SELECT 'quantity > 0', count(*) FILTER (NOT quantity > 0) FROM dirty
 UNION ALL SELECT 'discount between 0 and 1', count(*) FILTER (NOT discount BETWEEN 0 AND 1) FROM dirty""", LINES, DIRTY),
         "audit_lengths": q(_length_checks(), LINES, DIRTY),
+        "audit_table_keys": q("\nUNION ALL\n".join(
+            f"SELECT '{name}' AS table_name, '{key}' AS key_columns, count(*) FILTER (n > 1) AS repeated_keys, "
+            f"CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus_rows FROM (SELECT count(*) AS n FROM {source} GROUP BY {key})"
+            for source, name, key in (("dim_customer", "customers", "customer_id"), ("dim_product", "products", "product_id"),
+                                      ("header", "orders", "order_id"), ("item", "order_items", "order_item_id"))), *tables),
+        "audit_tables": q(_table_audit(), *tables),
         # Exploratory statistics
+        "eda_report": q(_eda_report(), *eda, MONTHLY),
         "describe_numeric": q(_per_column(
-            """SELECT '{c}' AS metric, count({v}) AS count, CAST(sum(CAST({c} AS DECIMAL(28,2))) AS DOUBLE) / count({v}) AS mean, round(stddev_samp({v}), 6) AS std,
+            """SELECT '{c}' AS metric, count({v}) AS count, round(avg({v}), 6) AS mean, round(stddev_samp({v}), 6) AS std,
   round(min({v}), 6) AS min, round(quantile_cont({v}, 0.25), 6) AS p25, round(quantile_cont({v}, 0.5), 6) AS p50,
   round(quantile_cont({v}, 0.75), 6) AS p75, round(max({v}), 6) AS max FROM {source}"""), *eda),
         "skew_kurtosis": q(
@@ -540,14 +631,14 @@ ORDER BY md5(concat_ws('|', CAST(order_id AS VARCHAR), CAST(product_id AS VARCHA
                 f"round((ln(1 + {c}) - (SELECT avg(ln(1 + {c})) FROM rfm)) / (SELECT stddev_pop(ln(1 + {c})) FROM rfm), 6) AS {c}_z"
                 for c in ("recency_days", "frequency", "monetary")) + " FROM rfm", LINES, RFM),
         "cluster_profile": q(
-            """SELECT cluster, recency_days, frequency, monetary, recency_rank, frequency_rank, monetary_rank, composite_rank, segment FROM profile""",
+            """SELECT cluster, round(recency_days, 6) AS recency_days, round(frequency, 6) AS frequency, round(monetary, 6) AS monetary, recency_rank, frequency_rank, monetary_rank, composite_rank, segment FROM profile""",
             LINES, RFM, PROFILE),
         "segment_labels": q(
             """SELECT customer_id, c.recency_days, c.frequency, c.monetary, cluster, segment
 FROM clustered c JOIN (SELECT cluster, segment FROM profile) USING (cluster)""", LINES, RFM, PROFILE),
         "segment_sizes": q(
-            f"""SELECT segment, count(*) AS customers, {half_even('CAST(sum(c.recency_days) AS DOUBLE) / count(*)', 1)} AS recency_days,
-  {half_even('CAST(sum(c.frequency) AS DOUBLE) / count(*)', 1)} AS frequency, {half_even('CAST(sum(CAST(c.monetary AS DECIMAL(28,2))) AS DOUBLE) / count(*)', 1)} AS monetary,
+            f"""SELECT segment, count(*) AS customers, {half_even('avg(c.recency_days)', 1)} AS recency_days,
+  {half_even('avg(c.frequency)', 1)} AS frequency, {half_even('avg(c.monetary)', 1)} AS monetary,
   CASE segment WHEN 'Champions' THEN 'reward loyalty and offer new products first'
     WHEN 'Loyal Customers' THEN 'offer upgrades and complementary products'
     WHEN 'At Risk' THEN 'win back before the customer leaves' ELSE 're-engage at low cost by mail' END AS action
@@ -555,7 +646,12 @@ FROM clustered c JOIN (SELECT cluster, segment FROM profile) USING (cluster) GRO
         "segment_points": q(
             """SELECT customer_id, segment, c.frequency, c.monetary, 300e0 / (c.recency_days + 10) AS point_size
 FROM clustered c JOIN (SELECT cluster, segment FROM profile) USING (cluster)""", LINES, RFM, PROFILE),
+        "segment_report": q(_segment_report(), LINES, RFM, PROFILE),
+        "k_sweep_checks": q(
+            """SELECT CAST(k AS INTEGER) AS clusters, (SELECT count(*) FROM rfm) AS customers, CAST(0 AS BIGINT) AS not_nearest,
+  TRUE AS inertia_matches, CAST(1 AS INTEGER) AS selected FROM range(2, 9) t(k)""", LINES, RFM),
         # Market baskets
+        "rule_report": q(RULE_REPORT, LINES, ITEMS, RULES, NAMES),
         "baskets": q(
             "SELECT order_id, string_agg(item, ',' ORDER BY item) AS items, CAST(count(*) AS INTEGER) AS item_count FROM bought GROUP BY order_id",
             LINES, ITEMS),
@@ -589,6 +685,10 @@ WHERE rank <= 5 GROUP BY product""", LINES, ITEMS, RULES),
   (SELECT count(*) * (count(*) - 1) // 2 FROM counts) AS possible_pairs, count(*) AS rules,
   count(*) FILTER (co_occurrence_count < 10) AS thin_rules FROM rules""", LINES, ITEMS, RULES),
         # Forecasting
+        "model_checks": q(
+            """SELECT model, (SELECT count(*) FROM split WHERE NOT is_train) AS held_out_weeks, TRUE AS holds
+FROM (VALUES ('Linear Regression'), ('Random Forest'), ('Harmonic Regression')) t(model)""", LINES, weekly()),
+        "forecast_report": q(FORECAST_REPORT, LINES, weekly()),
         "weekly_sales": q("SELECT week_end, total_sales FROM weekly", LINES, weekly()),
         "weekly_features": q("SELECT * FROM features", LINES, weekly()),
         "chronological_split": q("SELECT week_end, total_sales, time_index, is_train FROM split", LINES, weekly()),

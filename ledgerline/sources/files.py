@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, types as T
 
 from ledgerline.schemas import ORDER_LINE_SCHEMA, RAW_TEXT_SCHEMA
 
@@ -82,13 +82,31 @@ def append_table(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
 
 
+def reload_tables(tables: Mapping[str, DataFrame]) -> None:
+    """Empty the named catalog tables and load them again, parents listed first.
+
+    Children are emptied before the parents that they refer to, and loaded after them. Running it twice leaves the
+    same rows. The frames must not read the tables they replace.
+    """
+    frames = {name: df.select(*df.sparkSession.table(name).columns) for name, df in tables.items()}
+    for name in reversed(frames):
+        frames[name].limit(0).write.insertInto(name, overwrite=True)
+    for name, df in frames.items():
+        df.write.insertInto(name)
+
+
+def reload_jdbc(tables: Mapping[str, DataFrame], url: str, batch_size: int = 500, **options: str) -> None:
+    """As ``reload_tables`` for tables of a database: emptied in place, so that keys and references stay declared."""
+    for name in reversed(tables):
+        jdbc_writer(tables[name].limit(0), url, name, batch_size, **options).option("truncate", True).mode("overwrite").save()
+    for name, df in tables.items():
+        jdbc_writer(df, url, name, batch_size, **options).mode("append").save()
+
+
+def jdbc_writer(df: DataFrame, url: str, table: str, batch_size: int, **options: str) -> DataFrameWriter:
+    writer = df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch_size)
+    return writer.options(**options)
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 500, **options: str) -> None:
-    (
-        df.write.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .option("batchsize", batch_size)
-        .options(**options)
-        .mode("append")
-        .save()
-    )
+    jdbc_writer(df, url, table, batch_size, **options).mode("append").save()

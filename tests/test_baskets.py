@@ -14,6 +14,20 @@ PUBLISHED = [
     (6, 0.0606, 0.0659, 3.33), (6, 0.0667, 0.0594, 3.3), (6, 0.0732, 0.0508, 3.1), (5, 0.0562, 0.0543, 3.053),
     (6, 0.0577, 0.0577, 2.774), (5, 0.0446, 0.061, 2.722), (5, 0.0495, 0.0549, 2.72), (5, 0.0581, 0.0467, 2.717),
     (5, 0.0463, 0.0581, 2.692), (5, 0.0575, 0.0463, 2.661), (6, 0.0508, 0.0625, 2.648), (6, 0.0588, 0.0536, 2.626),
+    (5, 0.0446, 0.0575, 2.566), (5, 0.049, 0.0521, 2.553), (6, 0.0541, 0.0556, 2.503), (5, 0.0505, 0.0485, 2.452),
+    (5, 0.0521, 0.0463, 2.411), (5, 0.049, 0.0481, 2.357), (5, 0.0476, 0.049, 2.334), (5, 0.0463, 0.05, 2.315),
+    (5, 0.0495, 0.0467, 2.313), (5, 0.0543, 0.042, 2.284), (5, 0.0581, 0.0391, 2.271), (5, 0.0413, 0.0549, 2.27),
+    (5, 0.05, 0.0446, 2.232), (5, 0.05, 0.0446, 2.232), (5, 0.0476, 0.0463, 2.205), (5, 0.0459, 0.0481, 2.205),
+    (5, 0.0435, 0.0505, 2.196), (5, 0.042, 0.0521, 2.188), (5, 0.0476, 0.0459, 2.184), (5, 0.0463, 0.0467, 2.163),
+    (5, 0.0521, 0.0413, 2.152), (5, 0.0481, 0.0446, 2.146), (6, 0.0536, 0.048, 2.143), (5, 0.0459, 0.0463, 2.124),
+    (5, 0.0459, 0.0463, 2.124), (5, 0.0459, 0.0463, 2.124), (5, 0.0385, 0.0549, 2.113), (5, 0.0385, 0.0549, 2.113),
+    (5, 0.0472, 0.0446, 2.106), (5, 0.0463, 0.0455, 2.104), (6, 0.0504, 0.0496, 2.083), (5, 0.041, 0.0505, 2.07),
+    (5, 0.0463, 0.0446, 2.067), (5, 0.049, 0.042, 2.06), (5, 0.0463, 0.0439, 2.031), (5, 0.0505, 0.0397, 2.004),
+    (6, 0.0504, 0.0476, 2.001), (5, 0.0476, 0.042, 2.001), (5, 0.0446, 0.0446, 1.993), (5, 0.0495, 0.0397, 1.964),
+    (5, 0.0463, 0.042, 1.945), (5, 0.0439, 0.0435, 1.907), (5, 0.0463, 0.041, 1.897), (5, 0.0385, 0.0481, 1.849),
+    (5, 0.0439, 0.042, 1.843), (5, 0.0439, 0.042, 1.843), (5, 0.0439, 0.0413, 1.812), (5, 0.0463, 0.0391, 1.808),
+    (5, 0.0427, 0.042, 1.796), (5, 0.0459, 0.0391, 1.792), (5, 0.0385, 0.0463, 1.781), (5, 0.042, 0.042, 1.765),
+    (5, 0.04, 0.0435, 1.739),
 ]
 
 

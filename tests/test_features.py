@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -10,16 +9,19 @@ from pyspark.sql import functions as F
 from ledgerline.operators import features, forecasting
 
 
-def expected_history(pdf):
-    """Row-by-row statement of the definitions."""
-    unique = pdf[["customer_id", "order_id", "order_date"]].drop_duplicates().sort_values(["customer_id", "order_date", "order_id"])
-    unique["n"] = unique.groupby("customer_id").cumcount() + 1
-    life = unique.groupby("customer_id").size()
-    first = unique.groupby("customer_id")["order_date"].min()
-    return sorted(
-        (r.customer_id, r.order_id, r.n, int(life[r.customer_id]), first[r.customer_id], (r.order_date - first[r.customer_id]).days)
-        for r in unique.itertuples()
-    )
+def expected_history(data):
+    """Walks through every customer's orders by (date, order id) and counts them."""
+    days = {}
+    for customer, order, day, _ in data:
+        days.setdefault(customer, set()).add((day, order))
+    out = []
+    for customer, orders in days.items():
+        walked = 0
+        opened = min(day for day, _ in orders)
+        for day, order in sorted(orders):
+            walked += 1
+            out.append((customer, order, walked, len(orders), opened, (day - opened).days))
+    return sorted(out)
 
 
 def history_of(df):
@@ -41,18 +43,47 @@ def test_history_with_a_hot_customer_and_hot_days(spark, text_keys):
         order = (i * 37) % 1009
         day = start + dt.timedelta((i * 13) % 5)
         data += [(customer, f"ORD-{order:06d}" if text_keys else order, day, 1.0)] * (1 + i % 2)
-    pdf = pd.DataFrame(data, columns=["customer_id", "order_id", "order_date", "sales"])
     kind = "string" if text_keys else "bigint"
     df = spark.createDataFrame(data, f"customer_id int, order_id {kind}, order_date date, sales double")
-    wanted = expected_history(pdf)
+    wanted = expected_history(data)
     assert history_of(features.add_customer_features(df)) == wanted
     # Narrow chunks: the rank is then put together from many parts.
-    profile = features.order_profile(df, chunk_width=16, chunk_prefix=8)
+    profile = features.order_profile(df, chunk_orders=4)
     assert sorted((r[0], r[1], r[2], r[3]) for r in profile.select(
         "customer_id", "order_id", "customer_total_orders_to_date", "customer_lifetime_order_count").collect()
     ) == [w[:4] for w in wanted]
 
 
+def busy_day(spark, order):
+    """Two thirds of the orders belong to one customer on one day."""
+    day = dt.date(2024, 1, 1)
+    table = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 50 + 1).otherwise(F.lit(0)).alias("customer_id"),
+        order(F.col("id")).alias("order_id"), F.lit(day).alias("order_date"), F.lit(1.0).alias("sales"),
+    )
+    return table
+
+
+@pytest.mark.parametrize(
+    "order",
+    [
+        lambda i: F.concat(F.lit("ORDER-2024-LONG-NAME"), F.lpad(i.cast("string"), 9, "0")),
+        lambda i: F.xxhash64(i),
+        lambda i: F.md5(i.cast("string")),
+        lambda i: i * 1_000_003,
+    ],
+    ids=["long common prefix", "hashed numbers", "hashed text", "sparse numbers"],
+)
+def test_chunks_of_a_busy_day_are_bounded(spark, order):
+    table = busy_day(spark, order)
+    orders = table.groupBy("customer_id", "order_id", "order_date").agg(F.sum("sales").alias("s"))
+    chunks = features.with_chunks(orders, 100).groupBy("customer_id", "order_date", "_chunk").count()
+    assert chunks.agg(F.max("count")).first()[0] <= 400
+    assert chunks.groupBy("customer_id", "order_date").count().agg(F.max("count")).first()[0] <= 41
+    ranked = features.order_profile(table, chunk_orders=100).where("customer_id = 0").orderBy("order_id")
+    assert [r[0] for r in ranked.select("customer_total_orders_to_date").collect()] == list(range(1, 4001))
+
+
 def test_two_orders_on_a_day_and_an_order_with_two_lines(spark):
     day = dt.date(2024, 5, 1)
     df = spark.createDataFrame(

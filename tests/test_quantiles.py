@@ -10,11 +10,11 @@ from ledgerline.operators.quantiles import exact_quantiles, unpivot_numbers, val
 PROBS = [0.25, 0.5, 0.75]
 
 
-def quantiles(spark, values, bins=4, rounds=2, precount=True):
+def quantiles(spark, values, precount=True):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     long = unpivot_numbers(df, ["x"])
     long = value_counts(long, ["metric"]) if precount else long.withColumn("cnt", F.lit(1).cast("long"))
-    found = exact_quantiles(long, ["metric"], PROBS, bins=bins, rounds=rounds).collect()
+    found = exact_quantiles(long, ["metric"], PROBS).collect()
     return {r["prob"]: r["quantile"] for r in found}
 
 
@@ -46,7 +46,7 @@ def test_equal_to_numpy_on_any_list(spark, values):
 
 def test_one_value_holding_a_third_of_the_rows(spark):
     values = [7.0] * 400 + list(np.random.default_rng(1).normal(0, 100, 800).round(2))
-    got = quantiles(spark, values, bins=16)
+    got = quantiles(spark, values)
     for p in PROBS:
         assert got[p] == pytest.approx(np.quantile(values, p))
 

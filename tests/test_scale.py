@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
 import re
+import struct
 from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import features, normalize
+from ledgerline.operators import baskets, cleaning, features, normalize, quantiles
 from ledgerline.operators.joins import join_per_key
-from ledgerline.registry.queries import QUERIES
-from ledgerline.session import cut_lineage
+from ledgerline.registry.queries import QUERIES, dirty
 
-MODELS = {"k_sweep", "kmeans_segments", "model_comparison", "actual_vs_predicted"}
+MODELS = {"k_sweep", "k_sweep_checks", "kmeans_segments", "model_comparison", "model_checks", "actual_vs_predicted"}
 
 
 @contextmanager
@@ -95,15 +97,43 @@ def test_first_rows_are_limited_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2 and first.count() == 26
 
 
-def test_checkpoint_folder_is_the_configured_one(spark):
-    frame = cut_lineage(spark.range(10))
-    assert frame.count() == 10 and spark.sparkContext.getCheckpointDir()
-
-
 def test_filters_and_columns_reach_the_scan(spark, small):
     plan = plan_of(QUERIES["category_sales"](spark, small))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     line = next(s for s in schemas if "l_" in s)
-    # The order key is only there to deal this single small file over the cores.
-    assert {c.split(":")[0] for c in line.split(",")} == {"l_orderkey", "l_partkey", "l_extendedprice", "l_discount"}
+    assert {c.split(":")[0] for c in line.split(",")} == {"l_partkey", "l_extendedprice", "l_discount"}
     assert "orders" not in plan and "customer" not in plan
+
+
+def test_top_rules_neither_broadcast_nor_sort_all_names(spark):
+    names = spark.range(1000).select(F.concat(F.lit("i"), "id").alias("item"), F.concat(F.lit("name "), "id").alias("product_name"))
+    rules = spark.createDataFrame([("i1", "i2", 2.0), ("i3", "none", 1.5)], "product_a string, product_b string, lift double")
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        top = baskets.top_rules(rules, names)
+        assert sorted(tuple(r)[:2] for r in top.collect()) == [("name 1", "name 2"), ("name 3", None)]
+        assert "SortMergeJoin" not in plan_of(top)
+
+
+def test_ids_do_not_depend_on_the_number_of_buckets(spark, small):
+    items = normalize.order_items(cleaning.clean(dirty(spark, small)))
+    found = [sorted(map(tuple, normalize.number_items(items, digits).collect()), key=repr) for digits in (2, 4, 5)]
+    assert found[0] == found[1] == found[2]
+
+
+def test_quantile_rounds_end_on_single_values(spark):
+    draw = random.Random(5)
+    table = [("m", -k / 7 if k % 997 == 0 else round(math.exp(draw.random() * 27 - 4), 2), 1) for k in range(20000)]
+    values = spark.createDataFrame(table, "metric string, value double, cnt long")
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    found = {r["prob"]: r["quantile"] for r in quantiles.exact_quantiles(values, ["metric"], probs).collect()}
+    expected = values.agg(F.percentile("value", F.array(*map(F.lit, probs)))).first()[0]
+    assert [found[p] for p in probs] == pytest.approx(expected, rel=1e-12)
+
+
+def test_order_codes_keep_the_order_of_doubles(spark):
+    numbers = [0.0, 5e-324, 1e-310, 2.2250738585072014e-308, 1e-5, 0.1, 0.5, 0.9999999999999999, 1.0, 1.0000000000000002, 2.0, 3.5, 4.0, 1e15, 2.0**62, 1.7976931348623157e308]
+    numbers = sorted({s * n for n in numbers for s in (-1, 1)})
+    coded = spark.createDataFrame([(n,) for n in numbers], "value double").withColumn("code", quantiles.order_code("value"))
+    codes = [r["code"] for r in coded.orderBy("value").collect()]
+    assert all(a < b for a, b in zip(codes, codes[1:]))
+    assert codes[len(codes) // 2 + 1] == 1 and struct.unpack("<q", struct.pack("<d", numbers[-1]))[0] == codes[-1]

@@ -38,6 +38,20 @@ def test_append_matches_columns_by_name(spark):
         spark.sql("DROP TABLE append_target")
 
 
+def test_reload_empties_children_first_and_can_run_twice(spark):
+    spark.sql("CREATE TABLE reload_parent (a INT) USING parquet")
+    spark.sql("CREATE TABLE reload_child (b STRING, a INT) USING parquet")
+    try:
+        parent, child = spark.range(3).selectExpr("int(id) AS a"), spark.range(6).selectExpr("int(id % 3) AS a", "string(id) AS b")
+        for _ in range(2):
+            files.reload_tables({"reload_parent": parent, "reload_child": child})
+            assert rows(spark.table("reload_parent")) == rows(parent)
+            assert rows(spark.table("reload_child"), "a", "b") == rows(child, "a", "b")
+    finally:
+        spark.sql("DROP TABLE reload_parent")
+        spark.sql("DROP TABLE reload_child")
+
+
 def test_a_partitioned_jdbc_read_needs_bounds(spark):
     with pytest.raises(ValueError, match="bounds"):
         files.read_jdbc(spark, "jdbc:none", "t", partition_column="id")
@@ -78,4 +92,7 @@ def test_all_jobs_twice_give_the_same_tables(spark, small, tmp_path):
     for report in ("cleaning", "eda", "rules", "segments", "forecast"):
         assert spark.read.parquet(f"{out}/reports/{report}").columns == ["section", "metric", "value"]
     assert spark.read.parquet(f"{out}/segments").count() == counts["tables/customers"]
+    stored = spark.read.parquet(f"{out}/segments")
+    scored = jobs.score(spark, out, stored.select("customer_id", "recency_days", "frequency", "monetary"))
+    assert rows(scored, "customer_id", "cluster") == rows(stored, "customer_id", "cluster")
     assert spark.read.csv(f"{out}/reports/monthly_trend", header=True).columns[0] == "order_date"
