@@ -56,31 +56,24 @@ def _shared_prefix(a: str, b: str) -> Column:
 def with_chunks(orders: DataFrame, chunk_orders: int = CHUNK_ORDERS) -> DataFrame:
     """Adds ``_chunk``: an order-preserving part of the order keys of each customer's day.
 
-    A day of n orders has n / ``chunk_orders`` chunks, so nearly all days have one. Keys are placed between the day's
-    smallest and largest one: whole numbers by their value, texts by the seven bytes after what all keys of the day
-    begin with. Long common beginnings, sparse keys and hashed keys spread alike.
+    Nearly all days have one chunk. On a day of more than ``chunk_orders`` orders, whole numbers are placed by their
+    value between the day's smallest and largest one, and texts by the characters that follow what all keys of the day begin
+    with, as many as there are digits in the number of chunks wanted. Long common beginnings, sparse keys and
+    hashed keys spread alike.
     """
     day = ["customer_id", "order_date"]
     whole = isinstance(orders.schema["order_id"].dataType, T.IntegralType)
     key = F.col("order_id") if whole else F.col("order_id").cast("string")
-    days = orders.groupBy(*day).agg(F.count("*").alias("_n"), F.min(key).alias("_low"), F.max(key).alias("_high"))
-    parts = F.ceil(F.col("_n") / chunk_orders)
+    days = orders.groupBy(*day).agg(F.ceil(F.count("*") / chunk_orders).alias("_parts"), F.min(key).alias("_low"), F.max(key).alias("_high"))
     if whole:
-        days = days.withColumn("_skip", F.lit(0))
+        low, high = F.col("_low").cast("double"), F.col("_high").cast("double")
+        chunk = F.floor((key.cast("double") - low) / (high - low + 1.0) * F.col("_parts"))
     else:
-        days = days.withColumn("_skip", F.when(parts > 1, _shared_prefix("_low", "_high")).otherwise(0))
-
-    def code(c: Column) -> Column:
-        if whole:
-            return c.cast("double")
-        after = F.substring(F.encode(F.substring(c, F.col("_skip") + 1, F.lit(7)), "UTF-8"), F.lit(1), F.lit(7))
-        return F.conv(F.rpad(F.hex(after), 14, "0"), 16, 10).cast("double")
-
-    low, high = code(F.col("_low")), code(F.col("_high"))
-    share = (code(key) - low) / (high - low + 1.0)
-    placed = join_per_key(orders, days.withColumn("_parts", parts), day)
-    chunk = F.when(F.col("_parts") > 1, F.floor(share * F.col("_parts"))).otherwise(F.lit(0).cast("long"))
-    return placed.withColumn("_chunk", chunk).drop("_n", "_low", "_high", "_skip", "_parts")
+        days = days.withColumn("_skip", F.when(F.col("_parts") > 1, _shared_prefix("_low", "_high")).otherwise(0))
+        chunk = F.substring(key, F.col("_skip") + 1, F.ceil(F.log10("_parts")).cast("int"))
+    placed = join_per_key(orders, days, day)
+    one = F.lit(0).cast("long") if whole else F.lit("")
+    return placed.withColumn("_chunk", F.when(F.col("_parts") > 1, chunk).otherwise(one)).select(*orders.columns, "_chunk")
 
 
 def order_profile(lines: DataFrame, chunk_orders: int = CHUNK_ORDERS) -> DataFrame:
