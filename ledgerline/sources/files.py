@@ -51,9 +51,15 @@ def read_jdbc(
     partition_column: str | None = None,
     bounds: tuple[str, str] | None = None,
     partitions: int = 64,
+    single_task: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Database table or view; with a partition column the read is split over the executors."""
+    """Database table or view, read in ranges of the partition column by many tasks.
+
+    Only a table that is known to be small may be read through one task, and only when asked for.
+    """
+    if not partition_column and not single_task:
+        raise ValueError("name a partition column with its bounds, or ask for a single task")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
     if partition_column:
         lower, upper = bounds or (None, None)

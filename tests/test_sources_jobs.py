@@ -55,6 +55,8 @@ def test_reload_empties_children_first_and_can_run_twice(spark):
 def test_a_partitioned_jdbc_read_needs_bounds(spark):
     with pytest.raises(ValueError, match="bounds"):
         files.read_jdbc(spark, "jdbc:none", "t", partition_column="id")
+    with pytest.raises(ValueError, match="single task"):
+        files.read_jdbc(spark, "jdbc:none", "t")
 
 
 def test_unused_joins_are_left_out_without_changing_lines(spark, small):
