@@ -25,7 +25,7 @@ GRAM = 32
 SPAN = LENGTH - GRAM + 1
 
 #: Suffixes that are sorted together in a run and that a merge gets on average; rows that the splitters are taken from.
-RUN = 100_000
+RUN = 40_000
 RANGE = 20_000
 SAMPLE = 4_000
 
@@ -312,15 +312,24 @@ def covered(base: DataFrame, dealt: DataFrame) -> DataFrame:
     return whole.union(looked).groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 
-def merged_spans(spans, size: int) -> list[tuple[int, int]]:
-    """The union of intervals as maximal ones, in order."""
-    out: list[tuple[int, int]] = []
-    for low, high in sorted((s["low"], s["high"]) for s in spans):
-        if out and low <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], high))
-        else:
-            out.append((low, high))
-    return [(a, min(b, size)) for a, b in out]
+def cut_spans(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Remaining bytes of each document of a slice without the intervals, and how many maximal ones were cut out of it."""
+    n_docs = len(offsets) - 1
+    depth = np.zeros(len(data) + 1, np.int32)
+    np.add.at(depth, offsets[doc] + low, 1)
+    np.add.at(depth, np.minimum(offsets[doc] + high, offsets[doc + 1]), -1)
+    gone = np.cumsum(depth[:-1]) > 0
+    begins = gone.copy()
+    begins[1:] &= ~gone[:-1]
+    at = offsets[:-1][np.diff(offsets) > 0]
+    begins[at] = gone[at]
+    spans = np.diff(np.concatenate([[0], np.cumsum(begins)])[offsets])
+    touched = np.diff(np.concatenate([[0], np.cumsum(gone)])[offsets]) > 0
+    kept = []
+    for k in range(n_docs):
+        own = data[offsets[k] : offsets[k + 1]]
+        kept.append((own[~gone[offsets[k] : offsets[k + 1]]] if touched[k] else own).tobytes())
+    return kept, spans
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -335,16 +344,17 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     dealt = keyed.repartition("row")
     joined = dealt.join(covered(keyed.select("row", "text"), dealt), "row", "left")
 
-    def cut_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for doc_id, text, spans in zip(frame["doc_id"], frame["text"], frame["spans"]):
-                data = text.encode()
-                gone = merged_spans(spans, len(data)) if spans is not None else []
-                edges = [0, *(x for s in gone for x in s), len(data)]
-                kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                out.append((doc_id, len(data), len(data) - len(kept), len(gone), kept))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": frame["doc_id"].dtype})
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end, data, offsets in text_slices(batch):
+                spans = batch.column(2).slice(begin, end - begin)
+                doc = np.repeat(np.arange(end - begin), spans.value_lengths().fill_null(0).to_numpy())
+                bounds = spans.flatten()
+                low, high = (bounds.field(c).to_numpy() for c in ("low", "high"))
+                kept, runs = cut_spans(data, offsets, doc, low, high)
+                size, left = np.diff(offsets), np.array([len(k) for k in kept], np.int64)
+                arrays = [batch.column(0).slice(begin, end - begin), *map(pa.array, (size, size - left, runs)), pa.array(kept, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return joined.select("doc_id", "text", "spans").mapInPandas(cut_out, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.select("doc_id", "text", "spans").mapInArrow(cut_out, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
