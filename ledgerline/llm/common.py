@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -17,7 +19,7 @@ from ledgerline.operators.joins import join_per_key
 SPACES = " \t\n\x0b\x0c\r"
 
 #: Text bytes that a task turns into arrays at a time. A longer document makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,7 +51,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable for the executors' Python workers, wherever the driver found it.
+
+    Spark serves the archive to the executors itself. A job that was submitted with the package needs no call.
+    """
+    context, package = spark.sparkContext, Path(__file__).parents[1]
+    if getattr(context, "_ledgerline_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="ledgerline-ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._ledgerline_shipped = True
+
+
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
