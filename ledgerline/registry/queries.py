@@ -400,7 +400,7 @@ def audit_tables(spark, directory):
 @query
 def describe_numeric(spark, directory):
     described = statistics.describe(explored(spark, directory), digits=None)
-    return rounded(described, 6, "mean", "std", "min", "p25", "p50", "p75", "max")
+    return rounded(rounded(described, 7, "mean"), 6, "std", "min", "p25", "p50", "p75", "max")
 
 
 @query

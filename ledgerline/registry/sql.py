@@ -598,7 +598,7 @@ UNION ALL SELECT 'discount between 0 and 1', count(*) FILTER (NOT discount BETWE
         # Exploratory statistics
         "eda_report": q(_eda_report(), *eda, MONTHLY),
         "describe_numeric": q(_per_column(
-            """SELECT '{c}' AS metric, count({v}) AS count, round(avg({v}), 6) AS mean, round(stddev_samp({v}), 6) AS std,
+            """SELECT '{c}' AS metric, count({v}) AS count, round(avg({v}), 7) AS mean, round(stddev_samp({v}), 6) AS std,
   round(min({v}), 6) AS min, round(quantile_cont({v}, 0.25), 6) AS p25, round(quantile_cont({v}, 0.5), 6) AS p50,
   round(quantile_cont({v}, 0.75), 6) AS p75, round(max({v}), 6) AS max FROM {source}"""), *eda),
         "skew_kurtosis": q(
