@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,17 +20,21 @@ THRESHOLD = 0.95
 NEIGHBOURS = 8
 MEETING = 2 * NEIGHBOURS
 
-#: The first lists come from this many random orders, in which each vector meets the next ones.
+#: The first lists come from at least this many random orders, in which each vector meets the next ones. Bits and orders
+#: grow with the table: a bucket holds about NEXT vectors, and a pair at the threshold shares none with probability MISS.
 ORDERS = 4
 ORDER_BITS = 8
 NEXT = 6
+MISS = 0.01
 
-#: Refining ends when fewer than this share of the vectors find a new close neighbour, and the audit is passed.
-CHANGE = 0.002
-ROUNDS = 6
+#: Refining ends when a round changes at most this share of all list entries.
+CHANGE = 0.001
 
-#: Vectors of the audit, which are compared with all others; recall that it must find; times that it may ask for more.
+#: Vectors of the first audit, which are compared with all others, and the most of one pass. More are drawn until so many
+#: links are seen or every vector is compared. Recall that it must find; audits after which exact blocks do the work.
 AUDIT = 256
+AUDIT_PASS = 4096
+AUDIT_LINKS = 1000
 RECALL = 0.97
 AUDITS = 3
 
@@ -77,7 +82,14 @@ def _matrix(column: pa.Array, start: int = 0, end: int | None = None) -> np.ndar
     return codes / np.sqrt((codes * codes).sum(axis=1, keepdims=True))
 
 
-def ordered(nodes: DataFrame, seed: int) -> DataFrame:
+def order_sizes(total: int, threshold: float) -> tuple[int, int]:
+    """(orders, bits) for so many vectors. Two at the threshold agree in a sign with probability 1 - angle / pi."""
+    bits = max(ORDER_BITS, math.ceil(math.log2(max(total, 1) / NEXT)))
+    share = (1 - math.acos(min(1.0, threshold)) / math.pi) ** bits
+    return (ORDERS if share >= 1 else max(ORDERS, math.ceil(math.log(MISS) / math.log1p(-share)))), bits
+
+
+def ordered(nodes: DataFrame, seed: int, orders: int, bits: int) -> DataFrame:
     """(order, dim, side, place, node, code): every node in each of the random orders.
 
     ``side`` holds the signs of random projections, ``place`` is one more projection.
@@ -87,16 +99,16 @@ def ordered(nodes: DataFrame, seed: int) -> DataFrame:
         for frame in frames:
             for dim, own in frame.groupby("dim"):
                 vectors = np.frombuffer(b"".join(own["code"]), np.int8).reshape(len(own), dim).astype(np.float32)
-                for order in range(ORDERS):
-                    random = np.random.Generator(np.random.PCG64([seed, order, dim])).standard_normal((dim, ORDER_BITS + 1), np.float32)
+                for order in range(orders):
+                    random = np.random.Generator(np.random.PCG64([seed, order, dim])).standard_normal((dim, bits + 1), np.float32)
                     found = vectors @ random
-                    side = (found[:, :-1] > 0) @ (1 << np.arange(ORDER_BITS))
+                    side = (found[:, :-1] > 0) @ (1 << np.arange(bits))
                     yield pd.DataFrame({"order": order, "dim": dim, "side": side, "place": found[:, -1] / np.linalg.norm(vectors, axis=1), "node": own["node"], "code": own["code"]})
 
     return nodes.select("node", "dim", "code").mapInPandas(project, "order int, dim int, side long, place double, node long, code binary")
 
 
-def first_edges(nodes: DataFrame, seed: int) -> DataFrame:
+def first_edges(nodes: DataFrame, seed: int, orders: int, bits: int) -> DataFrame:
     """(u, v, sim), both ways, of vectors that stand close in one of the random orders."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +131,7 @@ def first_edges(nodes: DataFrame, seed: int) -> DataFrame:
                     u, v, s = node[a : b - step][fresh], node[a + step : b][fresh], sims[fresh]
                     yield pa.RecordBatch.from_arrays([pa.array(np.r_[u, v]), pa.array(np.r_[v, u]), pa.array(np.r_[s, s])], ["u", "v", "sim"])
 
-    dealt = ordered(nodes, seed).repartitionByRange("order", "dim", "side", "place").sortWithinPartitions("order", "dim", "side", "place")
+    dealt = ordered(nodes, seed, orders, bits).repartitionByRange("order", "dim", "side", "place").sortWithinPartitions("order", "dim", "side", "place")
     return dealt.select("order", "dim", "node", "code").mapInArrow(meet, "u long, v long, sim float").where("u <> v")
 
 
@@ -130,15 +142,15 @@ def _stretches(order: np.ndarray, dim: np.ndarray) -> list[tuple[int, int]]:
 
 
 def nearest(edges: DataFrame, n: int) -> DataFrame:
-    """The n most similar distinct neighbours of each vector."""
-    best = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"))
+    """The n most similar distinct neighbours of each vector; ``old`` if any of the edges is."""
+    best = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
     by_sim = Window.partitionBy("u").orderBy(F.desc("sim"), "v")
     return best.withColumn("place", F.row_number().over(by_sim)).where(F.col("place") <= n).drop("place")
 
 
 def refined(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The lists after every vector has let its neighbours of both directions meet each other."""
-    both = nearest(graph.union(graph.select("v", "u", "sim")), MEETING)
+    """The lists after every vector has let its neighbours of both directions meet each other. Entries that were there are ``old``."""
+    both = nearest(graph.union(graph.select("v", "u", "sim", "old")), MEETING)
     least = graph.groupBy("u").agg(F.when(F.count("*") >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("least"))
     carried = nodes.select(F.col("node").alias("v"), "code").join(least.withColumnRenamed("u", "v"), "v")
     met = both.join(carried, "v").select("u", "v", "code", "least").repartition("u").sortWithinPartitions("u")
@@ -158,7 +170,8 @@ def refined(graph: DataFrame, nodes: DataFrame) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["u", "v", "sim"])
 
-    return nearest(graph.union(met.mapInArrow(meet, "u long, v long, sim float")), NEIGHBOURS)
+    known = graph.withColumn("old", F.lit(True))
+    return nearest(known.union(met.mapInArrow(meet, "u long, v long, sim float").withColumn("old", F.lit(False))), NEIGHBOURS)
 
 
 def _matrix_by_run(column: pa.Array, bounds: np.ndarray) -> Iterator[np.ndarray]:
@@ -170,8 +183,22 @@ def _matrix_by_run(column: pa.Array, bounds: np.ndarray) -> Iterator[np.ndarray]
 
 
 def audited(nodes: DataFrame, families: DataFrame, threshold: float) -> tuple[int, int]:
-    """Links of AUDIT vectors to all others by brute force, and those of them whose ends share a family."""
-    sample = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).select("node", "dim", "unit").limit(AUDIT).collect()
+    """Links of drawn vectors to all others by brute force, and those of them whose ends share a family.
+
+    Vectors are drawn until AUDIT_LINKS links are seen or every vector is compared.
+    """
+    buckets = max(1, -(-nodes.count() // AUDIT))
+    bucket = F.pmod(F.xxhash64("node", F.lit("audit")), F.lit(buckets))
+    links = caught = done = 0
+    while done < buckets and links < AUDIT_LINKS:
+        size = min(max(1, 3 * done), max(1, AUDIT_PASS // AUDIT), buckets - done)
+        more = _audited(nodes, nodes.where((bucket >= done) & (bucket < done + size)), families, threshold)
+        links, caught, done = links + more[0], caught + more[1], done + size
+    return links, caught
+
+
+def _audited(nodes: DataFrame, drawn: DataFrame, families: DataFrame, threshold: float) -> tuple[int, int]:
+    sample = drawn.select("node", "dim", "unit").collect()
     by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for dim in {r["dim"] for r in sample}:
         own = [r for r in sample if r["dim"] == dim]
@@ -184,8 +211,10 @@ def audited(nodes: DataFrame, families: DataFrame, threshold: float) -> tuple[in
                 if dim not in sent.value:
                     continue
                 ids, vectors = sent.value[dim]
-                i, j = np.nonzero(np.frombuffer(b"".join(own["unit"]), np.float64).reshape(len(own), dim) @ vectors.T >= threshold)
-                yield pd.DataFrame({"x": own["node"].to_numpy()[i], "q": ids[j]})
+                units = np.frombuffer(b"".join(own["unit"]), np.float64).reshape(len(own), dim)
+                for k in range(0, len(ids), AUDIT):
+                    i, j = np.nonzero(units @ vectors[k : k + AUDIT].T >= threshold)
+                    yield pd.DataFrame({"x": own["node"].to_numpy()[i], "q": ids[k + j]})
 
     pairs = nodes.select("node", "dim", "unit").mapInPandas(compare, "x long, q long").where("x <> q")
     a = families.select(F.col("node").alias("x"), F.col("family").alias("fx"))
@@ -195,26 +224,27 @@ def audited(nodes: DataFrame, families: DataFrame, threshold: float) -> tuple[in
 
 
 def close_families(nodes: DataFrame, threshold: float) -> DataFrame:
-    """(node, family): components of the close edges of a neighbour graph that passes the audit."""
-    close = threshold - SLACK
-    near = F.col("sim") >= close
-    graph = cut(nearest(first_edges(nodes, 0), NEIGHBOURS))
+    """(node, family): components of the close edges of a neighbour graph that passes the audit.
+
+    If none of AUDITS graphs passes, all vectors of a dimension are one family, so that every pair is compared.
+    """
+    near = F.col("sim") >= threshold - SLACK
     total = nodes.count()
+    sizes = order_sizes(total, threshold)
+    graph = None
     for audit in range(AUDITS):
-        known = graph.where(near).count()
-        for _ in range(ROUNDS):
+        fresh = first_edges(nodes, audit, *sizes).withColumn("old", F.lit(False))
+        graph = cut(nearest(fresh if graph is None else graph.union(fresh), NEIGHBOURS))
+        while True:
             graph = cut(refined(graph, nodes))
-            now = graph.where(near).count()
-            if now - known <= CHANGE * total:
+            if graph.where("NOT old").count() <= CHANGE * NEIGHBOURS * total:
                 break
-            known = now
         families = cut(components(graph.where(near).select(F.col("u").alias("a"), F.col("v").alias("b"))))
         families = families.select(F.col("id").alias("node"), F.col("component").alias("family"))
         links, caught = audited(nodes, families, threshold)
-        if caught >= RECALL * links or audit == AUDITS - 1:
-            break
-        graph = cut(nearest(graph.union(first_edges(nodes, audit + 1)), NEIGHBOURS))
-    return families
+        if caught >= RECALL * links:
+            return families
+    return nodes.select("node", F.col("dim").cast("long").alias("family"))
 
 
 def compared(members: DataFrame, threshold: float) -> DataFrame:
