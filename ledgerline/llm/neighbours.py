@@ -16,7 +16,7 @@ from ledgerline.operators.joins import join_per_key
 #: Cosine from which vectors are linked.
 THRESHOLD = 0.95
 
-#: Neighbours kept per vector, and neighbours of either direction that meet in a local join.
+#: Neighbours outside its family kept per vector, and neighbours of either direction that meet in a local join.
 NEIGHBOURS = 8
 MEETING = 2 * NEIGHBOURS
 
@@ -148,16 +148,30 @@ def nearest(edges: DataFrame, n: int) -> DataFrame:
     return best.withColumn("place", F.row_number().over(by_sim)).where(F.col("place") <= n).drop("place")
 
 
-def refined(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The lists after every vector has let its neighbours of both directions meet each other. Entries that were there are ``old``."""
+def outside(edges: DataFrame, families: DataFrame) -> DataFrame:
+    """The edges that lead from one family to another."""
+    a = families.select(F.col("node").alias("u"), F.col("family").alias("fu"))
+    b = families.select(F.col("node").alias("v"), F.col("family").alias("fv"))
+    return edges.join(a, "u").join(b, "v").where("fu <> fv").select("u", "v", "sim", "old", "fu", "fv")
+
+
+def refined(graph: DataFrame, inside: DataFrame | None, nodes: DataFrame) -> DataFrame:
+    """The lists after every vector has let its neighbours of both directions meet each other. Entries that were there are ``old``.
+
+    ``graph`` lists neighbours of other families, and only pairs of two families are new entries; those of a vector's
+    own family (``inside``) meet the others.
+    """
     both = nearest(graph.union(graph.select("v", "u", "sim", "old")), MEETING)
+    if inside is not None:
+        both = both.union(nearest(inside.union(inside.select("v", "u", "sim", "old")), MEETING))
     least = graph.groupBy("u").agg(F.when(F.count("*") >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("least"))
-    carried = nodes.select(F.col("node").alias("v"), "code").join(least.withColumnRenamed("u", "v"), "v")
-    met = both.join(carried, "v").select("u", "v", "code", "least").repartition("u").sortWithinPartitions("u")
+    carried = nodes.select(F.col("node").alias("v"), "code", "family").join(least.withColumnRenamed("u", "v"), "v", "left")
+    carried = carried.withColumn("least", F.coalesce("least", F.lit(-2.0).cast("float")))
+    met = both.join(carried, "v").select("u", "v", "code", "least", "family").repartition("u").sortWithinPartitions("u")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, bounds in sorted_runs(batches, "u"):
-            node, least = batch.column(1).to_numpy(), batch.column(3).to_numpy()
+            node, least, family = (batch.column(k).to_numpy() for k in (1, 3, 4))
             vectors = _matrix_by_run(batch.column(2), bounds)
             found = []
             for (a, b), own in zip(zip(bounds[:-1], bounds[1:]), vectors):
@@ -165,7 +179,7 @@ def refined(graph: DataFrame, nodes: DataFrame) -> DataFrame:
                     continue
                 sims = own @ own.T
                 np.fill_diagonal(sims, -3.0)
-                i, j = np.nonzero(sims > least[a:b, None])
+                i, j = np.nonzero((sims > least[a:b, None]) & (family[a:b, None] != family[a:b]))
                 found.append((node[a + i], node[a + j], sims[i, j]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["u", "v", "sim"])
@@ -223,24 +237,43 @@ def _audited(nodes: DataFrame, drawn: DataFrame, families: DataFrame, threshold:
     return found[0], found[1]
 
 
+def merged_families(families: DataFrame, close: DataFrame) -> DataFrame:
+    """(node, family) after the edges' families are one."""
+    low = components(close.select(F.col("fu").alias("a"), F.col("fv").alias("b")))
+    joined = families.join(low, families["family"] == low["id"], "left")
+    return cut(joined.select("node", F.coalesce("component", "family").alias("family")))
+
+
 def close_families(nodes: DataFrame, threshold: float) -> DataFrame:
     """(node, family): components of the close edges of a neighbour graph that passes the audit.
 
+    A list may be filled by close copies. So when the lists have settled, the families of their close edges are formed and
+    every list is filled anew by neighbours outside the family, until no close one is left there.
     If none of AUDITS graphs passes, all vectors of a dimension are one family, so that every pair is compared.
     """
     near = F.col("sim") >= threshold - SLACK
     total = nodes.count()
     sizes = order_sizes(total, threshold)
-    graph = None
-    for audit in range(AUDITS):
-        fresh = first_edges(nodes, audit, *sizes).withColumn("old", F.lit(False))
-        graph = cut(nearest(fresh if graph is None else graph.union(fresh), NEIGHBOURS))
+    families = nodes.select("node", F.col("node").alias("family"))
+    graph = inside = None
+    seed = 0
+    for _ in range(AUDITS):
         while True:
-            graph = cut(refined(graph, nodes))
-            if graph.where("NOT old").count() <= CHANGE * NEIGHBOURS * total:
+            placed = cut(nodes.join(families, "node").select("node", "dim", "code", "family"))
+            fresh = first_edges(placed, seed, *sizes).withColumn("old", F.lit(False))
+            seed += 1
+            lists = outside(fresh if graph is None else graph.union(fresh), families)
+            graph = cut(nearest(lists, NEIGHBOURS))
+            while True:
+                graph = cut(refined(graph, inside, placed))
+                if graph.where("NOT old").count() <= CHANGE * NEIGHBOURS * total:
+                    break
+            close = cut(outside(graph.where(near), families))
+            if close.isEmpty():
                 break
-        families = cut(components(graph.where(near).select(F.col("u").alias("a"), F.col("v").alias("b"))))
-        families = families.select(F.col("id").alias("node"), F.col("component").alias("family"))
+            links = close.select("u", "v", "sim", "old")
+            inside = cut(nearest(links if inside is None else links.union(inside), NEIGHBOURS))
+            families = merged_families(families, close)
         links, caught = audited(nodes, families, threshold)
         if caught >= RECALL * links:
             return families
@@ -250,9 +283,8 @@ def close_families(nodes: DataFrame, threshold: float) -> DataFrame:
 def compared(members: DataFrame, threshold: float) -> DataFrame:
     """(a, b, n): rows with b null give vector a n links; the others are links that connect what all links connect.
 
-    ``members``: node, family, size, unit, copies. A list of NEIGHBOURS that are all links is saturated: there may be more.
-    So every list of a family is enlarged to the whole family, block by block in double precision; links are counted
-    where they are found and no pair is sent anywhere.
+    ``members``: node, family, size, unit, copies. Every list of a family is enlarged to the whole family, block by block in
+    double precision; links are counted where they are found and no pair is sent anywhere.
     """
     blocks = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     dealt = blocks.withColumn("own", F.pmod(F.hash("node", F.lit("block")), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -307,7 +339,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
         .select(F.col("vec_id").alias("node"), "dim", "unit", "code", "copies")
     )
     families = close_families(nodes, threshold)
-    sizes = families.groupBy("family").agg(F.count("*").alias("size"))
+    sizes = families.groupBy("family").agg(F.count("*").alias("size")).where("size > 1")
     members = join_per_key(families, sizes, ["family"]).join(nodes.drop("dim", "code"), "node")
     found = cut(compared(members, threshold))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))

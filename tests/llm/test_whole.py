@@ -46,3 +46,21 @@ def test_failed_audits_end_in_exact_blocks(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "SLACK", -1.0)
     monkeypatch.setattr(neighbours, "BLOCK", 64)
     assert near_duplicates(spark, vectors)["n_links"].tolist() == linked(vectors).sum(axis=1).tolist()
+
+
+def nested_groups():
+    """Ten pairs of tight sets of 20, at 0.99 inside and about 0.955 across."""
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    a, b = unit(normal(7, 10, 64)), unit(normal(8, 10, 64))
+    b = unit(b - (a * b).sum(axis=1, keepdims=True) * a)
+    centres = np.concatenate([a, 0.965 * a + np.sqrt(1 - 0.965**2) * b])
+    return centres.repeat(20, axis=0) + normal(9, 400, 64) * 0.1005 / 8
+
+
+def test_lists_full_of_copies_hide_no_family(spark, monkeypatch):
+    vectors = nested_groups()
+    hit = linked(vectors)
+    monkeypatch.setattr(neighbours, "audited", lambda *a: (0, 0))
+    found = near_duplicates(spark, vectors)
+    assert found["n_links"].tolist() == hit.sum(axis=1).tolist()
+    assert found["component_id"].tolist() == [k % 200 // 20 * 20 for k in range(400)]
