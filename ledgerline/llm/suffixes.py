@@ -24,10 +24,11 @@ LENGTH = 200
 GRAM = 32
 SPAN = LENGTH - GRAM + 1
 
-#: Suffixes that are sorted together in a run and that a merge gets on average; rows that the splitters are taken from.
+#: Suffixes that are sorted together in a run and that a merge gets on average. The windows of a gram with more contexts
+#: than HOT are counted by their hashes instead of being merged.
 RUN = 40_000
 RANGE = 20_000
-SAMPLE = 4_000
+HOT = 20_000
 
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -90,12 +91,11 @@ def common_prefixes(strings: list[bytes]) -> np.ndarray:
 RUN_SCHEMA = "part int, prefixes binary, sizes binary, tails binary, lefts binary, low binary, high binary, row binary, place binary, single binary"
 
 
-def _run_frames(items: list[tuple], splitters: np.ndarray) -> Iterator[pd.DataFrame]:
-    """One sorted run, front-coded and cut at the splitters: a row per part."""
-    items.sort(key=lambda x: x[0])
+def _run_frames(items: list[tuple]) -> Iterator[pd.DataFrame]:
+    """One sorted run per part, front-coded: a row each."""
+    items.sort(key=lambda x: (x[7], x[0]))
     strings = [x[0] for x in items]
-    head = np.array([int.from_bytes(s[:8].ljust(8, b"\0"), "big") for s in strings], np.uint64)
-    part = np.searchsorted(splitters, head, "right")
+    part = np.array([x[7] for x in items], np.int64)
     prefixes = common_prefixes(strings)
     bounds = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
     for a, b in zip(bounds[:-1], bounds[1:]):
@@ -110,8 +110,8 @@ def _run_frames(items: list[tuple], splitters: np.ndarray) -> Iterator[pd.DataFr
         }])
 
 
-def suffix_runs(texts: DataFrame, splitters: np.ndarray) -> DataFrame:
-    """Front-coded sorted runs of the suffixes at the ``wanted`` anchors (packed, single) of (row, text, wanted)."""
+def suffix_runs(texts: DataFrame) -> DataFrame:
+    """Front-coded sorted runs of the suffixes at the ``wanted`` anchors (packed, single, part) of (row, text, wanted)."""
 
     def sort(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items: list[tuple] = []
@@ -120,12 +120,12 @@ def suffix_runs(texts: DataFrame, splitters: np.ndarray) -> DataFrame:
                 data = text.encode()
                 for w in wanted:
                     p, low, high = w["packed"] >> 16, w["packed"] >> 8 & 255, w["packed"] & 255
-                    items.append((data[p : p + LENGTH - low], data[p - high : p], low, high, row, p, w["single"]))
+                    items.append((data[p : p + LENGTH - low], data[p - high : p], low, high, row, p, w["single"], w["part"]))
                 if len(items) >= RUN:
-                    yield from _run_frames(items, splitters)
+                    yield from _run_frames(items)
                     items = []
         if items:
-            yield from _run_frames(items, splitters)
+            yield from _run_frames(items)
 
     return texts.select("row", "text", "wanted").mapInPandas(sort, RUN_SCHEMA)
 
@@ -269,43 +269,64 @@ def merged(runs: DataFrame) -> DataFrame:
     return runs.repartition("part").sortWithinPartitions("part").mapInPandas(merge, "row long, low long, high long")
 
 
-def splitters(base: DataFrame, parts: int) -> np.ndarray:
-    """Heads (first eight bytes) that cut the suffixes into about equal parts, from the anchors of a bounded sample of rows.
+def hashed_windows(texts: DataFrame) -> DataFrame:
+    """(row, low, high): as ``repeated_windows``, of the ``wanted`` anchors (packed, single, h) of (row, text, wanted).
 
-    They balance the parts and have no say in the result. Suffixes of one head stay together.
+    Every window is a row of its gram, distance and hash, counted with map-side sums, so that a gram of any number of
+    contexts is spread over all tasks. An anchor's windows all overlap, so the outermost repeated ones tell what is covered.
     """
-    if parts < 2:
-        return np.zeros(0, np.uint64)
 
-    def heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for text in frame["text"]:
-                data = text.encode()
-                places = anchors(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[1][:64]
-                yield pd.DataFrame({"head": [int.from_bytes(data[p : p + 8], "big") - (1 << 63) for p in places]})
+    names = ["h", "d", "window", "row", "place", "single"]
 
-    total = base.count()
-    sample = base.sample(min(1.0, SAMPLE / max(total, 1)), 7) if total > SAMPLE else base
-    shares = [k / parts for k in range(1, parts)]
-    found = sample.select("text").mapInPandas(heads, "head long").agg(F.percentile_approx("head", F.array(*map(F.lit, shares)), 10_000)).first()[0]
-    return np.array(sorted({h + (1 << 63) for h in found or []}), np.uint64)
+    def whole(held: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({name: np.concatenate(x) for name, x in zip(names, zip(*held))})
+
+    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+        for frame in frames:
+            for row, text, wanted in zip(frame["row"], frame["text"], frame["wanted"]):
+                data = np.frombuffer(text.encode(), np.uint8)
+                prefix = prefix_hashes(data)
+                for w in wanted:
+                    p, low, high = w["packed"] >> 16, w["packed"] >> 8 & 255, w["packed"] & 255
+                    d = np.arange(low, high + 1)
+                    window = span_hashes(prefix, p - d, p - d + LENGTH).view(np.int64)
+                    same = [np.full(len(d), x, np.int64) for x in (w["h"], row, p, w["single"])]
+                    held.append((same[0], d, window, *same[1:]))
+                    if len(held) >= 1000:
+                        yield whole(held)
+                        held = []
+        if held:
+            yield whole(held)
+
+    keys = ["h", "d", "window"]
+    windows = cut(texts.select("row", "text", "wanted").mapInPandas(find, "h long, d int, window long, row long, place long, single int"))
+    at = F.struct("row", "place")
+    several = windows.groupBy(*keys).agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select(*keys)
+    found = join_per_key(windows.where("single = 1"), several, keys).groupBy("row", "place").agg(F.min("d").alias("least"), F.max("d").alias("most"))
+    return found.select("row", (F.col("place") - F.col("most")).alias("low"), (F.col("place") - F.col("least") + LENGTH).alias("high"))
 
 
 def covered(base: DataFrame, dealt: DataFrame) -> DataFrame:
     """(row, spans): for each row with repeated strings, the byte intervals they cover.
 
-    ``dealt`` is ``base`` shuffled by row.
+    Equal windows have equal grams at their anchors, so parts are dealt by the gram. ``dealt`` is ``base`` shuffled by row.
     """
     known = anchor_rows(base)
     repeated = known.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     members = cut(join_per_key(known, repeated, ["h"]))
     classes = cut(members.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("row", "packed")).alias("first")))
-    several = classes.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1").select("h")
-    mixed = join_per_key(classes, several, ["h"]).select("first.row", "first.packed", (F.col("n") == 1).cast("int").alias("single"))
-    parts = max(1, -(-mixed.count() // RANGE))
-    cuts = splitters(base, parts)
-    wanted = mixed.groupBy("row").agg(F.collect_list(F.struct("packed", "single")).alias("wanted"))
-    looked = merged(suffix_runs(dealt.join(wanted, "row"), cuts))
+    several = classes.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    mixed = join_per_key(classes, several, ["h"]).select("h", "contexts", "first.row", "first.packed", (F.col("n") == 1).cast("int").alias("single"))
+    hot = F.col("contexts") > HOT
+    n, n_hot = mixed.agg(F.count("*"), F.count(F.when(hot, 1))).first()
+    parts = max(1, -(-(n - n_hot) // RANGE))
+    part = F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int").alias("part")
+    wanted = mixed.where(~hot).groupBy("row").agg(F.collect_list(F.struct("packed", "single", part)).alias("wanted"))
+    looked = merged(suffix_runs(dealt.join(wanted, "row")))
+    if n_hot:
+        wanted = mixed.where(hot).groupBy("row").agg(F.collect_list(F.struct("packed", "single", "h")).alias("wanted"))
+        looked = looked.union(hashed_windows(dealt.join(wanted, "row")))
     copies = join_per_key(members, classes.where("n > 1").select("h", "ctx"), ["h", "ctx"])
     place, low, high = F.shiftright("packed", 16), F.shiftright("packed", 8).bitwiseAND(255), F.col("packed").bitwiseAND(255)
     whole = copies.select("row", (place - high).alias("low"), (place - low + LENGTH).alias("high"))

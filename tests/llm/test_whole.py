@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
-from ledgerline.llm import neighbours
+from ledgerline.llm import neighbours, suffixes
 
 
 def normal(seed, *shape):
@@ -64,3 +67,41 @@ def test_lists_full_of_copies_hide_no_family(spark, monkeypatch):
     found = near_duplicates(spark, vectors)
     assert found["n_links"].tolist() == hit.sum(axis=1).tolist()
     assert found["component_id"].tolist() == [k % 200 // 20 * 20 for k in range(400)]
+
+
+def uncovered(texts, length=200):
+    """What is left of each text, by brute force."""
+    data = [t.encode() for t in texts]
+    seen = {}
+    for t in data:
+        for k in range(len(t) - length + 1):
+            seen[t[k : k + length]] = seen.get(t[k : k + length], 0) + 1
+    out = []
+    for t in data:
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - length + 1):
+            if seen[t[k : k + length]] > 1:
+                gone[k : k + length] = True
+        out.append(np.frombuffer(t, np.uint8)[~gone].tobytes())
+    return out
+
+
+def test_shared_passage_with_many_borders_is_split(spark, make, monkeypatch):
+    random.seed(11)
+    word = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    passage, tails = word(160), [word(60) for _ in range(6)]
+    texts = [word(220) + passage + word(220) for _ in range(150)]
+    texts += [word(220) + passage + random.choice(tails) + word(220) for _ in range(60)]
+    merged, sizes = suffixes.merged, []
+
+    def measured(runs):
+        sizes.append(runs.groupBy("part").agg(F.sum(F.length("low")).alias("n")).agg(F.max("n")).first()[0])
+        return merged(runs)
+
+    monkeypatch.setattr(suffixes, "merged", measured)
+    monkeypatch.setattr(suffixes, "RANGE", 20)
+    monkeypatch.setattr(suffixes, "HOT", 20, raising=False)
+    found = {r["doc_id"]: bytes(r["kept"]) for r in suffixes.without_repeats(make(texts)).collect()}
+    assert found == dict(enumerate(uncovered(texts)))
+    assert any(len(found[k]) < len(t) for k, t in enumerate(texts))
+    assert (sizes[0] or 0) <= 60, sizes
