@@ -25,8 +25,3 @@ def small():
     if not Path(SMALL).exists():
         pytest.skip("test tables are not available")
     return SMALL
-
-
-def rows(df, *columns):
-    """Rows as tuples, sorted for comparison."""
-    return sorted((tuple(r) for r in df.select(*columns or df.columns).collect()), key=repr)

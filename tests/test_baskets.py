@@ -4,7 +4,7 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
-from conftest import rows
+from row_sets import rows
 from pyspark.sql import functions as F
 
 from ledgerline.operators import baskets

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import rows
+from row_sets import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from ledgerline.operators import cleaning

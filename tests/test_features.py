@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import rows
+from row_sets import rows
 from pyspark.sql import functions as F
 
 from ledgerline.operators import features, forecasting

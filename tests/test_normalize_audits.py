@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import rows
+from row_sets import rows
 
 from ledgerline.operators import audits, normalize
 from ledgerline.schemas import ORDER_LINE_COLUMNS

@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import rows
+from row_sets import rows
 
 from ledgerline.operators import segmentation
 from ledgerline.sources.literals import SEGMENT_LABELS

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import rows
+from row_sets import rows
 
 from ledgerline.operators import statistics
 
