@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, neighbours, outliers, packing, pii, suffixes
+from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, neighbours, outliers, packing, pii, subwords, suffixes, whitening
 from ledgerline.llm.common import cut, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,26 @@ def op10_source_mix(spark, directory):
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+def piece_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op12_merge_round_pieces(spark, directory):
+    encoded = subwords.encode(documents(spark, directory), piece_vocabulary())
+    return subwords.decode(encoded, piece_vocabulary()).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(subwords.listed(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_refined_whitening(spark, directory):
+    return whitening.whitened(read_table(spark, directory, "embeddings"))
+
+
 ORACLE_SQL["op2_line_dedup"] = r"""
 WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 line AS (
