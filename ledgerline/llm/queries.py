@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, neighbours, outliers, packing, pii, subwords, suffixes, whitening
+from ledgerline.llm import hilbert, language, line_dedup, minhash, mixing, negatives, neighbours, outliers, packing, pii, subwords, suffixes, whitening
 from ledgerline.llm.common import cut, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,11 @@ def piece_vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@query
+def op11_rtree_hard_negatives(spark, directory):
+    return negatives.hard_negatives(read_table(spark, directory, "embeddings"))
+
+
 @query
 def op12_merge_round_pieces(spark, directory):
     encoded = subwords.encode(documents(spark, directory), piece_vocabulary())
@@ -212,3 +217,25 @@ degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(d.n, 0) AS n_links, o.component_id, e.vec_id = o.component_id AS kept
 FROM embeddings e JOIN lowest o ON o.node = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
 """
+
+ORACLE_SQL["op11_rtree_hard_negatives"] = """
+WITH point AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM point a JOIN point b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+positive AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 3
+"""
