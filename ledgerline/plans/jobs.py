@@ -14,6 +14,7 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.operators import baskets, cleaning, features, forecasting, kpis, normalize, segmentation, timebins
+from ledgerline.operators.cleaning_audit import clean_observed
 from ledgerline.plans import reports
 from ledgerline.session import get_session
 from ledgerline.sources.files import read_parquet, read_raw_csv, write_csv, write_parquet
@@ -24,12 +25,14 @@ def _path(output: str, *parts: str) -> str:
 
 
 def clean(spark: SparkSession, raw_csv: str, output: str) -> None:
-    raw = read_raw_csv(spark, raw_csv)
-    write_parquet(cleaning.clean(raw), _path(output, "clean"))
+    """The raw file is read once: the figures of the reports come from the job that writes the clean table."""
+    cleaned, audit = clean_observed(read_raw_csv(spark, raw_csv))
+    write_parquet(cleaned, _path(output, "clean"))
     stored = read_parquet(spark, _path(output, "clean"), produced_by="clean")
-    write_parquet(reports.cleaning_report(raw, stored), _path(output, "reports", "cleaning"))
-    typed = cleaning.convert_types(raw)
-    write_parquet(cleaning.conversion_audit(raw, typed), _path(output, "reports", "conversions"))
+    write_parquet(reports.observed_cleaning_report(audit, cleaning.iqr_fences(stored, precount=False)), _path(output, "reports", "cleaning"))
+    changed = audit.conversions().where("type_before <> type_after")
+    write_parquet(changed.select("column_name", "type_before", "type_after"), _path(output, "reports", "conversions"))
+    write_parquet(audit.conversions(), _path(output, "reports", "parsing"))
 
 
 def normalize_tables(spark: SparkSession, output: str) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions import calendar as cal
 from ledgerline.operators import baskets, cleaning, kpis, statistics, timebins
+from ledgerline.operators.cleaning_audit import CleaningAudit
 
 
 def section(df: DataFrame, name: str, metric: str | Column, value: str | Column) -> DataFrame:
@@ -61,6 +62,16 @@ def cleaning_report(raw: DataFrame, stored: DataFrame | None = None) -> DataFram
     )
 
 
+def observed_cleaning_report(audit: CleaningAudit, fences: DataFrame | None = None) -> DataFrame:
+    """As ``cleaning_report``, from the figures that the run itself has taken."""
+    found = [
+        one_row_section(audit.shape(), "shape", ["rows_before", "copies_removed", "rows_after"]),
+        section(audit.nulls(), "missing", "column_name", "null_count"),
+        section(audit.rules(), "rules", "rule", "violations"),
+    ]
+    return stack(found if fences is None else [*found, section(fences, "outliers", "metric", "outliers")])
+
+
 def eda_report(features: DataFrame) -> DataFrame:
     described = statistics.describe(features, precount=False)
     measures = [c for c in described.columns if c != "metric"]

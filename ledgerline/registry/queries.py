@@ -12,6 +12,7 @@ from ledgerline.functions.numbers import money_sum, ratio
 from ledgerline.operators import (
     audits, baskets, cleaning, features, forecasting, kpis, normalize, segmentation, statistics, timebins,
 )
+from ledgerline.operators.cleaning_audit import clean_observed
 from ledgerline.plans import reports
 from ledgerline.schemas import ORDER_LINE_COLUMNS
 from ledgerline.sources.retail import StarTables, inject_faults, order_lines
@@ -299,6 +300,24 @@ def cleaning_report(spark, directory):
     return reports.cleaning_report(dirty(spark, directory))
 
 
+@query
+def one_pass_cleaning_audit(spark, directory):
+    """All figures of a cleaning run over text, observed while its lines are computed once."""
+    text = dirty(spark, directory).select(*[F.col(c).cast("string").alias(c) for c in ORDER_LINE_COLUMNS])
+    fault = F.col("order_id").cast("long") % 50
+    broken = text.withColumns(
+        {
+            "sales": F.when(fault == 7, F.lit("n/a")).when(fault == 8, F.concat(F.lit("-"), "sales")).otherwise(F.col("sales")),
+            "quantity": F.when(fault == 9, F.lit("0")).otherwise(F.col("quantity")),
+        }
+    )
+    cleaned, audit = clean_observed(broken)
+    cleaned.write.format("noop").mode("overwrite").save()
+    parsed = audit.conversions().select(F.lit("unparsed").alias("section"), F.col("column_name").alias("metric"), F.col("unparsed").cast("double").alias("value"))
+    fills = reports.section(audit.fills(), "filled", "column_name", "filled_count")
+    return reports.stack([reports.observed_cleaning_report(audit), fills, parsed])
+
+
 # Normalized tables and audits
 
 

@@ -86,6 +86,14 @@ CLEAN = """filled AS (
   FROM typed WHERE NOT coalesce(sales <= 0, FALSE) AND quantity > 0
 )"""
 
+BROKEN = """broken AS (
+  SELECT * REPLACE (CASE order_id % 50 WHEN 7 THEN NULL WHEN 8 THEN -sales ELSE sales END AS sales,
+                    CASE WHEN order_id % 50 = 9 THEN 0 ELSE quantity END AS quantity)
+  FROM dirty
+), unique_broken AS (
+  SELECT DISTINCT * REPLACE (coalesce(customer_name, 'Guest Customer') AS customer_name, coalesce(discount, 0) AS discount) FROM broken
+)"""
+
 CUSTOMER_LIST = "customer_id, customer_name, segment, country, city, state, region"
 PRODUCT_LIST = "product_id, product_name, category, sub_category"
 ORDER_LIST = "order_id, customer_id, order_date, ship_date, ship_mode"
@@ -279,6 +287,22 @@ def _length_checks() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _observed_audit() -> str:
+    from ledgerline.schemas import ORDER_LINE_COLUMNS
+
+    counts = {
+        ("shape", "rows_before"): "broken", ("shape", "rows_after"): "unique_broken WHERE coalesce(sales > 0, TRUE) AND quantity > 0",
+        **{(s, c): f"broken WHERE {c} IS NULL" for s in ("missing", "filled") for c in ("customer_name", "discount")},
+        ("rules", "ship_date before order_date"): "unique_broken WHERE ship_date < order_date",
+        ("rules", "sales <= 0"): "unique_broken WHERE sales <= 0",
+        ("rules", "quantity <= 0"): "unique_broken WHERE coalesce(sales > 0, TRUE) AND quantity <= 0",
+        **{("unparsed", c): "broken WHERE order_id % 50 = 7" if c == "sales" else "broken WHERE FALSE" for c in ORDER_LINE_COLUMNS},
+    }
+    parts = [f"SELECT '{s}' AS section, '{m}' AS metric, CAST(count(*) AS DOUBLE) AS value FROM {t}" for (s, m), t in counts.items()]
+    copies = "SELECT 'shape', 'copies_removed', CAST((SELECT count(*) FROM broken) - (SELECT count(*) FROM unique_broken) AS DOUBLE)"
+    return "SELECT * FROM (" + "\nUNION ALL\n".join([*parts, copies]) + ") WHERE value > 0 OR section IN ('shape', 'unparsed')"
+
+
 MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
@@ -559,6 +583,7 @@ UNION ALL SELECT 'missing', 'customer_name', CAST(count(*) AS DOUBLE) FROM dirty
 UNION ALL SELECT 'missing', 'discount', CAST(count(*) AS DOUBLE) FROM dirty WHERE discount IS NULL
 UNION ALL SELECT 'rules', 'ship_date before order_date', CAST(count(*) AS DOUBLE) FROM typed WHERE ship_date < order_date
 UNION ALL SELECT 'outliers', metric, CAST(outliers AS DOUBLE) FROM ({_fences()})""", *clean),
+        "one_pass_cleaning_audit": q(_observed_audit(), LINES, DIRTY, BROKEN),
         # Normalized tables and audits
         "dim_customers": q("SELECT * FROM dim_customer", *tables),
         "dim_products": q("SELECT * FROM dim_product", *tables),
