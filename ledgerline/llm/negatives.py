@@ -20,11 +20,11 @@ SCALE = 256
 #: Rows of a tree and bytes of its vectors, whichever is less; rows of a leaf; nodes below a node.
 TREE_ROWS = 4096
 TREE_BYTES = 1 << 20
-LEAF = 64
-FAN = 8
+LEAF = 256
+FAN = 16
 
-#: Anchors that a task holds while the trees pass by.
-ANCHORS = 256
+#: Anchors that a task holds and searches for together while the trees pass by.
+ANCHORS = 512
 
 #: Positives of an anchor, negatives of a positive, and the window of a negative's score in percent of the positive's.
 POSITIVES = 5
@@ -159,17 +159,19 @@ def trees(rows: DataFrame, tree_rows: int = TREE_ROWS) -> DataFrame:
 
 
 class Tree:
-    """Bounding boxes over packed points: leaves of LEAF rows, then nodes of FAN nodes, up to one root.
+    """Bounding boxes over packed points: leaves of LEAF rows, in the order of their ids, then nodes of FAN nodes, up to one root.
 
     A box also knows the least and the largest label and the least id below it.
     """
 
     def __init__(self, dim: int, ids: bytes, labels: bytes, vectors: bytes):
-        self.ids, self.labels = np.frombuffer(ids, np.int64), np.frombuffer(labels, np.int64)
-        whole = np.frombuffer(vectors, "<i4").reshape(len(self.ids), dim)
-        self.exact = int(np.abs(whole).max(initial=0))
+        own, names = np.frombuffer(ids, np.int64), np.frombuffer(labels, np.int64)
+        order = np.lexsort((own, np.arange(len(own)) // LEAF))
+        self.ids, self.labels = own[order], names[order]
+        whole = np.frombuffer(vectors, "<i4").reshape(len(own), dim)[order]
+        self.largest = int(np.abs(whole).max(initial=0))
         self.vectors = whole.astype(np.float64)
-        cuts = np.arange(0, len(self.ids), LEAF)
+        cuts = np.arange(0, len(own), LEAF)
         level = [
             np.minimum.reduceat(self.vectors, cuts), np.maximum.reduceat(self.vectors, cuts),
             np.minimum.reduceat(self.labels, cuts), np.maximum.reduceat(self.labels, cuts), np.minimum.reduceat(self.ids, cuts),
@@ -181,88 +183,92 @@ class Tree:
             self.levels.append(level)
 
 
-def _dot(rows: np.ndarray, vector: np.ndarray, top: int) -> np.ndarray:
-    """Exact inner products: as doubles where they stay below 2^53, else as 64-bit numbers."""
+def products(a: np.ndarray, b: np.ndarray, top: int) -> np.ndarray:
+    """Exact inner products of all rows of whole numbers: as doubles where sums stay below 2^53, else as 64-bit numbers."""
     if top < 1 << 53:
-        return (rows @ vector).astype(np.int64)
-    return rows.astype(np.int64) @ vector.astype(np.int64)
+        return (a @ b.T).astype(np.int64)
+    return a.astype(np.int64) @ b.astype(np.int64).T
 
 
-class Search:
-    """The best rows of one anchor so far, for each of its score windows.
+class Searches:
+    """The best rows of a block of anchors so far, for each of their score windows.
 
     ``same`` asks for rows of the anchor's label, else for rows of all others. A window keeps at most ``count`` rows, higher scores
-    first, ties by id. A box matters to a window if its interval of inner products meets the window and its best score
-    beats the worst row kept, or ties with it while the box holds a smaller id.
+    first, ties by id; places without a row have the score -FAR. A box matters to an anchor if its interval of inner products
+    meets one of the anchor's windows and its best score there beats the worst row kept, or ties with it while the box
+    holds a smaller id. Anchors have as many windows as the one with most; the others' last windows are empty.
     """
 
-    def __init__(self, own: int, label: int, vector: np.ndarray, same: bool, low: np.ndarray, high: np.ndarray, count: int):
+    def __init__(self, own: np.ndarray, label: np.ndarray, vectors: np.ndarray, same: bool, low: np.ndarray, high: np.ndarray, count: int):
         self.own, self.label, self.same, self.low, self.high, self.count = own, label, same, low, high, count
-        self.vector = vector.astype(np.float64)
-        self.most = int(np.abs(vector).max(initial=0)) * len(vector)
-        self.up, self.down = np.maximum(self.vector, 0), np.minimum(self.vector, 0)
-        self.kept: list[list[tuple[int, int]]] = [[] for _ in low]  # (-score, id)
-        self.worst = np.full(len(low), -FAR)
-        self.worst_id = np.full(len(low), FAR)
-
-    def floor(self) -> int:
-        return int(np.maximum(self.low, self.worst).min())
-
-    def matters(self, upper: np.ndarray, lower: np.ndarray, least_id: np.ndarray) -> np.ndarray:
-        """For boxes, or for rows as boxes of one: whether any window wants them."""
-        best = np.minimum(upper[:, None], self.high)
-        wanted = (upper[:, None] >= self.low) & (lower[:, None] <= self.high)
-        wanted &= (best > self.worst) | ((best == self.worst) & (least_id[:, None] < self.worst_id))
-        return wanted.any(axis=1)
-
-    def intervals(self, tree: Tree, level: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        self.vectors = vectors.astype(np.float64)
+        self.up, self.down = np.maximum(self.vectors, 0), np.minimum(self.vectors, 0)
+        self.most = int(np.abs(vectors).max(initial=0)) * vectors.shape[1]
+        self.score = np.full((*low.shape, count), -FAR)
+        self.found = np.full((*low.shape, count), FAR)
+        self.offered = 0
+
+    def wanting(self, tree: Tree, level: int, a: int, b: int, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For anchors ``who`` and boxes a to b of a level: which matter, and the best score that each may hold."""
         low, high, least, most, ids = (x[a:b] for x in tree.levels[level])
-        top = self.most * tree.exact
-        upper = _dot(high, self.up, top) + _dot(low, self.down, top)
-        lower = _dot(low, self.up, top) + _dot(high, self.down, top)
-        label = (least <= self.label) & (self.label <= most) if self.same else (least != self.label) | (most != self.label)
-        return upper, lower, ids, label
-
-    def offer(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        for w in range(len(self.low)):
-            fits = (scores >= self.low[w]) & (scores <= self.high[w])
-            fits &= (scores > self.worst[w]) | ((scores == self.worst[w]) & (ids < self.worst_id[w]))
-            if fits.any():
-                found = sorted([*self.kept[w], *zip((-scores[fits]).tolist(), ids[fits].tolist())])[: self.count]
-                self.kept[w] = found
-                if len(found) == self.count:
-                    self.worst[w], self.worst_id[w] = -found[-1][0], found[-1][1]
+        top = self.most * tree.largest
+        up, down = self.up[who], self.down[who]
+        upper = products(up, high, top) + products(down, low, top)
+        lower = products(up, low, top) + products(down, high, top)
+        label = self.label[who, None]
+        fits = (least <= label) & (label <= most) if self.same else (least != label) | (most != label)
+        best = np.minimum(upper[:, :, None], self.high[who, None, :])
+        wanted = (upper[:, :, None] >= self.low[who, None, :]) & (lower[:, :, None] <= self.high[who, None, :])
+        worst, last = self.score[who, None, :, -1], self.found[who, None, :, -1]
+        wanted &= (best > worst) | ((best == worst) & (ids[:, None] < last))
+        return fits & wanted.any(axis=2), upper
 
     def run(self, tree: Tree) -> None:
-        """Takes the box with the highest bound first, until no box left can hold a wanted row."""
-        queue: list[tuple[int, int, int, int]] = []
-        self._push(tree, queue, len(tree.levels) - 1, 0, 1)
+        """Takes the box with the highest bound of any anchor first, for the anchors to which it matters when it is taken."""
+        queue: list[tuple[int, int, int]] = []
+        self._push(tree, queue, len(tree.levels) - 1, 0, 1, np.arange(len(self.own)))
         while queue:
-            upper, level, node, _ = heapq.heappop(queue)
-            if -upper < self.floor():
-                return
-            if not self._still(tree, level, node, -upper):
-                continue
-            if level:
-                self._push(tree, queue, level - 1, node * FAN, (node + 1) * FAN)
-                continue
-            a, b = node * LEAF, (node + 1) * LEAF
-            scores = _dot(tree.vectors[a:b], self.vector, self.most * tree.exact)
-            ids, labels = tree.ids[a:b], tree.labels[a:b]
-            own = (labels == self.label) & (ids != self.own) if self.same else labels != self.label
-            own &= self.matters(scores, scores, ids)
-            if own.any():
-                self.offer(scores[own], ids[own])
-
-    def _push(self, tree: Tree, queue: list, level: int, a: int, b: int) -> None:
-        upper, lower, ids, label = self.intervals(tree, level, a, b)
-        for k in np.flatnonzero(label & self.matters(upper, lower, ids)).tolist():
-            heapq.heappush(queue, (-int(upper[k]), level, a + k, int(lower[k])))
-
-    def _still(self, tree: Tree, level: int, node: int, upper: int) -> bool:
-        """Whether a queued box still matters; windows may have filled since it was queued."""
-        best = np.minimum(upper, self.high)
-        return bool(((upper >= self.low) & ((best > self.worst) | ((best == self.worst) & (tree.levels[level][4][node] < self.worst_id)))).any())
+            _, level, node = heapq.heappop(queue)
+            wanted, _ = self.wanting(tree, level, node, node + 1, np.arange(len(self.own)))
+            who = np.flatnonzero(wanted[:, 0])
+            if len(who) and level:
+                self._push(tree, queue, level - 1, node * FAN, (node + 1) * FAN, who)
+            elif len(who):
+                self._take(tree, slice(node * LEAF, (node + 1) * LEAF), who)
+
+    def _push(self, tree: Tree, queue: list, level: int, a: int, b: int, who: np.ndarray) -> None:
+        wanted, upper = self.wanting(tree, level, a, b, who)
+        bound = np.where(wanted, upper, -FAR).max(axis=0)
+        for k in np.flatnonzero(wanted.any(axis=0)).tolist():
+            heapq.heappush(queue, (-int(bound[k]), level, a + k))
+
+    def _take(self, tree: Tree, part: slice, who: np.ndarray) -> None:
+        """Offers all rows of a leaf. They lie in the order of their ids, so the first of the largest scores has the smallest id."""
+        ids, labels = tree.ids[part], tree.labels[part]
+        scores = products(self.vectors[who], tree.vectors[part], self.most * tree.largest)
+        self.offered += scores.size
+        same = labels == self.label[who, None]
+        scores[~(same & (ids != self.own[who, None])) if self.same else same] = -FAR
+        rows = np.arange(len(who))
+        for w in range(self.low.shape[1]):
+            left = np.where((scores >= self.low[who, w, None]) & (scores <= self.high[who, w, None]), scores, -FAR)
+            best, at = [self.score[who, w]], [self.found[who, w]]
+            for _ in range(min(self.count, len(ids))):
+                place = left.argmax(axis=1)
+                top = left[rows, place]
+                if ((top < best[0][:, -1]) | (top == -FAR)).all():
+                    break
+                best.append(top[:, None])
+                at.append(np.where(top > -FAR, ids[place], FAR)[:, None])
+                left[rows, place] = -FAR
+            if len(best) > 1:
+                score, found = np.concatenate(best, axis=1), np.concatenate(at, axis=1)
+                order = np.lexsort((found, -score), axis=1)[:, : self.count]
+                self.score[who, w], self.found[who, w] = (np.take_along_axis(x, order, axis=1) for x in (score, found))
+
+    def frame(self) -> pd.DataFrame:
+        a, w, k = np.nonzero(self.score > -FAR)
+        return pd.DataFrame({"anchor_id": self.own[a], "window": w, "place": k + 1, "found_id": self.found[a, w, k], "score": self.score[a, w, k]})
 
 
 def searched(anchors: DataFrame, forest: DataFrame, same: bool, count: int) -> DataFrame:
@@ -285,28 +291,36 @@ def searched(anchors: DataFrame, forest: DataFrame, same: bool, count: int) -> D
     )
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, searches = None, []
+        key, waiting, searches = None, [], None
         for frame in frames:
             for r in frame.itertuples(index=False):
                 if (r.dim, r.block) != key:
-                    yield from _found(searches)
-                    key, searches = (r.dim, r.block), []
+                    if searches is not None:
+                        yield searches.frame()
+                    key, waiting, searches = (r.dim, r.block), [], None
                 if r.kind == 0:
-                    searches.append(Search(int(r.vec_id), int(r.label), np.frombuffer(r.v, "<i4"), same, np.array(r.low, np.int64), np.array(r.high, np.int64), count))
-                elif searches:
-                    tree = Tree(r.dim, r.ids, r.labels, r.vectors)
-                    for search in searches:
-                        search.run(tree)
-        yield from _found(searches)
+                    waiting.append(r)
+                    continue
+                if searches is None and waiting:
+                    searches = _block(waiting, same, count)
+                if searches is not None:
+                    searches.run(Tree(r.dim, r.ids, r.labels, r.vectors))
+        if searches is not None:
+            yield searches.frame()
 
     dealt = held.union(passing).repartition("dim", "block").sortWithinPartitions("dim", "block", "kind")
     return dealt.mapInPandas(work, "anchor_id long, window int, place int, found_id long, score long")
 
 
-def _found(searches: list[Search]) -> Iterator[pd.DataFrame]:
-    rows = [(s.own, w, p + 1, i, -n) for s in searches for w, kept in enumerate(s.kept) for p, (n, i) in enumerate(kept)]
-    if rows:
-        yield pd.DataFrame(rows, columns=["anchor_id", "window", "place", "found_id", "score"])
+def _block(rows: list, same: bool, count: int) -> Searches:
+    """Anchors in the order of their ids, so that a rerun compares in the same order. Missing windows are empty ones."""
+    rows = sorted(rows, key=lambda r: r.vec_id)
+    width = max(len(r.low) for r in rows)
+    low, high = np.full((len(rows), width), FAR), np.full((len(rows), width), -FAR)
+    for k, r in enumerate(rows):
+        low[k, : len(r.low)], high[k, : len(r.high)] = r.low, r.high
+    vectors = np.frombuffer(b"".join(r.v for r in rows), "<i4").reshape(len(rows), rows[0].dim)
+    return Searches(np.array([r.vec_id for r in rows]), np.array([r.label for r in rows]), vectors, same, low, high, count)
 
 
 def hard_negatives(

@@ -60,7 +60,7 @@ def tree_of(vectors, labels, ids):
     return negatives.Tree(vectors.shape[1], ids[order].tobytes(), labels[order].tobytes(), vectors[order].astype("<i4").tobytes())
 
 
-@pytest.mark.parametrize("size", [1, 64, 65, 5000])
+@pytest.mark.parametrize("size", [1, 256, 257, 5000])
 def test_boxes_hold_their_rows(size):
     rng = np.random.Generator(np.random.PCG64(size))
     tree = tree_of(rng.integers(-99, 99, (size, 6)), rng.integers(0, 4, size), rng.permutation(size).astype(np.int64))
@@ -74,32 +74,35 @@ def test_boxes_hold_their_rows(size):
         span *= negatives.FAN
 
 
-def test_search_is_exact_and_skips_boxes(monkeypatch):
+def test_search_is_exact_and_skips_boxes():
     rng = np.random.Generator(np.random.PCG64(9))
     centres = rng.integers(-200, 200, (12, 8))
     vectors = centres[rng.integers(0, 12, 6000)] + rng.integers(-5, 6, (6000, 8))
     labels, ids = rng.integers(0, 3, 6000), rng.permutation(6000).astype(np.int64)
-    tree, seen = tree_of(vectors, labels, ids), []
-    offer = negatives.Search.offer
-    monkeypatch.setattr(negatives.Search, "offer", lambda self, scores, own: (seen.append(len(own)), offer(self, scores, own))[1])
-    for k in range(0, 6000, 200):
-        scores = vectors @ vectors[k]
-        top = int(scores.max())
-        low, high = np.array([top // 2, -negatives.FAR, top // 4]), np.array([top * 95 // 100, negatives.FAR, top // 3])
-        for same in (True, False):
-            search = negatives.Search(int(ids[k]), int(labels[k]), vectors[k], same, low, high, 3)
+    halves = [tree_of(vectors[h], labels[h], ids[h]) for h in (slice(0, 3500), slice(3500, None))]
+    own = np.arange(0, 6000, 200)
+    scores = vectors[own] @ vectors.T
+    top = scores.max(axis=1)
+    low = np.stack([top // 2, np.full(30, -negatives.FAR), top // 4], axis=1)
+    high = np.stack([top * 95 // 100, np.full(30, negatives.FAR), top // 3], axis=1)
+    for same in (True, False):
+        search = negatives.Searches(ids[own], labels[own], vectors[own], same, low, high, 3)
+        for tree in halves:
             search.run(tree)
+        for a, k in enumerate(own):
             fits = (labels == labels[k]) & (ids != ids[k]) if same else labels != labels[k]
             for w in range(3):
-                own = np.flatnonzero(fits & (scores >= low[w]) & (scores <= high[w]))
-                assert search.kept[w] == sorted(zip((-scores[own]).tolist(), ids[own].tolist()))[:3]
-    assert sum(seen) < 60 * 6000 / 4
+                inside = np.flatnonzero(fits & (scores[a] >= low[a, w]) & (scores[a] <= high[a, w]))
+                wanted = sorted(zip((-scores[a, inside]).tolist(), ids[inside].tolist()))[:3]
+                kept = [(-n, i) for n, i in zip(search.score[a, w].tolist(), search.found[a, w].tolist()) if n > -negatives.FAR]
+                assert kept == wanted
+        assert search.offered < 30 * 6000 * 0.8
 
 
 def test_scores_beyond_doubles_are_exact():
     a = np.array([[2**30, 1, 2**30 - 1], [2**29 + 1, 2**30, 3]])
     exact = [int(sum(int(x) * int(y) for x, y in zip(r, a[0]))) for r in a]
-    assert negatives._dot(a.astype(np.float64), a[0].astype(np.float64), 2**62).tolist() == exact
+    assert negatives.products(a.astype(np.float64), a[:1].astype(np.float64), 2**62)[:, 0].tolist() == exact
 
 
 def test_odd_rows_and_clashing_columns(spark):
