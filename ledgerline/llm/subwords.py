@@ -22,7 +22,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NEVER = np.int32(2**31 - 1)
 
 #: Text bytes turned into arrays at a time.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 class Vocabulary:
