@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerline.functions import calendar as cal
 from ledgerline.functions.labels import discount_bucket, order_size
 from ledgerline.functions.numbers import half_even, percent, ratio
 from ledgerline.operators.joins import join_per_key
+from ledgerline.operators.radix import with_chunks
+from ledgerline.operators.stored import stored
 
 #: Columns that tell a line about later orders of its customer: never use them to predict.
 LEAKY_COLUMNS = ("customer_lifetime_order_count", "is_repeat_customer")
@@ -45,51 +47,20 @@ def add_financial_features(df: DataFrame) -> DataFrame:
 CHUNK_ORDERS = 1 << 16
 
 
-def _shared_prefix(a: str, b: str) -> Column:
-    """Length of the common prefix of two strings."""
-    size = F.least(F.length(a), F.length(b))
-    same = F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.substring(F.col(a), i, F.lit(1)) == F.substring(F.col(b), i, F.lit(1)))
-    differs = F.array_position(same, False)
-    return F.when(differs > 0, differs - 1).otherwise(size).cast("int")
-
-
-def with_chunks(orders: DataFrame, chunk_orders: int = CHUNK_ORDERS) -> DataFrame:
-    """Adds ``_chunk``: an order-preserving part of the order keys of each customer's day.
-
-    Nearly all days have one chunk. On a day of more than ``chunk_orders`` orders, whole numbers are placed by their
-    value between the day's smallest and largest one, and texts by the characters that follow what all keys of the day begin
-    with, as many as there are digits in the number of chunks wanted. Long common beginnings, sparse keys and
-    hashed keys spread alike.
-    """
-    day = ["customer_id", "order_date"]
-    whole = isinstance(orders.schema["order_id"].dataType, T.IntegralType)
-    key = F.col("order_id") if whole else F.col("order_id").cast("string")
-    days = orders.groupBy(*day).agg(F.ceil(F.count("*") / chunk_orders).alias("_parts"), F.min(key).alias("_low"), F.max(key).alias("_high"))
-    if whole:
-        low, high = F.col("_low").cast("double"), F.col("_high").cast("double")
-        chunk = F.floor((key.cast("double") - low) / (high - low + 1.0) * F.col("_parts"))
-    else:
-        days = days.withColumn("_skip", F.when(F.col("_parts") > 1, _shared_prefix("_low", "_high")).otherwise(0))
-        chunk = F.substring(key, F.col("_skip") + 1, F.ceil(F.log10("_parts")).cast("int"))
-    placed = join_per_key(orders, days, day)
-    one = F.lit(0).cast("long") if whole else F.lit("")
-    return placed.withColumn("_chunk", F.when(F.col("_parts") > 1, chunk).otherwise(one)).select(*orders.columns, "_chunk")
-
-
 def order_profile(lines: DataFrame, chunk_orders: int = CHUNK_ORDERS) -> DataFrame:
     """One row per order with its total and its place in the customer's history.
 
     The place is the rank by (date, order id) among the customer's orders. A customer may own a large
     part of all orders, so no window spans a whole customer at order level. The rank is put together
     from three bounded windows: customers by day (one row per calendar day), days by key chunk, and
-    orders inside one chunk of one day.
+    orders inside one chunk of one day. The orders are stored once for all of them.
     """
     orders = (
         lines.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id", "order_id", "order_date")
         .agg(F.sum("sales").alias("order_total_sales"))
     )
-    orders = with_chunks(orders, chunk_orders)
+    orders = with_chunks(stored(orders), ["customer_id", "order_date"], "order_id", chunk_orders)
     place = ["customer_id", "order_date", "_chunk"]
     upto_previous = (W.unboundedPreceding, -1)
 

@@ -38,8 +38,12 @@ SHIFTS = (48, 32, 16, 0)
 
 
 def order_code(value: str) -> Column:
-    """The double as a 64-bit whole number in the same order: sign, exponent and fraction as they are stored."""
-    size = F.abs(F.col(value))
+    """The double as a 64-bit whole number in the same order: sign, exponent and fraction as they are stored.
+
+    Infinite values lie next to all finite ones, as they are stored too.
+    """
+    infinite = F.abs(F.col(value)) == float("inf")
+    size = F.when(infinite, F.lit(1.0)).otherwise(F.abs(F.col(value)))
     rough = F.floor(F.log2(size)).cast("int")
     # The logarithm may miss the exponent by one next to a power of two.
     exponent = F.greatest(
@@ -48,7 +52,8 @@ def order_code(value: str) -> Column:
     )
     fraction = size / F.pow(F.lit(2.0), exponent)
     lead = F.when(fraction >= 1, (exponent + 1023).cast("long")).otherwise(F.lit(0).cast("long"))
-    code = F.shiftleft(lead, 52) + ((fraction - F.when(fraction >= 1, 1.0).otherwise(0.0)) * float(1 << 52)).cast("long")
+    finite = F.shiftleft(lead, 52) + ((fraction - F.when(fraction >= 1, 1.0).otherwise(0.0)) * float(1 << 52)).cast("long")
+    code = F.when(infinite, F.lit(2047 << 52)).otherwise(finite)
     return F.when(size == 0, F.lit(0).cast("long")).when(F.col(value) < 0, -code).otherwise(code)
 
 
@@ -74,7 +79,12 @@ def exact_quantiles(counted: DataFrame, keys: Sequence[str], probs: Sequence[flo
         targets = _hit(_binned(coded, per_group(targets, keys), [*keys, *_TARGET], shift), keys)
     exhausted = F.col("rank") + 1 >= F.col("left")
     upper = F.when(exhausted, F.coalesce("after", "lo")).otherwise(F.col("lo"))
-    return targets.select(*keys, "prob", (F.col("lo") + (upper - F.col("lo")) * F.col("weight")).alias("quantile"))
+    between = F.col("lo") + (upper - F.col("lo")) * F.col("weight")
+    infinite = (F.abs(F.col("lo")) == float("inf")) | (F.abs(upper) == float("inf"))
+    # Differences of infinite values are no numbers: next to one, the neighbours are weighted instead.
+    weighted = F.col("lo") * (1 - F.col("weight")) + upper * F.col("weight")
+    only = (F.col("weight") == 0) | (F.col("lo") == upper)
+    return targets.select(*keys, "prob", F.when(only, F.col("lo")).when(infinite, weighted).otherwise(between).alias("quantile"))
 
 
 #: State of a search: the rank inside the interval, and the smallest value above the interval.

@@ -13,6 +13,7 @@ from ledgerline.operators import (
     audits, baskets, cleaning, features, forecasting, kpis, normalize, segmentation, statistics, timebins,
 )
 from ledgerline.operators.cleaning_audit import clean_observed
+from ledgerline.operators.stored import stored
 from ledgerline.plans import reports
 from ledgerline.schemas import ORDER_LINE_COLUMNS
 from ledgerline.sources.retail import StarTables, inject_faults, order_lines
@@ -179,9 +180,13 @@ def order_features(spark, directory):
     return plain(features.add_order_features(base).drop("sales", "order_date"))
 
 
+def _clean_keyed(spark, directory):
+    """Stored, so that the four tables read one clean table instead of computing it four times."""
+    return stored(normalize.keyed(cleaning.clean(dirty(spark, directory))))
+
+
 def summary(spark, directory):
-    # Keyed once, so that the four tables come from one and the same frame.
-    clean = normalize.keyed(cleaning.clean(dirty(spark, directory)))
+    clean = _clean_keyed(spark, directory)
     return normalize.order_summary(
         normalize.number_items(normalize.order_items(clean)),
         normalize.order_headers(clean),
@@ -388,7 +393,7 @@ def audit_lengths(spark, directory):
 
 def _tables(spark, directory):
     """The four normalized tables with their keys."""
-    clean = normalize.keyed(cleaning.clean(dirty(spark, directory)))
+    clean = _clean_keyed(spark, directory)
     return {
         "customers": (normalize.customers(clean), ["customer_id"]),
         "products": (normalize.products(clean), ["product_id"]),

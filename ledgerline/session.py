@@ -14,6 +14,8 @@ RECOMMENDED_CONF = {
     # Joins back to the order lines meet hot orders and hot products: let AQE split those partitions.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Frames that were stored for several readers go with the last of them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

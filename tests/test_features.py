@@ -7,6 +7,7 @@ from row_sets import rows
 from pyspark.sql import functions as F
 
 from ledgerline.operators import features, forecasting
+from ledgerline.operators.radix import with_chunks
 
 
 def expected_history(data):
@@ -71,19 +72,40 @@ def busy_day(spark, order):
         lambda i: F.xxhash64(i),
         lambda i: F.md5(i.cast("string")),
         lambda i: i * 1_000_003,
+        lambda i: F.when(i == 1, F.lit(10**15)).when(i == 2, F.lit(-(10**15))).otherwise(i),
+        lambda i: F.when(i == 1, F.lit("X1")).otherwise(F.concat(F.lit("ORD-2024-"), F.lpad(i.cast("string"), 9, "0"))),
+        lambda i: F.when(i == 1, F.lit("ORD")).otherwise(F.concat(F.lit("ORD"), F.repeat(F.lit("é"), 5), i.cast("string"))),
     ],
-    ids=["long common prefix", "hashed numbers", "hashed text", "sparse numbers"],
+    ids=["long common prefix", "hashed numbers", "hashed text", "sparse numbers", "far numbers", "far text", "key that begins others"],
 )
 def test_chunks_of_a_busy_day_are_bounded(spark, order):
     table = busy_day(spark, order)
     orders = table.groupBy("customer_id", "order_id", "order_date").agg(F.sum("sales").alias("s"))
-    chunks = features.with_chunks(orders, 100).groupBy("customer_id", "order_date", "_chunk").count()
+    chunks = with_chunks(orders, ["customer_id", "order_date"], "order_id", 100).groupBy("customer_id", "order_date", "_chunk").count()
     assert chunks.agg(F.max("count")).first()[0] <= 200
     assert chunks.groupBy("customer_id", "order_date").count().agg(F.max("count")).first()[0] <= 256
     ranked = features.order_profile(table, chunk_orders=100).where("customer_id = 0").orderBy("order_id")
     assert [r[0] for r in ranked.select("customer_total_orders_to_date").collect()] == list(range(1, 4001))
 
 
+def test_chunks_follow_the_order_of_the_keys(spark):
+    keys = [None, *range(-300, 300, 7), 2**62, -(2**63), 2**63 - 1, *range(10**12, 10**12 + 90)]
+    for kind, values in (("long", keys), ("string", ["", None, *[f"{k:x}" for k in range(1, 400, 3)], *["same" + "z" * k for k in range(30)]])):
+        frame = spark.createDataFrame([(None, v) for v in values] + [(1, values[1])], f"day int, key {kind}")
+        cut = with_chunks(frame, ["day"], "key", 20).cache()
+        assert cut.count() == len(values) + 1
+        found = cut.where("day IS NULL").orderBy("_chunk", "key").collect()
+        assert [r["key"] for r in found] == [r["key"] for r in frame.where("day IS NULL").orderBy("key").collect()]
+        assert cut.groupBy("day", "_chunk").count().agg(F.max("count")).first()[0] <= 40
+        assert cut.where("day = 1").first()["_chunk"] == []
+
+
+def test_equal_keys_stay_together(spark):
+    for kind, value in (("long", 7), ("string", "seven")):
+        frame = spark.createDataFrame([(1, value)] * 30, f"day int, key {kind}")
+        assert with_chunks(frame, ["day"], "key", 5).select("_chunk").distinct().count() == 1
+
+
 def test_two_orders_on_a_day_and_an_order_with_two_lines(spark):
     day = dt.date(2024, 5, 1)
     df = spark.createDataFrame(

@@ -12,7 +12,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import baskets, cleaning, features, normalize, quantiles
+from ledgerline.operators import baskets, cleaning, features, normalize, quantiles, statistics
 from ledgerline.operators.joins import join_per_key
 from ledgerline.registry.queries import QUERIES, dirty
 
@@ -131,9 +131,29 @@ def test_quantile_rounds_end_on_single_values(spark):
 
 
 def test_order_codes_keep_the_order_of_doubles(spark):
-    numbers = [0.0, 5e-324, 1e-310, 2.2250738585072014e-308, 1e-5, 0.1, 0.5, 0.9999999999999999, 1.0, 1.0000000000000002, 2.0, 3.5, 4.0, 1e15, 2.0**62, 1.7976931348623157e308]
+    numbers = [0.0, math.inf, 5e-324, 1e-310, 2.2250738585072014e-308, 1e-5, 0.1, 0.5, 0.9999999999999999, 1.0, 1.0000000000000002, 2.0, 3.5, 4.0, 1e15, 2.0**62, 1.7976931348623157e308]
     numbers = sorted({s * n for n in numbers for s in (-1, 1)})
     coded = spark.createDataFrame([(n,) for n in numbers], "value double").withColumn("code", quantiles.order_code("value"))
     codes = [r["code"] for r in coded.orderBy("value").collect()]
     assert all(a < b for a, b in zip(codes, codes[1:]))
     assert codes[len(codes) // 2 + 1] == 1 and struct.unpack("<q", struct.pack("<d", numbers[-1]))[0] == codes[-1]
+
+
+def test_infinite_values_do_not_end_a_search(spark):
+    inf = math.inf
+    for values in ([1.0, 2.0, inf], [-inf, 1.0, 2.0, 5.0, inf], [inf, inf, 1.0], [-0.0, 0.0, -inf, 5e-324]):
+        frame = spark.createDataFrame([(v,) for v in values], "sales double")
+        found = quantiles.exact_quantiles(quantiles.value_counts(quantiles.unpivot_numbers(frame, ["sales"]), ["metric"]), ["metric"], [0.25, 0.5, 0.75])
+        expected = frame.agg(F.percentile("sales", F.array(*map(F.lit, [0.25, 0.5, 0.75])))).first()[0]
+        assert [r["quantile"] for r in found.orderBy("prob").collect()] == expected
+
+
+def test_a_text_infinity_in_a_raw_file_reaches_the_reports(spark):
+    text = spark.createDataFrame([(str(v), "1") for v in ("Infinity", 1.0, 2.0, 3.0, 4.0)], "sales string, quantity string")
+    typed = cleaning.convert_types(text)
+    fence = cleaning.iqr_fences(typed, ["sales"]).first()
+    assert (fence["q1"], fence["q3"], fence["outliers"]) == (2.0, 4.0, 1)
+    row = statistics.describe(typed, ["sales"]).first()
+    assert (row["count"], row["p50"], row["max"]) == (5, 3.0, math.inf)
+    box = statistics.box_summary(typed, ["sales"]).first()
+    assert (box["whisker_high"], box["outliers"]) == (4.0, 1)
