@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, types as T
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 from ledgerline.schemas import ORDER_LINE_SCHEMA, RAW_TEXT_SCHEMA
 
@@ -84,21 +86,93 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    """Append to a table that already exists, matching columns by name."""
+    """Append to a table that already exists, matching columns by name. Repeating it doubles the rows: see ``append_batch``."""
     df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
 
 
+#: Column that tells which load a row of a batched table came with.
+BATCH_COLUMN = "batch_id"
+
+
+def append_batch(df: DataFrame, table: str, batch: str) -> None:
+    """Make the rows of one batch in a table partitioned by ``batch_id`` those of the frame, whatever they were before.
+
+    Only that batch's partition is replaced, when its new files are complete: a load that failed or was done before can be
+    repeated and neither doubles rows nor touches other batches. An empty frame leaves the batch without rows.
+    """
+    spark = df.sparkSession
+    layout = spark.catalog.listColumns(table)
+    if [c.name for c in layout if c.isPartition] != [BATCH_COLUMN]:
+        raise ValueError(f"{table} must be partitioned by {BATCH_COLUMN} alone")
+    if df.isEmpty():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BATCH_COLUMN} = :batch)", args={"batch": batch})
+        return
+    named = df.withColumn(BATCH_COLUMN, F.lit(batch)).select(*[F.col(c.name).cast(c.dataType).alias(c.name) for c in layout])
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        named.write.insertInto(table, overwrite=True)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def storage(spark: SparkSession, table: str) -> tuple[str, str]:
+    """(provider, location) of a catalog table that is kept in files."""
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return facts["Provider"], facts["Location"]
+
+
 def reload_tables(tables: Mapping[str, DataFrame]) -> None:
-    """Empty the named catalog tables and load them again, parents listed first.
+    """Replace the rows of the named catalog tables, parents listed first, by those of the frames.
 
-    Children are emptied before the parents that they refer to, and loaded after them. Running it twice leaves the
-    same rows. The frames must not read the tables they replace.
+    Every frame is first written whole to a new folder beside its table's present one. Only when all of them are there do
+    the tables change over, each by one entry in the catalog: parents before the children that refer to them. A load that fails
+    while it writes has changed no table; one that fails between two entries is completed by repeating it. Running it
+    twice leaves the same rows. Frames may read the tables they replace. Former folders stay for readers that are
+    still at work; ``drop_former_folders`` removes them.
     """
-    frames = {name: df.select(*df.sparkSession.table(name).columns) for name, df in tables.items()}
-    for name in reversed(frames):
-        frames[name].limit(0).write.insertInto(name, overwrite=True)
-    for name, df in frames.items():
-        df.write.insertInto(name)
+    folders = {}
+    for name, df in tables.items():
+        spark, layout = df.sparkSession, df.sparkSession.catalog.listColumns(name)
+        if any(c.isPartition for c in layout):
+            raise ValueError(f"{name} is partitioned: load it by batches")
+        provider, location = storage(spark, name)
+        folders[name] = f"{_first_folder(location)}{_LOAD}{uuid.uuid4().hex}"
+        df.select(*[F.col(c.name).cast(c.dataType).alias(c.name) for c in layout]).write.format(provider).save(folders[name])
+    for name, df in tables.items():
+        _change_over(df.sparkSession, name, folders[name])
+
+
+#: Ends the name of a table's first folder in the names of the folders that follow it.
+_LOAD = "__load-"
+
+
+def _first_folder(location: str) -> str:
+    return location.rstrip("/").split(_LOAD)[0]
+
+
+def _change_over(spark: SparkSession, table: str, folder: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+
+
+def drop_former_folders(spark: SparkSession, table: str) -> list[str]:
+    """Remove the folders that a reloaded table has left, and those of loads that failed; returns what is gone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    present = path(storage(spark, table)[1])
+    first = _first_folder(present.toString())
+    fs = present.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for pattern in (first, f"{first}{_LOAD}*") for s in fs.globStatus(path(pattern)) or []]
+    gone = [p for p in found if p.getName() != present.getName()]
+    for p in gone:
+        fs.delete(p, True)
+    return [p.getName() for p in gone]
 
 
 def reload_jdbc(tables: Mapping[str, DataFrame], url: str, batch_size: int = 500, **options: str) -> None:
