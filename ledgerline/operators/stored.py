@@ -4,17 +4,12 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame, computed once and kept as a checkpoint in the folder all executors share.
-
-    A lost executor costs its running tasks, not what lies behind the checkpoint. The folder is what ``spark.checkpoint.dir``
-    names; only a local session without one gets a folder of its own. Files go when the frame is garbage and the session
-    was made with ``spark.cleaner.referenceTracking.cleanCheckpoints`` (``ledgerline.session`` sets it); else they stay.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """What ``spark.checkpoint.dir`` names; only a local session without one gets a folder of its own."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
@@ -22,4 +17,15 @@ def stored(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="ledgerline-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame, computed once and kept as a checkpoint in the folder all executors share.
+
+    A lost executor costs its running tasks, not what lies behind the checkpoint. Files go when the frame is garbage and
+    the session was made with ``spark.cleaner.referenceTracking.cleanCheckpoints`` (``ledgerline.session`` sets it); else
+    they stay.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint()

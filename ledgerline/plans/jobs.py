@@ -13,13 +13,16 @@ import argparse
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.operators import baskets, cleaning, features, forecasting, kpis, normalize, segmentation, timebins
+from ledgerline.operators import baskets, cleaning, dimensions, features, forecasting, kpis, normalize, segmentation, timebins
 from ledgerline.operators.cleaning_audit import clean_observed
 from ledgerline.plans import reports
 from ledgerline.session import get_session
 from ledgerline.sources.files import read_parquet, read_raw_csv, write_csv, write_parquet
 
 
+DIMENSIONS = {"customers": dimensions.CUSTOMERS, "products": dimensions.PRODUCTS, "orders": dimensions.ORDERS}
+
+
 def _path(output: str, *parts: str) -> str:
     return "/".join([output.rstrip("/"), *parts])
 
@@ -46,6 +49,21 @@ def normalize_tables(spark: SparkSession, output: str) -> None:
     )
 
 
+def add_lines(spark: SparkSession, lines: DataFrame, output: str) -> None:
+    """Merge a batch of clean lines into the stored dimensions; neither earlier lines nor untouched parts are read or written.
+
+    Repeating a batch changes nothing, and batches may come in any order.
+    """
+    for name, dimension in DIMENSIONS.items():
+        dimensions.update(lines, dimension, _path(output, "states", name))
+
+
+def dimension(spark: SparkSession, output: str, name: str) -> DataFrame:
+    """One of the dimensions that ``add_lines`` keeps."""
+    state = read_parquet(spark, _path(output, "states", name), produced_by="add_lines")
+    return dimensions.rows_of(state, DIMENSIONS[name])
+
+
 def summary_view(spark: SparkSession, output: str, name: str = "order_summary") -> DataFrame:
     """The joined view over the stored tables, also registered in the session for SQL."""
     tables = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from functools import partial, reduce
 
@@ -10,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerline.functions import calendar as cal, keys
 from ledgerline.functions.numbers import money_sum, ratio
 from ledgerline.operators import (
-    audits, baskets, cleaning, features, forecasting, kpis, normalize, segmentation, statistics, timebins,
+    audits, baskets, cleaning, dimensions, features, forecasting, kpis, normalize, segmentation, statistics, timebins,
 )
 from ledgerline.operators.cleaning_audit import clean_observed
-from ledgerline.operators.stored import stored
+from ledgerline.operators.stored import shared_folder, stored
 from ledgerline.plans import reports
 from ledgerline.schemas import ORDER_LINE_COLUMNS
 from ledgerline.sources.retail import StarTables, inject_faults, order_lines
@@ -346,6 +347,30 @@ def order_items(spark, directory):
     return plain(normalize.number_items(normalize.order_items(cleaning.clean(dirty(spark, directory)))))
 
 
+def _by_batches(spark, directory, dimension):
+    """Three batches of months, in no order of time, merged into a stored state one after the other."""
+    clean = _clean_keyed(spark, directory)
+    path = f"{shared_folder(spark)}/dimension-{uuid.uuid4().hex}"
+    for k in (1, 2, 0):
+        dimensions.update(clean.where(F.month("order_date") % 3 == k), dimension, path)
+    return dimensions.rows_of(dimensions.read_state(spark, path), dimension)
+
+
+@query
+def dim_customers_by_batches(spark, directory):
+    return _by_batches(spark, directory, dimensions.CUSTOMERS)
+
+
+@query
+def dim_products_by_batches(spark, directory):
+    return _by_batches(spark, directory, dimensions.PRODUCTS)
+
+
+@query
+def order_headers_by_batches(spark, directory):
+    return _by_batches(spark, directory, dimensions.ORDERS)
+
+
 @query
 def order_summary_view(spark, directory):
     return plain(summary(spark, directory))

@@ -588,6 +588,9 @@ UNION ALL SELECT 'outliers', metric, CAST(outliers AS DOUBLE) FROM ({_fences()})
         "dim_customers": q("SELECT * FROM dim_customer", *tables),
         "dim_products": q("SELECT * FROM dim_product", *tables),
         "order_headers": q("SELECT * FROM header", *tables),
+        "dim_customers_by_batches": q("SELECT * FROM dim_customer", *tables),
+        "dim_products_by_batches": q("SELECT * FROM dim_product", *tables),
+        "order_headers_by_batches": q("SELECT * FROM header", *tables),
         "order_items": q(f"SELECT order_item_id, order_id, product_id, quantity, {doubles('sales', 'discount', 'profit')} FROM item", *tables),
         "order_summary_view": q(
             f"SELECT order_item_id, {ALL_LINE_COLUMNS} FROM summary", *tables),
