@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerline.functions import calendar as cal, keys
 from ledgerline.functions.numbers import money_sum, ratio
 from ledgerline.operators import (
-    audits, baskets, cleaning, dimensions, features, forecasting, kpis, normalize, segmentation, sketches, statistics,
-    timebins,
+    audits, baskets, cleaning, dimensions, features, forecasting, kpis, micro_clusters, normalize, segmentation, sketches,
+    statistics, timebins,
 )
 from ledgerline.operators.cleaning_audit import clean_observed
 from ledgerline.operators.stored import shared_folder, stored
@@ -580,6 +580,19 @@ def k_sweep(spark, directory):
     return segmentation.sweep_table(scaled, segmentation.sweep_clusters(scaled))
 
 
+@query
+def k_sweep_by_summary(spark, directory):
+    return micro_clusters.sweep_summary(stored(segmentation.scale(_rfm(spark, directory))))
+
+
+@query
+def cluster_scores(spark, directory):
+    """Inertia and silhouette of labels that follow from the key, so that they can be compared exactly."""
+    scaled = segmentation.scale(_rfm(spark, directory))
+    labels = {k: F.pmod(F.col("customer_id") + F.col("customer_id") % 7, F.lit(k)) for k in segmentation.CLUSTER_RANGE}
+    return rounded(micro_clusters.cluster_scores(scaled, labels), 6, "inertia", "silhouette")
+
+
 @query
 def kmeans_segments(spark, directory):
     rows = _rfm(spark, directory)

@@ -194,6 +194,25 @@ PROFILE = """clustered AS (SELECT *, CAST(customer_id % 4 AS INTEGER) AS cluster
   FROM ranked
 )"""
 
+CLUSTER_SCORES = """z AS (
+  SELECT customer_id, (ln(1 + recency_days) - avg(ln(1 + recency_days)) OVER ()) / stddev_pop(ln(1 + recency_days)) OVER () AS r,
+         (ln(1 + frequency) - avg(ln(1 + frequency)) OVER ()) / stddev_pop(ln(1 + frequency)) OVER () AS f,
+         (ln(1 + monetary) - avg(ln(1 + monetary)) OVER ()) / stddev_pop(ln(1 + monetary)) OVER () AS m
+  FROM rfm
+), labelled AS (SELECT *, (customer_id + customer_id % 7) % k AS c FROM z, (SELECT unnest(generate_series(2, 8)) AS k)
+), distances AS (
+  SELECT x.k, x.customer_id, x.c = y.c AS own, y.c, count(*) AS n,
+         sum((x.r - y.r) * (x.r - y.r) + (x.f - y.f) * (x.f - y.f) + (x.m - y.m) * (x.m - y.m)) AS total
+  FROM labelled x JOIN labelled y ON x.k = y.k GROUP BY ALL
+), judged AS (
+  SELECT k, customer_id, sum(total / (2 * n)) FILTER (own) AS cost, max(n) FILTER (own) AS size,
+         max(total / greatest(n - 1, 1)) FILTER (own) AS a, min(total / n) FILTER (NOT own) AS b
+  FROM distances GROUP BY k, customer_id
+)
+SELECT CAST(k AS INTEGER) AS clusters, count(*) AS customers, round(sum(cost), 6) AS inertia,
+       round(avg(CASE WHEN size = 1 OR b IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM judged GROUP BY k"""
+
 ITEMS = """bought AS (SELECT DISTINCT order_id, sub_category || '/' || category AS item FROM lines
 ), counts AS (SELECT item, count(*) AS order_count FROM bought GROUP BY item
 ), total AS (SELECT count(DISTINCT order_id) AS n FROM bought)"""
@@ -670,6 +689,7 @@ ORDER BY md5(concat_ws('|', CAST(order_id AS VARCHAR), CAST(product_id AS VARCHA
             "SELECT customer_id, " + ", ".join(
                 f"round((ln(1 + {c}) - (SELECT avg(ln(1 + {c})) FROM rfm)) / (SELECT stddev_pop(ln(1 + {c})) FROM rfm), 6) AS {c}_z"
                 for c in ("recency_days", "frequency", "monetary")) + " FROM rfm", LINES, RFM),
+        "cluster_scores": f"WITH {LINES}, {RFM}, {CLUSTER_SCORES}",
         "cluster_profile": q(
             """SELECT cluster, round(recency_days, 6) AS recency_days, round(frequency, 6) AS frequency, round(monetary, 6) AS monetary, recency_rank, frequency_rank, monetary_rank, composite_rank, segment FROM profile""",
             LINES, RFM, PROFILE),
