@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerline.functions.numbers import half_even
 from ledgerline.operators.joins import join_per_key
 from ledgerline.operators.normalize import first_per_key
+from ledgerline.operators.stored import stored
 
 # Rule thresholds, recommendations per product, and what counts as thin evidence.
 MIN_SUPPORT = 0.001
@@ -64,6 +67,60 @@ def pair_counts(items: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame
     return counted.where(F.col("co_occurrence_count") / _basket_total(items) >= min_support)
 
 
+#: Items of the largest sets that ``itemsets`` looks for.
+LONGEST_SET = 4
+
+
+def itemsets(items: DataFrame, min_support: float = MIN_SUPPORT, longest: int = LONGEST_SET) -> DataFrame:
+    """(items, size, order_count, support): all sets of 2 to ``longest`` items that reach the minimum support, by level.
+
+    A level's candidates are two sets of the level below that share all but their last items, less those with a part that is
+    not frequent itself: no frequent set is lost. Occurrences, one row per order and frequent set, are carried from level to level, so
+    a level joins these and not the whole baskets. Items of a set are in order. The sum over orders of C(frequent items in
+    the order, size) bounds a level; ``_frequent`` bounds the items. A level is stored before the next begins.
+    """
+    total = items.agg(F.countDistinct("order_id")).first()[0]
+    kept = stored(join_per_key(items, _frequent(items, min_support).select("item"), ["item"], "left_semi"))
+    enough = F.col("order_count") / F.lit(total) >= F.lit(min_support)
+    held = kept.select("order_id", F.array("item").alias("set"))
+    known = kept.groupBy("item").agg(F.count("*").alias("order_count")).select(F.array("item").alias("set"), "order_count")
+    levels = []
+    for size in range(2, longest + 1):
+        grown = _occurrences(held, kept, _candidates(known, size))
+        found = grown.groupBy("set").agg(F.count("*").alias("order_count")).where(enough)
+        known = stored(found)
+        if known.isEmpty():
+            break
+        levels.append(known)
+        held = stored(join_per_key(grown, known.select("set"), ["set"], "left_semi")) if size < longest else held
+    if not levels:
+        levels = [known.limit(0)]
+    every = reduce(DataFrame.union, levels)
+    support = half_even(F.col("order_count") / F.lit(max(total, 1)), 5)
+    return every.select(F.col("set").alias("items"), F.size("set").alias("size"), "order_count", support.alias("support"))
+
+
+def _candidates(known: DataFrame, size: int) -> DataFrame:
+    """(start, item): sets of ``size`` whose parts are all frequent, as the set without its last item, and that item."""
+    start, last = F.slice("set", 1, size - 2), F.element_at("set", size - 1)
+    left = known.select(start.alias("_start"), last.alias("_left"))
+    right = known.select(start.alias("_start"), last.alias("_right"))
+    pairs = left.join(right, "_start").where(F.col("_left") < F.col("_right"))
+    sets = pairs.select(F.concat("_start", F.array("_left", "_right")).alias("set"))
+    if size > 2:
+        # The two sets that were joined are frequent; the other parts leave out one of the first items.
+        parts = F.transform(F.sequence(F.lit(1), F.lit(size - 2)), lambda i: F.filter("set", lambda x, k: k != i - 1))
+        each = sets.withColumn("part", F.explode(parts)).join(known.select(F.col("set").alias("part")), "part")
+        sets = each.groupBy("set").agg(F.count("*").alias("n")).where(F.col("n") == size - 2).select("set")
+    return sets.select(F.slice("set", 1, size - 1).alias("start"), F.element_at("set", size).alias("item"))
+
+
+def _occurrences(held: DataFrame, kept: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(order_id, set): the candidates that each order holds, from the orders' sets of the level below and their items."""
+    longer = held.withColumnRenamed("set", "start").join(candidates, "start")
+    return longer.join(kept, ["order_id", "item"]).select("order_id", F.concat("start", F.array("item")).alias("set"))
+
+
 def association_rules(
     df: DataFrame, item: str = "product_id", min_support: float = MIN_SUPPORT, min_lift: float = MIN_LIFT
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ledgerline.functions.numbers import half_even, percent
 from ledgerline.operators.quantiles import exact_quantiles, unpivot_numbers, value_counts
@@ -210,3 +210,34 @@ def outlier_flags(df: DataFrame, columns: Sequence[str] = ("sales", "profit"), p
         inside = F.col(c).cast("double").between(fence["lower_bound"], fence["upper_bound"])
         flags[f"is_{c}_outlier"] = _holds(~inside)
     return df.withColumns(flags)
+
+
+#: Values listed per column, and values a task keeps count of while it looks for the frequent ones.
+PROFILE_VALUES = 20
+PROFILE_TRACKED = 10_000
+
+
+def category_profile(
+    df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS, top: int = PROFILE_VALUES, tracked: int = PROFILE_TRACKED
+) -> DataFrame:
+    """(column_name, position, value, row_count, share_pct, is_complete): the most frequent values of each column as text.
+
+    One pass finds the candidates of all columns with sketches that hold at most ``tracked`` values, whatever a column
+    contains; a second counts these exactly and nothing else. With up to ``tracked`` distinct values the list is exact; with more, a
+    value too rare for the sketch (below about 3.5 / ``tracked`` of the rows) may be missing. Ties go by value.
+    ``is_complete`` tells whether the listed values are all that the column has. Nulls are not values.
+    """
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    sketched = text.agg(*[F.expr(f"approx_top_k(`{c}`, {4 * top}, {tracked})").alias(c) for c in columns], *[F.count(c).alias(f"_n_{c}") for c in columns])
+    entries = [(c, F.struct(F.transform(F.col(c), lambda i: i["item"]).alias("items"), F.col(f"_n_{c}").alias("n"))) for c in columns]
+    found = rows_from_columns(sketched, entries, ("column_name", "found")).select("column_name", "found.items", "found.n")
+    values = text.unpivot([], list(columns), "column_name", "value").where("value IS NOT NULL")
+    # One row per listed column with at most 4 * top values: a fixed size, safe to broadcast.
+    kept = values.join(F.broadcast(found), "column_name").where(F.array_contains("items", F.col("value")))
+    counted = kept.groupBy("column_name", "value", "n").agg(F.count("*").alias("row_count"))
+    by_count = W.partitionBy("column_name").orderBy(F.desc("row_count"), "value")
+    ranked = counted.withColumn("position", F.row_number().over(by_count)).where(F.col("position") <= top)
+    return ranked.select(
+        "column_name", "position", "value", "row_count", half_even(percent("row_count", "n"), 2).alias("share_pct"),
+        (F.sum("row_count").over(W.partitionBy("column_name")) == F.col("n")).alias("is_complete"),
+    )

@@ -22,6 +22,9 @@ SAMPLE_ROWS = 2000
 WHISKER = 1.5
 #: Bandwidths beyond which the Gaussian kernel is exactly zero as a double.
 KERNEL_REACH = 39.0
+#: Bins of the binned density within a bandwidth, and bandwidths beyond which its kernel is left out (below 1e-17 of its peak).
+BINS_PER_BANDWIDTH = 16
+BINNED_REACH = 9.0
 
 
 def _numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -184,6 +187,44 @@ def density(df: DataFrame, columns: Sequence[str] = CHARTED_COLUMNS, points: int
     return summed.select("metric", F.col("point").cast("int").alias("point"), x.alias("x"), (F.col("mass") / norm).alias("density"))
 
 
+def binned_density(
+    df: DataFrame, columns: Sequence[str] = CHARTED_COLUMNS, points: int = DENSITY_POINTS, fineness: int = BINS_PER_BANDWIDTH
+) -> DataFrame:
+    """As ``density``, from bin masses instead of distinct values: for columns with about as many values as rows.
+
+    Each value's weight goes to its two neighbouring bin nodes in proportion to its nearness, which evaluates the kernel by
+    linear interpolation between nodes. With nodes ``bandwidth / fineness`` apart at most, a density is off by at most
+    ``error_bound``: spacing squared over 8 times the largest second derivative of the kernel. Only bins that hold
+    weight are shuffled, from tasks that have summed them, and every bin meets the grid points in its reach.
+    """
+    values = unpivot_numbers(df, columns)
+    spread = values.groupBy("metric").agg(
+        F.count("*").alias("n"), F.stddev_samp("value").alias("std"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    )
+    sized = spread.withColumn("h", F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).where("h > 0")
+    step = (F.col("hi") - F.col("lo")) / F.lit(points - 1)
+    # Whole numbers of bins to a grid step, so that grid points are nodes. One row per listed column: safe to broadcast.
+    grid = sized.withColumn("step", step).withColumn("m", F.ceil(F.col("step") * fineness / F.col("h"))).withColumn("delta", F.col("step") / F.col("m"))
+    place = (F.col("value") - F.col("lo")) / F.col("delta")
+    shared = values.join(F.broadcast(grid), "metric").select("metric", F.floor(place).alias("node"), (place - F.floor(place)).alias("part"))
+    ends = F.array(F.struct("node", (1 - F.col("part")).alias("mass")), F.struct((F.col("node") + 1).alias("node"), F.col("part").alias("mass")))
+    bins = shared.select("metric", F.inline(ends)).groupBy("metric", "node").agg(F.sum("mass").alias("mass")).where("mass > 0")
+    reach = F.lit(BINNED_REACH) * F.col("h") / F.col("step")
+    at = F.col("node") / F.col("m")
+    first, last = F.greatest(F.ceil(at - reach), F.lit(0)), F.least(F.floor(at + reach), F.lit(points - 1))
+    near = bins.join(F.broadcast(grid), "metric").where(first <= last).withColumn("point", F.explode(F.sequence(first, last)))
+    distance = (F.col("point") - at) * F.col("step") / F.col("h")
+    every = grid.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)).cast("array<bigint>")))
+    kept = ["metric", "point", "n", "lo", "h", "step", "delta"]
+    masses = near.select(*kept, (F.col("mass") * F.exp(distance * distance * F.lit(-0.5))).alias("mass")).union(every.select(*kept, F.lit(0.0)))
+    summed = masses.groupBy(*kept).agg(F.sum("mass").alias("mass"))
+    peak = 1 / (F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))
+    return summed.select(
+        "metric", F.col("point").cast("int").alias("point"), (F.col("lo") + F.col("point") * F.col("step")).alias("x"),
+        (F.col("mass") / F.col("n") * peak).alias("density"), (F.pow(F.col("delta") / F.col("h"), 2) / 8 * peak).alias("error_bound"),
+    )
+
+
 def box_summary(
     df: DataFrame, columns: Sequence[str] = CHARTED_COLUMNS, keys: Sequence[str] = (), precount: bool = True
 ) -> DataFrame:

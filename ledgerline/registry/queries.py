@@ -263,6 +263,11 @@ def convert_types(spark, directory):
     return cleaning.convert_types(text)
 
 
+@query
+def category_profile(spark, directory):
+    return cleaning.category_profile(dirty(spark, directory))
+
+
 @query
 def conversion_report(spark, directory):
     text = dirty(spark, directory).select(*[F.col(c).cast("string").alias(c) for c in ORDER_LINE_COLUMNS])
@@ -479,6 +484,12 @@ def density_curve(spark, directory):
     return rounded(rounded(curve, 6, "x"), 9, "density")
 
 
+@query
+def density_curve_binned(spark, directory):
+    curve = statistics.binned_density(explored(spark, directory))
+    return rounded(rounded(curve, 6, "x"), 9, "density", "error_bound")
+
+
 @query
 def box_summary(spark, directory):
     boxes = statistics.box_summary(explored(spark, directory))
@@ -651,6 +662,14 @@ def pair_counts(spark, directory):
     return baskets.pair_counts(_items(spark, directory))
 
 
+@query
+def itemsets(spark, directory):
+    """Sets of two to four brands: enough of them share orders."""
+    base = lines(spark, directory, ["order_id", "sub_category"])
+    found = baskets.itemsets(baskets.basket_items(base, "sub_category"))
+    return found.withColumn("items", F.array_join("items", ","))
+
+
 @query
 def association_rules(spark, directory):
     return baskets.sort_rules(_rules(spark, directory))

@@ -5,7 +5,7 @@ Written independently of the operators: flat joins, window functions and exact p
 
 from __future__ import annotations
 
-from ledgerline.schemas import CHARTED_COLUMNS, DESCRIBED_COLUMNS
+from ledgerline.schemas import CATEGORY_COLUMNS, CHARTED_COLUMNS, DESCRIBED_COLUMNS
 
 
 def half_even(expression: str, digits: int) -> str:
@@ -398,6 +398,26 @@ GROUP BY point, lo, hi"""
     for c in CHARTED_COLUMNS
 )
 
+BINNED_DENSITY = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS metric, CAST(point AS INTEGER) AS point, round(lo + point * step, 6) AS x,
+  round(coalesce(sum(mass * exp(-0.5e0 * pow((point - node / m) * step / h, 2))), 0) / any_value(n) / (h * sqrt(2e0 * pi())), 9) AS density,
+  round(pow(step / m / h, 2) / 8e0 / (h * sqrt(2e0 * pi())), 9) AS error_bound
+FROM (SELECT *, ceil(step * 16e0 / h) AS m FROM (
+        SELECT n, lo, (hi - lo) / 199e0 AS step, std * pow(CAST(n AS DOUBLE), -0.2e0) AS h FROM (
+          SELECT count({c}) AS n, min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi, stddev_samp(CAST({c} AS DOUBLE)) AS std FROM eda)))
+CROSS JOIN (SELECT unnest(generate_series(0, 199)) AS point)
+JOIN (
+  SELECT node, sum(mass) AS mass FROM (
+    SELECT unnest([{{'node': floor(place), 'mass': 1 - (place - floor(place))}}, {{'node': floor(place) + 1, 'mass': place - floor(place)}}], recursive := true)
+    FROM (SELECT (CAST({c} AS DOUBLE) - lo) / (step / ceil(step * 16e0 / h)) AS place FROM eda, (
+        SELECT lo, (hi - lo) / 199e0 AS step, std * pow(CAST(n AS DOUBLE), -0.2e0) AS h FROM (
+          SELECT count({c}) AS n, min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi, stddev_samp(CAST({c} AS DOUBLE)) AS std FROM eda)))
+  ) GROUP BY node
+) ON TRUE
+GROUP BY point, lo, step, h, m"""
+    for c in CHARTED_COLUMNS
+)
+
 HISTOGRAM = "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS metric, bin, round(lo + bin * w, 6) AS bin_start, count(*) AS row_count
 FROM (SELECT CAST(least(floor((CAST({c} AS DOUBLE) - lo) / w), 39) AS INTEGER) AS bin, lo, w
@@ -578,6 +598,16 @@ UNION ALL SELECT 'discount', count(*), '0.0' FROM dirty WHERE discount IS NULL""
         "convert_types": q(
             f"""SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
   CAST(product_id AS VARCHAR) AS product_id) FROM (SELECT {ALL_LINE_COLUMNS} FROM dirty)""", LINES, DIRTY),
+        "category_profile": q(
+            "SELECT column_name, CAST(position AS INTEGER) AS position, value, row_count, "
+            + half_even("CAST(row_count AS DOUBLE) / n * 1e2", 2)
+            + " AS share_pct, distinct_values <= 20 AS is_complete FROM (SELECT *, count(*) OVER (PARTITION BY column_name) AS distinct_values, "
+            "CAST(sum(row_count) OVER (PARTITION BY column_name) AS BIGINT) AS n, "
+            "row_number() OVER (PARTITION BY column_name ORDER BY row_count DESC, value) AS position FROM ("
+            + "\nUNION ALL\n".join(
+                f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS row_count FROM dirty WHERE {c} IS NOT NULL GROUP BY ALL"
+                for c in CATEGORY_COLUMNS)
+            + ")) WHERE position <= 20", LINES, DIRTY),
         "conversion_report": q("\nUNION ALL\n".join(
             f"SELECT '{c}' AS column_name, 'string' AS type_before, '{kind.lower()}' AS type_after, count({c}) AS given, "
             f"count(*) FILTER ({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS {sql_kind}) IS NULL) AS unparsed FROM dirty"
@@ -672,6 +702,7 @@ FROM {source}, (SELECT avg({v}) AS m, stddev_pop({v}) AS s FROM {source})""") +
             for c in DESCRIBED_COLUMNS if c != "sales") + ")"),
         "histogram": q(HISTOGRAM, LINES, REPAIRED),
         "density_curve": q(DENSITY, LINES, REPAIRED),
+        "density_curve_binned": q(BINNED_DENSITY, *eda),
         "box_summary": q(_box("eda", CHARTED_COLUMNS), *eda),
         "box_by_category": q(_box("eda", ["profit_margin_pct"], "category"), *eda),
         "bounded_sample": q(
@@ -720,6 +751,13 @@ FROM clustered c JOIN (SELECT cluster, segment FROM profile) USING (cluster)""",
 QUALIFY row_number() OVER (PARTITION BY sub_category, category ORDER BY order_date, order_id, product_name) = 1"""),
         "item_counts": q("SELECT * FROM counts", LINES, ITEMS),
         "pair_counts": q("SELECT item_a, item_b, co_occurrence_count FROM measured WHERE support >= 1e-3", LINES, ITEMS, RULES),
+        "itemsets": q(
+            f"SELECT items, size, order_count, {half_even('CAST(order_count AS DOUBLE) / n', 5)} AS support FROM (" + "\nUNION ALL\n".join(
+                f"SELECT concat_ws(',', {', '.join(f'{t}.item' for t in 'abcd'[:k])}) AS items, {k} AS size, count(*) AS order_count FROM brand a "
+                + " ".join(f"JOIN brand {b} ON {b}.order_id = a.order_id AND {p}.item < {b}.item" for p, b in zip("abc", "bcd"[: k - 1]))
+                + " GROUP BY ALL" for k in (2, 3, 4))
+            + "), (SELECT count(DISTINCT order_id) AS n FROM brand) WHERE CAST(order_count AS DOUBLE) / n >= 1e-3",
+            LINES, "brand AS (SELECT DISTINCT order_id, sub_category AS item FROM lines)"),
         "association_rules": q("SELECT * FROM rules", LINES, ITEMS, RULES),
         "recommendations": q(
             """SELECT product, CAST(rank AS INTEGER) AS rank, recommended, lift FROM (

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+import random
 from collections import Counter
 from itertools import combinations
 
@@ -106,3 +108,20 @@ def test_lists_names_and_evidence(spark):
     assert tuple(baskets.rule_evidence(rules, baskets.basket_items(df)).first()) == (2, 2, 1, 1, 1)
     top = baskets.top_rules(rules, baskets.item_names(df)).first()
     assert (top["name_a"], top["name_b"]) == ("X", "Old Y")
+
+
+def test_itemsets_of_every_size_equal_counting_all_subsets(spark):
+    rng = random.Random(8)
+    orders = [rng.sample("abcdefgh", rng.randint(1, 6)) for _ in range(120)] + [list("abcde")] * 20
+    frame = spark.createDataFrame([(k, i) for k, order in enumerate(orders) for i in order], "order_id long, item string")
+    counted = Counter(c for order in orders for size in (2, 3, 4) for c in itertools.combinations(sorted(order), size))
+    for support in (0.05, 0.12, 0.2):
+        expected = sorted((list(c), len(c), n) for c, n in counted.items() if n / len(orders) >= support)
+        found = sorted((r["items"], r["size"], r["order_count"]) for r in baskets.itemsets(frame, support).collect())
+        assert found == expected and max(size for _, size, _ in found) >= 3
+    assert baskets.itemsets(frame, 0.99).collect() == [] == baskets.itemsets(frame.limit(0), 0.1).collect()
+
+
+def test_candidates_lose_sets_with_an_infrequent_part(spark):
+    known = spark.createDataFrame([(list(p), 9) for p in ("ab", "ac", "bc", "bd", "ad")], "set array<string>, order_count long")
+    assert rows(baskets._candidates(known, 3)) == sorted([(["a", "b"], "c"), (["a", "b"], "d")], key=repr)

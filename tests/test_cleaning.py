@@ -84,3 +84,16 @@ def test_removing_copies_twice_changes_nothing(spark, data):
     once = cleaning.remove_copies(spark.createDataFrame(data, "a int, b string"))
     assert rows(cleaning.remove_copies(once)) == rows(once)
     assert once.count() == len(set(data))
+
+
+def test_category_profile_lists_frequent_values_exactly(spark):
+    few = [("a",)] * 5 + [("b",)] * 3 + [("c",)] * 3 + [(None,)] * 4
+    listed = rows(cleaning.category_profile(spark.createDataFrame(few, "region string"), ["region"], top=2))
+    assert listed == [("region", 1, "a", 5, 45.45, False), ("region", 2, "b", 3, 27.27, False)]
+    assert {r["is_complete"] for r in cleaning.category_profile(spark.createDataFrame(few, "region string"), ["region"], top=3).collect()} == {True}
+    # 30,000 different values beside three frequent ones, and at most 64 values tracked
+    many = spark.range(60_000).selectExpr("CASE WHEN id % 10 < 2 THEN 'x' WHEN id % 10 = 2 THEN 'y' WHEN id % 10 = 3 THEN 'z' ELSE string(id) END AS region", "id AS city")
+    found = cleaning.category_profile(many, ["region", "city"], top=3, tracked=64)
+    assert rows(found.where("column_name = 'region'"), "value", "row_count") == [("x", 12_000), ("y", 6_000), ("z", 6_000)]
+    assert {r["is_complete"] for r in found.collect()} == {False} and found.where("column_name = 'city' AND row_count > 1").isEmpty()
+    assert cleaning.category_profile(many.limit(0), ["region"]).collect() == []

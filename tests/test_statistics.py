@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from row_sets import rows
 
 from ledgerline.operators import statistics
@@ -64,3 +65,15 @@ def test_sample_is_bounded_whole_and_repeatable(spark):
     sample = statistics.bounded_sample(df, ["id", "v"], ["id"], size=100)
     assert sample.count() == 100 and rows(sample) == rows(statistics.bounded_sample(df.repartition(5), ["id", "v"], ["id"], size=100))
     assert statistics.bounded_sample(df.limit(30), ["id"], ["id"], size=100).count() == 30
+
+
+def test_binned_density_stays_within_its_bound(spark):
+    k = F.col("id")
+    noise = F.pmod(F.xxhash64(k), F.lit(1 << 30)) / float(1 << 30)
+    frame = spark.range(4000).select((F.exp(noise * 4) + k % 2 * 30).alias("sales"), F.when(k % 3 == 0, 5.0).otherwise(noise).alias("profit"), F.lit(1.0).alias("quantity"))
+    for fineness in (2, 16):
+        exact = {(r["metric"], r["point"]): r for r in statistics.density(frame, ["sales", "profit", "quantity"]).collect()}
+        found = statistics.binned_density(frame, ["sales", "profit", "quantity"], fineness=fineness).collect()
+        assert {(r["metric"], r["point"]) for r in found} == set(exact) and len(found) == 400
+        off = [abs(r["density"] - exact[r["metric"], r["point"]]["density"]) / r["error_bound"] for r in found]
+        assert 0 < max(off) <= 1 and all(abs(r["x"] - exact[r["metric"], r["point"]]["x"]) < 1e-9 for r in found)
