@@ -1,9 +1,9 @@
 """Exact quantiles by successive narrowing, without sorting the data or gathering it in one task.
 
 The built-in exact percentile keeps every distinct value of a group in one buffer. Here values are read as whole numbers
-in the same order (``order_code``), and each round counts rows by the next sixteen bits of the numbers that still share
+in the same order (``with_order_code``), and each round counts rows by the next sixteen bits of the numbers that still share
 the wanted rank's leading bits: at most 65,536 counters per task and interval, whatever the values. After four rounds all
-64 bits are known and the interval is one value.
+64 bits are known and the interval is one value. The values that the first round leaves are stored for the others.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ledgerline.operators.stored import stored
+
 
 def unpivot_numbers(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), keep_missing: bool = False
@@ -28,33 +30,36 @@ def unpivot_numbers(
 
 
 def value_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per distinct value. The counts are shuffled by key and value, so no key gathers in one
-    task; every reader below shares that one exchange, and a costly input is computed once."""
-    return values.groupBy(*keys, "value").agg(F.count("*").alias("cnt"))
+    """Rows per distinct value, stored for the readers below. The counts are shuffled by key and value, so no key gathers
+    in one task, and a costly input is computed once."""
+    return stored(values.groupBy(*keys, "value").agg(F.count("*").alias("cnt")))
 
 
 #: Bits that are left to look at after each round.
 SHIFTS = (48, 32, 16, 0)
 
 
-def order_code(value: str) -> Column:
-    """The double as a 64-bit whole number in the same order: sign, exponent and fraction as they are stored.
+def with_order_code(df: DataFrame, value: str = "value", name: str = "code") -> DataFrame:
+    """Adds the double as a 64-bit whole number in the same order: sign, exponent and fraction as they are stored.
 
-    Infinite values lie next to all finite ones, as they are stored too.
+    Infinite values lie next to all finite ones, as they are stored too. The steps are columns of their own, because an
+    expression that names one twice would compute it twice, down to the logarithm.
     """
-    infinite = F.abs(F.col(value)) == float("inf")
-    size = F.when(infinite, F.lit(1.0)).otherwise(F.abs(F.col(value)))
-    rough = F.floor(F.log2(size)).cast("int")
+    x, least, most = F.col(value), -1022, 1023
+    infinite = F.abs(x) == float("inf")
+    sized = df.withColumn("_size", F.when(infinite, F.lit(1.0)).otherwise(F.abs(x)))
+    rough = sized.withColumn("_rough", F.when(F.col("_size") > 0, F.greatest(F.least(F.floor(F.log2("_size")), F.lit(most)), F.lit(least))).otherwise(least))
+    power = rough.withColumn("_power", F.pow(F.lit(2.0), F.col("_rough")))
     # The logarithm may miss the exponent by one next to a power of two.
-    exponent = F.greatest(
-        rough - F.when(size < F.pow(F.lit(2.0), rough), 1).otherwise(0) + F.when(size / 2 >= F.pow(F.lit(2.0), rough), 1).otherwise(0),
-        F.lit(-1022),
-    )
-    fraction = size / F.pow(F.lit(2.0), exponent)
-    lead = F.when(fraction >= 1, (exponent + 1023).cast("long")).otherwise(F.lit(0).cast("long"))
-    finite = F.shiftleft(lead, 52) + ((fraction - F.when(fraction >= 1, 1.0).otherwise(0.0)) * float(1 << 52)).cast("long")
-    code = F.when(infinite, F.lit(2047 << 52)).otherwise(finite)
-    return F.when(size == 0, F.lit(0).cast("long")).when(F.col(value) < 0, -code).otherwise(code)
+    miss = F.when((F.col("_size") < F.col("_power")) & (F.col("_rough") > least), -1).when(F.col("_size") / 2 >= F.col("_power"), 1).otherwise(0)
+    missed = power.withColumn("_miss", miss)
+    scale = F.when(F.col("_miss") < 0, F.col("_power") / 2).when(F.col("_miss") > 0, F.col("_power") * 2).otherwise(F.col("_power"))
+    split = missed.withColumn("_fraction", F.col("_size") / scale)
+    normal = F.col("_fraction") >= 1
+    lead = F.when(normal, F.col("_rough") + F.col("_miss") + 1023).otherwise(0).cast("long")
+    rest = ((F.col("_fraction") - F.when(normal, 1.0).otherwise(0.0)) * float(1 << 52)).cast("long")
+    coded = split.withColumn("_code", F.when(infinite, F.lit(2047 << 52)).otherwise(F.shiftleft(lead, 52) + rest))
+    return coded.withColumn(name, F.when(x < 0, -F.col("_code")).otherwise(F.col("_code"))).select(*df.columns, name)
 
 
 def exact_quantiles(counted: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -64,7 +69,7 @@ def exact_quantiles(counted: DataFrame, keys: Sequence[str], probs: Sequence[flo
     empty. Besides the data only one row per key and probability is in flight.
     """
     keys = list(keys)
-    coded = counted.where(~F.isnan("value")).withColumn("code", order_code("value"))
+    coded = with_order_code(counted.where(~F.isnan("value")))
     whole = _binned(coded, None, keys, SHIFTS[0])
     n = F.sum("size").over(W.partitionBy(*keys))
     spots = [((F.col("n") - 1) * F.lit(float(p)), float(p)) for p in probs]
@@ -75,8 +80,13 @@ def exact_quantiles(counted: DataFrame, keys: Sequence[str], probs: Sequence[flo
         ]
     )
     targets = _hit(whole.withColumn("n", n).select("*", F.inline(wanted)).withColumn("after", F.lit(None).cast("double")), keys)
+    # The first sixteen bits leave few values: later rounds read these and not the whole input again.
+    targets = stored(targets)
+    intervals = per_group(targets.select(*keys, "lo", "hi").distinct(), keys)  # equal ones or apart, so no value is met twice
+    inside = F.col("value").between(F.col("lo"), F.col("hi"))
+    left = stored(coded.join(intervals, keys).where(inside).groupBy(*keys, "value", "code").agg(F.sum("cnt").alias("cnt")))
     for shift in SHIFTS[1:]:
-        targets = _hit(_binned(coded, per_group(targets, keys), [*keys, *_TARGET], shift), keys)
+        targets = _hit(_binned(left, per_group(targets, keys), [*keys, *_TARGET], shift), keys)
     exhausted = F.col("rank") + 1 >= F.col("left")
     upper = F.when(exhausted, F.coalesce("after", "lo")).otherwise(F.col("lo"))
     between = F.col("lo") + (upper - F.col("lo")) * F.col("weight")

@@ -133,7 +133,7 @@ def test_quantile_rounds_end_on_single_values(spark):
 def test_order_codes_keep_the_order_of_doubles(spark):
     numbers = [0.0, math.inf, 5e-324, 1e-310, 2.2250738585072014e-308, 1e-5, 0.1, 0.5, 0.9999999999999999, 1.0, 1.0000000000000002, 2.0, 3.5, 4.0, 1e15, 2.0**62, 1.7976931348623157e308]
     numbers = sorted({s * n for n in numbers for s in (-1, 1)})
-    coded = spark.createDataFrame([(n,) for n in numbers], "value double").withColumn("code", quantiles.order_code("value"))
+    coded = quantiles.with_order_code(spark.createDataFrame([(n,) for n in numbers], "value double"))
     codes = [r["code"] for r in coded.orderBy("value").collect()]
     assert all(a < b for a, b in zip(codes, codes[1:]))
     assert codes[len(codes) // 2 + 1] == 1 and struct.unpack("<q", struct.pack("<d", numbers[-1]))[0] == codes[-1]
