@@ -150,6 +150,15 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix64((prefix[ends] - prefix[starts]) * inverse[starts])
 
 
+def same_spans(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For each pair of spans of equal length above 0, whether their bytes are equal: hashes may agree by chance."""
+    if not len(lengths):
+        return np.zeros(0, bool)
+    first = np.cumsum(lengths) - lengths
+    inside = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    return np.logical_and.reduceat(a[inside + np.repeat(a_starts, lengths)] == b[inside + np.repeat(b_starts, lengths)], first)
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each document the index of its first word (one more at the end)."""
     if not len(data):

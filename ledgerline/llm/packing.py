@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.common import cut, prefix_hashes, ranks, span_hashes, text_of, text_slices, words
+from ledgerline.llm.common import cut, prefix_hashes, ranks, same_spans, span_hashes, text_of, text_slices, words
 
 #: Tokens of a sequence.
 SEQUENCE = 4096
@@ -49,6 +49,7 @@ class WordTokens:
     def _forget(self) -> None:
         self.keys, self.at, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
+        self.text, self.text_at, self.text_size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def word_ids(self, word: str) -> list[int]:
         if plain := _PLAIN.fullmatch(word):
@@ -56,34 +57,50 @@ class WordTokens:
             return [t.id for p in parts if p for t in self.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_CHARS))]
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
-    def _learn(self, keys: np.ndarray, new: list[list[int]]) -> None:
-        count = np.array([len(x) for x in new], np.int64)
+    def _learn(self, keys: np.ndarray, new: list[bytes]) -> None:
+        ids = [self.word_ids(word.decode()) for word in new]
+        count, size = np.array([len(x) for x in ids], np.int64), np.array([len(w) for w in new], np.int64)
         at = len(self.pool) + np.cumsum(count) - count
-        self.pool = np.concatenate([self.pool, np.array([i for x in new for i in x], np.uint32)])
+        text_at = len(self.text) + np.cumsum(size) - size
+        self.pool = np.concatenate([self.pool, np.array([i for x in ids for i in x], np.uint32)])
+        self.text = np.concatenate([self.text, np.frombuffer(b"".join(new), np.uint8)])
         place = np.searchsorted(self.keys, keys)
-        self.keys, self.at, self.count = (np.insert(a, place, b) for a, b in ((self.keys, keys), (self.at, at), (self.count, count)))
+        held = ((self.keys, keys), (self.at, at), (self.count, count), (self.text_at, text_at), (self.text_size, size))
+        self.keys, self.at, self.count, self.text_at, self.text_size = (np.insert(a, place, b) for a, b in held)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all documents of a slice, each closed by ``END_ID``, and the offsets of the documents in them."""
+        """The ids of all documents of a slice, each closed by ``END_ID``, and the offsets of the documents in them.
+
+        Hashes find the words that are known; every word is then compared byte by byte with the one its ids were made of.
+        """
         starts, ends, first = words(data, offsets)
+        size = ends - starts
         keys, sample, inverse = np.unique(span_hashes(prefix_hashes(data), starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) + len(keys) > CACHE_WORDS:
             self._forget()
         place = np.searchsorted(self.keys, keys)
         known = self.keys[np.minimum(place, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        raw = data.tobytes()
         if not known.all():
-            raw = data.tobytes()
             fresh = np.flatnonzero(~known)
-            self._learn(keys[fresh], [self.word_ids(raw[starts[k] : ends[k]].decode()) for k in sample[fresh]])
+            self._learn(keys[fresh], [raw[starts[k] : ends[k]] for k in sample[fresh]])
             place = np.searchsorted(self.keys, keys)
-        at, count = self.at[place][inverse], self.count[place][inverse]
+        same = self.text_size[place][inverse] == size
+        same[same] = same_spans(data, starts[same], self.text, self.text_at[place][inverse][same], size[same])
+        at, count, pool = self.at[place][inverse], self.count[place][inverse], self.pool
+        if not same.all():  # words of another word's hash
+            odd = np.flatnonzero(~same)
+            own = [self.word_ids(raw[starts[k] : ends[k]].decode()) for k in odd]
+            count[odd] = [len(x) for x in own]
+            at[odd] = len(pool) + np.cumsum(count[odd]) - count[odd]
+            pool = np.concatenate([pool, np.array([i for x in own for i in x], np.uint32)])
         before = np.concatenate([[0], np.cumsum(count)])
         n_docs = len(offsets) - 1
         bounds = before[first] + np.arange(n_docs + 1)
         ids = np.full(int(bounds[-1]), END_ID, np.uint32)
         doc = np.repeat(np.arange(n_docs), np.diff(first))
-        own = np.arange(before[-1])
-        ids[own + np.repeat(doc, count)] = self.pool[own + np.repeat(at - before[:-1], count)]
+        place_of = np.arange(before[-1])
+        ids[place_of + np.repeat(doc, count)] = pool[place_of + np.repeat(at - before[:-1], count)]
         return ids, bounds
 
 

@@ -43,6 +43,16 @@ def test_pieces_are_the_tokens_and_fill_sequences(spark, make, small):
     assert sorted(space) == list(range(len(space))) and total >= 0.9 * (len(space) - 1) * packing.SEQUENCE
 
 
+def test_words_of_one_hash_keep_their_own_ids(spark, make):
+    """A Thue-Morse word and its complement collide under every polynomial hash modulo 2^64."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(2048))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), f"x {word} y", "plain"]
+    out = packing.pack(make(texts * 2), queries.vocabulary(), with_ids=True).collect()
+    found = {(r["doc_id"], r["start"]): np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in out}
+    own = tokenizer()
+    assert found == {(k, 0): [*own.encode(t, add_special_tokens=False).ids, packing.END_ID] for k, t in enumerate(texts * 2)}
+
+
 @pytest.mark.parametrize("sequence", [10, 64])
 def test_shortest_pack_first_places_every_piece_once(sequence):
     random.seed(sequence)
