@@ -23,10 +23,18 @@ def basket_items(df: DataFrame, item: str = "product_id") -> DataFrame:
     return df.select("order_id", F.col(item).alias("item")).dropna().distinct()
 
 
-def baskets(df: DataFrame, item: str) -> DataFrame:
+#: Different items up to which baskets may be kept as lists.
+MAX_DOMAIN = 10_000
+
+
+def baskets(df: DataFrame, item: str, max_domain: int = MAX_DOMAIN) -> DataFrame:
     """The sorted item list of every order. For items from a small fixed domain, such as brand and
-    type: the list of an order is never longer than the domain. Rules use ``basket_items`` instead."""
-    items = basket_items(df, item).groupBy("order_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    type: the list of an order is never longer than the domain, and a domain of more than ``max_domain`` items is
+    refused. Rules use ``basket_items`` instead."""
+    found = basket_items(df, item)
+    if found.select("item").distinct().limit(max_domain + 1).count() > max_domain:
+        raise ValueError(f"{item} has more than {max_domain} different values: use basket_items")
+    items = found.groupBy("order_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
     return items.withColumn("item_count", F.size("items"))
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.operators.segmentation import CLUSTER_RANGE, MAX_ITERATIONS, RFM, SEED, STARTS
+from ledgerline.operators.segmentation import CLUSTER_RANGE, MAX_ITERATIONS, RFM, SEED, STARTS, label_customers, scale
 from ledgerline.operators.stored import stored
 
 #: Side of a cell in standard deviations, and the most cells of a summary.
@@ -69,7 +69,9 @@ def fit_summary(cells: np.ndarray, clusters: int, seed: int = SEED) -> tuple[np.
 
 
 def fit_counts(cells: np.ndarray, clusters: Iterable[int] = CLUSTER_RANGE, starts: int = STARTS) -> dict[int, np.ndarray]:
-    """For every cluster count the centres with the lowest cost out of several seeded starts."""
+    """For every cluster count the centres with the lowest cost out of several seeded starts; none for no customers."""
+    if not len(cells):
+        return {}
     best = {k: min((fit_summary(cells, k, SEED + s) for s in range(starts)), key=lambda f: f[1])[0] for k in clusters}
     return {k: c[np.lexsort(c.T[::-1])] for k, c in best.items()}
 
@@ -117,6 +119,18 @@ def cluster_scores(scaled: DataFrame, labels: Mapping[int, Column]) -> DataFrame
     return scored.select(F.col("k").alias("clusters"), "customers", "inertia", "silhouette")
 
 
+def segments_by_summary(rfm_rows: DataFrame, clusters: Iterable[int] = CLUSTER_RANGE, starts: int = STARTS) -> tuple[DataFrame, DataFrame]:
+    """(every customer with its segment, the sweep): the cluster count with the best silhouette, named as ``segmentation`` does."""
+    scaled = stored(scale(rfm_rows))
+    fits = fit_counts(summary(scaled), clusters, starts)
+    sweep = stored(_scored(scaled, fits))
+    best = sweep.where("is_selected").first()
+    if best is None:  # no customers
+        return label_customers(rfm_rows.withColumn("cluster", F.lit(0))), sweep
+    assigned = scaled.select("customer_id", nearest_centre(fits[best["clusters"]]).alias("cluster"))
+    return label_customers(rfm_rows.join(assigned, "customer_id")), sweep
+
+
 def sweep_summary(scaled: DataFrame, clusters: Iterable[int] = CLUSTER_RANGE, starts: int = STARTS, cell: float = CELL) -> DataFrame:
     """(clusters, inertia, silhouette, is_selected) for every cluster count, the one with the best silhouette selected.
 
@@ -124,7 +138,10 @@ def sweep_summary(scaled: DataFrame, clusters: Iterable[int] = CLUSTER_RANGE, st
     customers. Against fits over all customers the inertia is at most a few percent higher (tested: 2 %): centres are as
     good as the cells are small.
     """
-    fits = fit_counts(summary(scaled, cell), clusters, starts)
+    return _scored(scaled, fit_counts(summary(scaled, cell), clusters, starts))
+
+
+def _scored(scaled: DataFrame, fits: Mapping[int, np.ndarray]) -> DataFrame:
     scored = cluster_scores(scaled, {k: nearest_centre(c) for k, c in fits.items()})
     best = scored.agg(F.max_by("clusters", F.struct("silhouette", -F.col("clusters")))).scalar()
     return scored.select("clusters", "inertia", "silhouette", (F.col("clusters") == best).alias("is_selected"))

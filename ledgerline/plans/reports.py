@@ -118,10 +118,12 @@ def rule_report(rules: DataFrame, items: DataFrame, names: DataFrame) -> DataFra
 
 
 def forecast_report(metrics: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The split and the errors of every model; of compared models also the winner, with its error."""
     part = F.when(F.col("is_train"), F.lit("train weeks")).otherwise(F.lit("test weeks"))
     return stack(
         [
             section(bounds, "split", part, "weeks"),
             *[section(metrics, m, "model", m) for m in ("mae", "rmse", "r2")],
+            *([section(metrics.where("is_best"), "winner by rmse", "model", "rmse")] if "is_best" in metrics.columns else []),
         ]
     )

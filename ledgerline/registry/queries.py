@@ -624,6 +624,13 @@ def segment_report(spark, directory):
     return reports.segment_report(segmentation.segment_sizes(labelled))
 
 
+@query
+def fitted_segment_report(spark, directory):
+    """With the clusters that the sweep has chosen and the silhouette of every count."""
+    labelled, sweep = micro_clusters.segments_by_summary(_rfm(spark, directory))
+    return reports.segment_report(segmentation.segment_sizes(labelled), sweep)
+
+
 # Market baskets
 
 
@@ -782,3 +789,11 @@ def forecast_report(spark, directory):
     split = _split(spark, directory)
     metrics = forecasting.error_metrics(forecasting.trend_predictions(split), keys=[]).withColumn("model", F.lit("Trend"))
     return reports.forecast_report(metrics, timebins.split_bounds(split))
+
+
+@query
+def fitted_forecast_report(spark, directory):
+    """Of all fitted models, with the winner."""
+    split = stored(_split(spark, directory))
+    compared = forecasting.compare_models(forecasting.error_metrics(forecasting.predict(split, forecasting.fit_models(split))))
+    return reports.forecast_report(stored(compared), timebins.split_bounds(split))

@@ -125,3 +125,10 @@ def test_itemsets_of_every_size_equal_counting_all_subsets(spark):
 def test_candidates_lose_sets_with_an_infrequent_part(spark):
     known = spark.createDataFrame([(list(p), 9) for p in ("ab", "ac", "bc", "bd", "ad")], "set array<string>, order_count long")
     assert rows(baskets._candidates(known, 3)) == sorted([(["a", "b"], "c"), (["a", "b"], "d")], key=repr)
+
+
+def test_lists_are_refused_for_a_large_domain(spark):
+    frame = spark.range(50).selectExpr("id % 5 AS order_id", "id AS item")
+    assert baskets.baskets(frame, "item", max_domain=50).count() == 5
+    with pytest.raises(ValueError, match="more than 49"):
+        baskets.baskets(frame, "item", max_domain=49)

@@ -78,3 +78,13 @@ def test_few_and_equal_customers(spark):
     scored = micro_clusters.sweep_summary(same, [2, 3], starts=2).collect()
     assert [(r["inertia"], r["silhouette"]) for r in scored] == [(0.0, 0.0)] * 2 and sum(r["is_selected"] for r in scored) == 1
     assert micro_clusters.cluster_scores(same.limit(0), {2: F.lit(0)}).collect() == []
+
+
+def test_segments_are_those_of_the_selected_count(spark, blobs):
+    rows = [(k, int(abs(p[0]) * 10) + 1, int(abs(p[1]) * 9) + 1, float(abs(p[2]) * 90 + 1)) for k, p in enumerate(blobs[:400])]
+    rfm = spark.createDataFrame(rows, "customer_id long, recency_days int, frequency long, monetary double")
+    labelled, sweep = micro_clusters.segments_by_summary(rfm, [2, 3], starts=2)
+    chosen = sweep.where("is_selected").first()["clusters"]
+    assert labelled.count() == 400 and labelled.select("segment").distinct().count() == labelled.select("cluster").distinct().count() == chosen
+    empty, none = micro_clusters.segments_by_summary(rfm.limit(0), [2], starts=1)
+    assert empty.collect() == [] == none.collect()

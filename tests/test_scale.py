@@ -16,7 +16,7 @@ from ledgerline.operators import baskets, cleaning, features, normalize, quantil
 from ledgerline.operators.joins import join_per_key
 from ledgerline.registry.queries import QUERIES, dirty
 
-MODELS = {"k_sweep", "k_sweep_checks", "kmeans_segments", "model_comparison", "model_checks", "actual_vs_predicted"}
+MODELS = {"k_sweep", "k_sweep_checks", "kmeans_segments", "model_comparison", "model_checks", "actual_vs_predicted", "fitted_forecast_report"}
 
 
 @contextmanager
