@@ -159,7 +159,8 @@ def refined(graph: DataFrame, inside: DataFrame | None, nodes: DataFrame) -> Dat
     """The lists after every vector has let its neighbours of both directions meet each other. Entries that were there are ``old``.
 
     ``graph`` lists neighbours of other families, and only pairs of two families are new entries; those of a vector's
-    own family (``inside``) meet the others.
+    own family (``inside``) meet the others. Two that were old neighbours have met before and do not meet again, and of those that
+    a vector meets in one place only the nearest can enter its list.
     """
     both = nearest(graph.union(graph.select("v", "u", "sim", "old")), MEETING)
     if inside is not None:
@@ -167,19 +168,23 @@ def refined(graph: DataFrame, inside: DataFrame | None, nodes: DataFrame) -> Dat
     least = graph.groupBy("u").agg(F.when(F.count("*") >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("least"))
     carried = nodes.select(F.col("node").alias("v"), "code", "family").join(least.withColumnRenamed("u", "v"), "v", "left")
     carried = carried.withColumn("least", F.coalesce("least", F.lit(-2.0).cast("float")))
-    met = both.join(carried, "v").select("u", "v", "code", "least", "family").repartition("u").sortWithinPartitions("u")
+    met = both.join(carried, "v").select("u", "v", "code", "least", "family", "old").repartition("u").sortWithinPartitions("u")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, bounds in sorted_runs(batches, "u"):
             node, least, family = (batch.column(k).to_numpy() for k in (1, 3, 4))
+            old = batch.column(5).to_numpy(zero_copy_only=False)
             vectors = _matrix_by_run(batch.column(2), bounds)
             found = []
             for (a, b), own in zip(zip(bounds[:-1], bounds[1:]), vectors):
-                if b - a < 2:
+                if b - a < 2 or old[a:b].all():
                     continue
                 sims = own @ own.T
-                np.fill_diagonal(sims, -3.0)
-                i, j = np.nonzero((sims > least[a:b, None]) & (family[a:b, None] != family[a:b]))
+                fresh = ~(old[a:b, None] & old[a:b])
+                np.fill_diagonal(fresh, False)
+                sims[~(fresh & (sims > least[a:b, None]) & (family[a:b, None] != family[a:b]))] = -3.0
+                last = np.partition(sims, -NEIGHBOURS, axis=1)[:, -NEIGHBOURS] if b - a > NEIGHBOURS else np.full(b - a, -3.0, sims.dtype)
+                i, j = np.nonzero((sims > -3.0) & (sims >= last[:, None]))
                 found.append((node[a + i], node[a + j], sims[i, j]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["u", "v", "sim"])
@@ -247,23 +252,24 @@ def merged_families(families: DataFrame, close: DataFrame) -> DataFrame:
 def close_families(nodes: DataFrame, threshold: float) -> DataFrame:
     """(node, family): components of the close edges of a neighbour graph that passes the audit.
 
-    A list may be filled by close copies. So when the lists have settled, the families of their close edges are formed and
-    every list is filled anew by neighbours outside the family, until no close one is left there.
+    A list may be saturated, all its entries close. When the lists have settled, the families of their close edges are formed,
+    and the vectors of saturated lists, and no others, begin new lists that hold neighbours outside the family only: a
+    list that is not saturated has room for every close vector, so a link that is still missing lies between two
+    saturated ones. That goes on until no list finds a close neighbour or none is saturated.
     If none of AUDITS graphs passes, all vectors of a dimension are one family, so that every pair is compared.
     """
     near = F.col("sim") >= threshold - SLACK
-    total = nodes.count()
-    sizes = order_sizes(total, threshold)
     families = nodes.select("node", F.col("node").alias("family"))
-    graph = inside = None
+    inside = None
     seed = 0
     for _ in range(AUDITS):
+        active = nodes.select("node", "dim", "code")
         while True:
-            placed = cut(nodes.join(families, "node").select("node", "dim", "code", "family"))
-            fresh = first_edges(placed, seed, *sizes).withColumn("old", F.lit(False))
+            placed = cut(active.join(families, "node").select("node", "dim", "code", "family"))
+            total = placed.count()
+            fresh = first_edges(placed, seed, *order_sizes(total, threshold)).withColumn("old", F.lit(False))
             seed += 1
-            lists = outside(fresh if graph is None else graph.union(fresh), families)
-            graph = cut(nearest(lists, NEIGHBOURS))
+            graph = cut(nearest(outside(fresh, families), NEIGHBOURS))
             while True:
                 graph = cut(refined(graph, inside, placed))
                 if graph.where("NOT old").count() <= CHANGE * NEIGHBOURS * total:
@@ -271,9 +277,13 @@ def close_families(nodes: DataFrame, threshold: float) -> DataFrame:
             close = cut(outside(graph.where(near), families))
             if close.isEmpty():
                 break
-            links = close.select("u", "v", "sim", "old")
+            links = close.select("u", "v", "sim", F.lit(True).alias("old"))
             inside = cut(nearest(links if inside is None else links.union(inside), NEIGHBOURS))
             families = merged_families(families, close)
+            saturated = close.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= NEIGHBOURS).select(F.col("u").alias("node"))
+            active = cut(placed.drop("family").join(saturated, "node", "left_semi"))
+            if active.isEmpty():
+                break
         links, caught = audited(nodes, families, threshold)
         if caught >= RECALL * links:
             return families
