@@ -81,7 +81,8 @@ def distinct_checks(df: DataFrame, states: DataFrame, columns: Sequence[str], ke
     """(scope, name, metric, distinct_values, within): exact counts, and whether the estimates lie within three errors."""
     name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("all")
     exact = df.groupBy(*keys).agg(*[F.countDistinct(c).alias(f"exact_{c}") for c in columns])
-    both = exact.join(distinct_estimates(states, columns, keys), list(keys)) if keys else exact.join(F.broadcast(distinct_estimates(states, columns)))
+    estimates = distinct_estimates(states, columns, keys)
+    both = exact.join(estimates, list(keys)) if keys else exact.withColumns({c: estimates.select(c).scalar() for c in columns})
     cells = [
         F.struct(
             F.lit(c).alias("metric"), F.col(f"exact_{c}").alias("distinct_values"),
