@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerline.llm.common import (
     LOWER, components, cut, groups, mix64, prefix_hashes, row_key, shingles, span_hashes, text_of, text_slices, words,
@@ -248,8 +248,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 def without_near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The documents, with their columns, that stand for their component; rows without a doc_id stay.
 
-    Repeated rows of a doc_id count as copies: one of them stays.
+    Rows that repeat a doc_id and its text are copies: the one with the smallest digest of all columns stays. Rows that
+    repeat a doc_id with another text are no copies of each other, and all of them stay if their doc_id does.
     """
     lost = near_duplicates(docs, width, percent).where("doc_id <> component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(lost, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    named = docs.where("doc_id IS NOT NULL").join(lost, "doc_id", "left_anti").select(*docs.columns)
+    keys = {"__h1": row_key(named), "__h2": F.xxhash64(F.lit(7), text_of(named)), "__row": F.xxhash64(*named.columns)}
+    first = F.row_number().over(Window.partitionBy("doc_id", "__h1", "__h2").orderBy("__row"))
+    once = named.withColumns(keys).withColumn("__place", first).where("__place = 1")
+    return once.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -76,6 +76,14 @@ def test_documents_without_their_copies(spark, make):
     assert rows(minhash.without_near_duplicates(make(texts)), "doc_id") == [(0,), (1,)]
 
 
+def test_texts_that_share_an_id_all_stay(make):
+    text, other = "a b c d e f g h", "other words entirely in this row"
+    table = [(1, text, "en", "s2"), (1, other, "en", "s1"), (1, text, "en", "s1"), (2, text, "en", "s1"), (3, None, "en", "s"), (3, None, "en", "s"), (None, text, "en", "s")]
+    kept = [rows(minhash.without_near_duplicates(make(t)), "doc_id", "text", "source") for t in (table, table[::-1])]
+    assert kept[0] == kept[1]
+    assert [r[:2] for r in kept[0]] == sorted([(1, text), (1, other), (3, None), (None, text)], key=repr)
+
+
 def clustered(n=300, seed=5):
     random_numbers = np.random.Generator(np.random.PCG64(seed))
     base = random_numbers.normal(size=(n, 32))
