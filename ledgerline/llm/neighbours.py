@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ledgerline.llm.common import components, cut, groups, sorted_runs
 from ledgerline.operators.joins import join_per_key
@@ -249,6 +249,13 @@ def merged_families(families: DataFrame, close: DataFrame) -> DataFrame:
     return cut(joined.select("node", F.coalesce("component", "family").alias("family")))
 
 
+def cut_counted(df: DataFrame, what: Column | None = None) -> tuple[DataFrame, int]:
+    """The frame, stored, and how many of its rows meet a condition, counted by the job that stores it."""
+    seen = Observation()
+    kept = cut(df.observe(seen, F.count_if(F.lit(True) if what is None else what).alias("n")))
+    return kept, seen.get.get("n") or 0
+
+
 def close_families(nodes: DataFrame, threshold: float) -> DataFrame:
     """(node, family): components of the close edges of a neighbour graph that passes the audit.
 
@@ -265,24 +272,22 @@ def close_families(nodes: DataFrame, threshold: float) -> DataFrame:
     for _ in range(AUDITS):
         active = nodes.select("node", "dim", "code")
         while True:
-            placed = cut(active.join(families, "node").select("node", "dim", "code", "family"))
-            total = placed.count()
+            placed, total = cut_counted(active.join(families, "node").select("node", "dim", "code", "family"))
             fresh = first_edges(placed, seed, *order_sizes(total, threshold)).withColumn("old", F.lit(False))
             seed += 1
             graph = cut(nearest(outside(fresh, families), NEIGHBOURS))
-            while True:
-                graph = cut(refined(graph, inside, placed))
-                if graph.where("NOT old").count() <= CHANGE * NEIGHBOURS * total:
-                    break
-            close = cut(outside(graph.where(near), families))
-            if close.isEmpty():
+            changed = total * NEIGHBOURS
+            while changed > CHANGE * NEIGHBOURS * total:
+                graph, changed = cut_counted(refined(graph, inside, placed), ~F.col("old"))
+            close, found = cut_counted(outside(graph.where(near), families))
+            if not found:
                 break
             links = close.select("u", "v", "sim", F.lit(True).alias("old"))
             inside = cut(nearest(links if inside is None else links.union(inside), NEIGHBOURS))
             families = merged_families(families, close)
             saturated = close.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= NEIGHBOURS).select(F.col("u").alias("node"))
-            active = cut(placed.drop("family").join(saturated, "node", "left_semi"))
-            if active.isEmpty():
+            active, left = cut_counted(placed.drop("family").join(saturated, "node", "left_semi"))
+            if not left:
                 break
         links, caught = audited(nodes, families, threshold)
         if caught >= RECALL * links:
