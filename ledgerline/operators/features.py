@@ -9,7 +9,7 @@ from ledgerline.functions.labels import discount_bucket, order_size
 from ledgerline.functions.numbers import half_even, percent, ratio
 from ledgerline.operators.joins import join_per_key
 from ledgerline.operators.radix import with_chunks
-from ledgerline.operators.stored import stored
+from ledgerline.operators.stored import stored_table
 
 #: Columns that tell a line about later orders of its customer: never use them to predict.
 LEAKY_COLUMNS = ("customer_lifetime_order_count", "is_repeat_customer")
@@ -60,7 +60,7 @@ def order_profile(lines: DataFrame, chunk_orders: int = CHUNK_ORDERS) -> DataFra
         .groupBy("customer_id", "order_id", "order_date")
         .agg(F.sum("sales").alias("order_total_sales"))
     )
-    orders = with_chunks(stored(orders), ["customer_id", "order_date"], "order_id", chunk_orders)
+    orders = with_chunks(stored_table(orders), ["customer_id", "order_date"], "order_id", chunk_orders)
     place = ["customer_id", "order_date", "_chunk"]
     upto_previous = (W.unboundedPreceding, -1)
 
@@ -132,18 +132,34 @@ def add_order_features(df: DataFrame) -> DataFrame:
     return joined.select(*df.columns, "order_total_sales", order_size("order_total_sales").alias("order_size_category"))
 
 
+#: What a profile adds to the headers.
+PROFILE_COLUMNS = (
+    "order_total_sales", "customer_first_order_date", "customer_total_orders_to_date", "customer_lifetime_order_count",
+)
+
+
+def profiled_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """The order headers with their profile columns: lines then meet both in one join."""
+    totals = items.groupBy("order_id").agg(F.sum("sales").alias("sales"))
+    profile = order_profile(join_per_key(orders, totals, ["order_id"]))
+    return join_per_key(orders, profile.select("order_id", *PROFILE_COLUMNS), ["order_id"])
+
+
 def feature_table(summary: DataFrame) -> DataFrame:
     """All feature columns of the order summary, where an order has exactly one customer and date.
 
-    Customer and order features share one order-level aggregate and one join back to the lines.
+    Customer and order features share one order-level aggregate. A summary of ``profiled_orders`` has them on its lines; to any
+    other they are joined. The wide columns are computed behind the joins.
     """
+    known = set(PROFILE_COLUMNS) <= set(summary.columns)
+    joined = summary if known else summary.join(order_profile(summary), ["customer_id", "order_id", "order_date"])
     base = (
-        summary.transform(add_time_features)
+        joined.transform(add_time_features)
         .transform(add_shipping_features)
         .transform(add_financial_features)
     )
-    joined = base.join(order_profile(summary), ["customer_id", "order_id", "order_date"])
-    named = _customer_columns(joined.withColumnRenamed("order_total_sales", "_total"), [*base.columns, "_total"])
+    carried = [c for c in base.columns if c not in PROFILE_COLUMNS]
+    named = _customer_columns(base.withColumnRenamed("order_total_sales", "_total"), [*carried, "_total"])
     return named.withColumns(
         {"order_total_sales": F.col("_total"), "order_size_category": order_size("_total")}
     ).drop("_total")

@@ -15,7 +15,7 @@ from ledgerline.operators import (
     statistics, timebins,
 )
 from ledgerline.operators.cleaning_audit import clean_observed
-from ledgerline.operators.stored import shared_folder, stored
+from ledgerline.operators.stored import shared_folder, stored, stored_table
 from ledgerline.plans import reports
 from ledgerline.schemas import DESCRIBED_COLUMNS, ORDER_LINE_COLUMNS
 from ledgerline.sources.retail import StarTables, inject_faults, order_lines
@@ -184,23 +184,23 @@ def order_features(spark, directory):
 
 def _clean_keyed(spark, directory):
     """Stored, so that the four tables read one clean table instead of computing it four times."""
-    return stored(normalize.keyed(cleaning.clean(dirty(spark, directory))))
+    return stored_table(normalize.keyed(cleaning.clean(dirty(spark, directory))))
 
 
-def summary(spark, directory):
+def summary(spark, directory, profiled: bool = False):
     clean = _clean_keyed(spark, directory)
+    items, orders = normalize.order_items(clean), normalize.order_headers(clean)
+    if profiled:
+        orders = features.profiled_orders(stored_table(orders), items)
     return normalize.order_summary(
-        normalize.number_items(normalize.order_items(clean)),
-        normalize.order_headers(clean),
-        normalize.customers(clean),
-        normalize.products(clean),
+        normalize.number_items(items), orders, normalize.customers(clean), normalize.products(clean)
     )
 
 
 @query
 def feature_table(spark, directory):
     """Over the joined view of the four tables, where an order has one customer and one date."""
-    return plain(features.feature_table(summary(spark, directory)))
+    return plain(features.feature_table(summary(spark, directory, profiled=True)))
 
 
 @query

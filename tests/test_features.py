@@ -146,3 +146,26 @@ def test_feature_table_keeps_rows_and_bounds(spark, small):
         F.count_if(F.col("days_to_ship") < 0).alias("shipped_early"),
     ).first()
     assert tuple(checked) == (spark.read.parquet(f"{small}/lineitem.parquet").count(), 0, 0, 0)
+
+
+def test_profiled_orders_give_the_same_feature_table(spark, small):
+    """Joined to the headers or to the lines, the profile is the same; with headers the lines meet it in the view's own join."""
+    from ledgerline.registry import queries
+
+    plain_view, profiled = queries.summary(spark, small), queries.summary(spark, small, profiled=True)
+    assert set(features.PROFILE_COLUMNS) <= set(profiled.columns)
+    a, b = features.feature_table(plain_view), features.feature_table(profiled)
+    assert set(a.columns) == set(b.columns)
+    columns = [c for c in sorted(a.columns)]
+    assert a.select(columns).exceptAll(b.select(columns)).isEmpty() and a.count() == b.count()
+
+
+def test_stored_tables_are_read_by_column(spark):
+    from ledgerline.operators.stored import stored_table
+
+    wide = spark.range(10).selectExpr("id", "id * 2 AS double_id", "cast(id AS string) AS name")
+    kept = stored_table(wide)
+    assert kept.schema == wide.schema and sorted(map(tuple, kept.collect())) == sorted(map(tuple, wide.collect()))
+    plan = kept.select("name")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "double_id" not in plan.split("ReadSchema")[1]
+    assert stored_table(wide.limit(0)).count() == 0
