@@ -22,6 +22,9 @@ STARTS = 10
 SEED = 42
 MAX_ITERATIONS = 300
 
+#: Customers of one task of a fit. An iteration is a job of its own: with few customers in each of many tasks it only starts tasks.
+ROWS_PER_TASK = 50_000
+
 RFM = ("recency_days", "frequency", "monetary")
 
 
@@ -74,6 +77,17 @@ class ClusterFit:
     silhouette: float
 
 
+def packed(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The rows, cached in as many partitions as their number asks for, and no more than they came in."""
+    spread = rows.persist()
+    try:
+        few = spread.coalesce(max(1, -(-spread.count() // rows_per_task))).persist()
+        few.count()
+        return few
+    finally:
+        spread.unpersist()
+
+
 def _fit(vectors: DataFrame, clusters: int, start: int) -> KMeansModel:
     means = KMeans(
         k=clusters, seed=SEED + start, maxIter=MAX_ITERATIONS, featuresCol="features", predictionCol="cluster"
@@ -89,11 +103,10 @@ def sweep_clusters(
     The fits are independent jobs over one cached frame and are submitted side by side; only costs,
     scores and centres reach the driver.
     """
-    vectors = _vectors(scaled).persist()
+    vectors = packed(_vectors(scaled))
     evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
     runs = [(k, start) for k in clusters for start in range(starts)]
     try:
-        vectors.count()
         with ThreadPool(parallelism) as pool:
             fit = inheritable_thread_target(vectors.sparkSession)(lambda run: _fit(vectors, *run))
             models = dict(zip(runs, pool.map(fit, runs, chunksize=1)))

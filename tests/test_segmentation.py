@@ -60,3 +60,11 @@ def test_sweep_finds_separate_groups_and_repeats(spark):
     assert math.isclose(again[0].inertia, fits[0].inertia, rel_tol=1e-9)
     point = segmentation.segment_points(labelled).where("customer_id = 0").first()
     assert point["point_size"] == 300.0 / 12
+
+
+def test_fits_run_in_as_few_tasks_as_the_customers_need(spark):
+    rows = spark.range(1000).selectExpr("id AS customer_id").repartition(16)
+    few = segmentation.packed(rows, rows_per_task=300)
+    assert few.rdd.getNumPartitions() == 4 and few.distinct().count() == 1000
+    assert segmentation.packed(rows, rows_per_task=10).rdd.getNumPartitions() == 16
+    assert segmentation.packed(rows.limit(0)).count() == 0
