@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ledgerline.functions.numbers import half_even
 from ledgerline.operators.joins import join_per_key
 from ledgerline.operators.normalize import first_per_key
-from ledgerline.operators.stored import stored
+from ledgerline.operators.stored import stored_table
 
 # Rule thresholds, recommendations per product, and what counts as thin evidence.
 MIN_SUPPORT = 0.001
@@ -83,24 +83,28 @@ def itemsets(items: DataFrame, min_support: float = MIN_SUPPORT, longest: int =
     """(items, size, order_count, support): all sets of 2 to ``longest`` items that reach the minimum support, by level.
 
     A level's candidates are two sets of the level below that share all but their last items, less those with a part that is
-    not frequent itself: no frequent set is lost. Occurrences, one row per order and frequent set, are carried from level to level, so
-    a level joins these and not the whole baskets. Items of a set are in order. The sum over orders of C(frequent items in
-    the order, size) bounds a level; ``_frequent`` bounds the items. A level is stored before the next begins.
+    not frequent itself: no frequent set is lost. Occurrences, one row per order and candidate set, are carried from level to
+    level: an order's sets meet its own items, and what is no candidate goes at once. Items of a set are in order. The sum over
+    orders of C(frequent items in the order, size) bounds a level; ``_frequent`` bounds the items. A level is stored before
+    the next begins, as a table: its size tells Spark whether candidates and frequent sets can be sent to all tasks.
     """
+    items = stored_table(items)
     total = items.agg(F.countDistinct("order_id")).first()[0]
-    kept = stored(join_per_key(items, _frequent(items, min_support).select("item"), ["item"], "left_semi"))
     enough = F.col("order_count") / F.lit(total) >= F.lit(min_support)
+    frequent = stored_table(item_counts(items).where(enough))
+    kept = join_per_key(items, frequent.select("item"), ["item"], "left_semi")
     held = kept.select("order_id", F.array("item").alias("set"))
-    known = kept.groupBy("item").agg(F.count("*").alias("order_count")).select(F.array("item").alias("set"), "order_count")
+    known = frequent.select(F.array("item").alias("set"), "order_count")
     levels = []
     for size in range(2, longest + 1):
-        grown = _occurrences(held, kept, _candidates(known, size))
-        found = grown.groupBy("set").agg(F.count("*").alias("order_count")).where(enough)
-        known = stored(found)
+        grown = _occurrences(held, kept, stored_table(_candidates(known, size)))
+        if size < longest:
+            grown = stored_table(grown)
+        known = stored_table(grown.groupBy("set").agg(F.count("*").alias("order_count")).where(enough))
         if known.isEmpty():
             break
         levels.append(known)
-        held = stored(join_per_key(grown, known.select("set"), ["set"], "left_semi")) if size < longest else held
+        held = join_per_key(grown, known.select("set"), ["set"], "left_semi")
     if not levels:
         levels = [known.limit(0)]
     every = reduce(DataFrame.union, levels)
@@ -125,8 +129,10 @@ def _candidates(known: DataFrame, size: int) -> DataFrame:
 
 def _occurrences(held: DataFrame, kept: DataFrame, candidates: DataFrame) -> DataFrame:
     """(order_id, set): the candidates that each order holds, from the orders' sets of the level below and their items."""
-    longer = held.withColumnRenamed("set", "start").join(candidates, "start")
-    return longer.join(kept, ["order_id", "item"]).select("order_id", F.concat("start", F.array("item")).alias("set"))
+    pairs = held.join(kept, "order_id").where(F.col("item") > F.element_at("set", -1))
+    longer = pairs.select("order_id", F.col("set").alias("start"), "item")
+    wanted = join_per_key(longer, candidates, ["start", "item"], "left_semi")
+    return wanted.select("order_id", F.concat("start", F.array("item")).alias("set"))
 
 
 def association_rules(

@@ -132,3 +132,16 @@ def test_lists_are_refused_for_a_large_domain(spark):
     assert baskets.baskets(frame, "item", max_domain=50).count() == 5
     with pytest.raises(ValueError, match="more than 49"):
         baskets.baskets(frame, "item", max_domain=49)
+
+
+def test_sets_meet_their_own_orders_before_candidates(spark):
+    """An order's sets are not multiplied by the candidates: a stored, small candidate table is sent to the tasks."""
+    from ledgerline.operators.stored import stored_table
+
+    kept = stored_table(spark.createDataFrame([(o, i) for o in range(20) for i in "abc"], "order_id long, item string"))
+    held = kept.selectExpr("order_id", "array(item) AS set")
+    candidates = stored_table(spark.createDataFrame([(["a"], "b"), (["a"], "z")], "start array<string>, item string"))
+    grown = baskets._occurrences(held, kept, candidates)
+    assert [r["set"] for r in grown.collect()] == [["a", "b"]] * 20
+    plan = grown._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("Join Inner")
