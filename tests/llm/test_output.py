@@ -166,3 +166,19 @@ def test_query_equals_its_sql(spark, small, name):
 def test_all_operators_and_the_pipeline_are_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert sorted(re.match(r"op(\d+)_|pipeline", n)[0] for n in names if re.match(r"op\d+_|pipeline", n)) == sorted([*(f"op{k}_" for k in range(1, 14)), "pipeline"])
+
+
+def test_pipeline_goes_on_with_the_predicted_language(spark):
+    """The first stage decides what the mix sees: predicted languages, and no ambiguous or unreadable text."""
+    import corpus_pipeline
+
+    english, german = "the house and the tree of the king ", "der Baum und das Haus nicht mit dem Ufer "
+    rows = [(k, (english if k % 2 else german) * (k % 7 + 3), "en" if k % 2 else "de", f"s{k % 3}", 0) for k in range(40)]
+    rows += [(100, english * 4, None, "s0", 0), (101, german * 4, "en", "s1", 0), (102, "12 34", "en", "s0", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    told = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert 102 not in told and told[100] == "en" and told[101] == "de" and len(told) == 42
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert kept.columns == docs.columns and corpus_pipeline.mix_sources(spark, kept, "").columns == docs.columns
+    mixed = sorted(r["doc_id"] for r in corpus_pipeline.mix_sources(spark, kept, "").collect())
+    assert mixed != sorted(r["doc_id"] for r in corpus_pipeline.mix_sources(spark, docs, "").collect())
