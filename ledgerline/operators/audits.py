@@ -87,10 +87,27 @@ def length_audit(
     decimals: Mapping[str, tuple[int, int]] = DECIMAL_LIMITS,
 ) -> DataFrame:
     """Values too long for their text column, or too wide for their decimal column."""
+    checks = _oversized(df, lengths, decimals)
+    wide = df.agg(*[F.count_if(F.coalesce(check, F.lit(False))).alias(c) for c, check in checks.items()])
+    return rows_from_columns(wide, [(c, F.col(c)) for c in checks], ("column_name", "oversized_values"))
+
+
+def table_audit(df: DataFrame) -> DataFrame:
+    """(column_name, rule, broken_rows): nulls of every column and oversized values, from one pass over the table."""
+    checks = [(c, "not null", F.col(c).isNull()) for c in df.columns]
+    checks += [(c, "length", check) for c, check in _oversized(df, TEXT_LENGTHS, DECIMAL_LIMITS).items()]
+    wide = df.agg(*[F.count_if(F.coalesce(check, F.lit(False))).alias(f"_{k}") for k, (_, _, check) in enumerate(checks)])
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(rule).alias("rule"), F.col(f"_{k}").alias("broken_rows"))
+        for k, (c, rule, _) in enumerate(checks)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
+def _oversized(df: DataFrame, lengths: Mapping[str, int], decimals: Mapping[str, tuple[int, int]]) -> dict[str, Column]:
     checks = {c: F.length(F.col(c).cast("string")) > n for c, n in lengths.items() if c in df.columns}
     for c, (precision, scale) in decimals.items():
         if c in df.columns:
             fits = F.col(c).try_cast(f"decimal({precision},{scale})")
             checks[c] = F.col(c).isNotNull() & fits.isNull()
-    wide = df.agg(*[F.count_if(F.coalesce(check, F.lit(False))).alias(c) for c, check in checks.items()])
-    return rows_from_columns(wide, [(c, F.col(c)) for c in checks], ("column_name", "oversized_values"))
+    return checks

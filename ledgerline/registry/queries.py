@@ -443,9 +443,7 @@ def audit_tables(spark, directory):
     """Nulls in required columns and oversized values of all columns of the four tables."""
     frames = []
     for name, (df, _) in _tables(spark, directory).items():
-        nulls = audits.not_null_audit(df, df.columns).select("column_name", F.lit("not null").alias("rule"), F.col("null_count").alias("broken_rows"))
-        wide = audits.length_audit(df).select("column_name", F.lit("length").alias("rule"), F.col("oversized_values").alias("broken_rows"))
-        frames.append(nulls.unionByName(wide).select(F.lit(name).alias("table_name"), "*"))
+        frames.append(audits.table_audit(df).select(F.lit(name).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, frames)
 
 

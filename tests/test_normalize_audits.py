@@ -64,3 +64,15 @@ def test_audits_find_one_violation_each(spark):
     ]
     wide = spark.createDataFrame([("x" * 21, 1e11), ("y", 1.0), (None, None)], "order_id string, sales double")
     assert rows(audits.length_audit(wide)) == [("order_id", 1), ("sales", 1)]
+
+
+def test_one_pass_over_a_table_finds_what_two_audits_find(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("x" * 300, 1.5, None), (None, 1e12, "a")], "customer_name string, sales double, segment string")
+    apart = audits.not_null_audit(df, df.columns).select("column_name", F.lit("not null").alias("rule"), F.col("null_count").alias("broken_rows")).unionByName(
+        audits.length_audit(df).select("column_name", F.lit("length").alias("rule"), F.col("oversized_values").alias("broken_rows"))
+    )
+    together = audits.table_audit(df)
+    assert sorted(map(tuple, together.collect())) == sorted(map(tuple, apart.collect()))
+    assert sum(r["broken_rows"] for r in together.collect()) >= 3
