@@ -154,15 +154,24 @@ def clean(df: DataFrame) -> DataFrame:
 
 def shape_audit(df: DataFrame) -> DataFrame:
     """Rows and columns before and after cleaning and the copies removed, from a single pass."""
-    filled = fill_missing(df)
-    typed = convert_types(filled.groupBy(*filled.columns).agg(F.count("*").alias("_copies")))
+    return shape_of_counted(counted_copies(fill_missing(df)))
+
+
+def counted_copies(df: DataFrame) -> DataFrame:
+    """The different rows, nulls equal, with the number of their copies as ``_copies``."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+
+
+def shape_of_counted(counted: DataFrame) -> DataFrame:
+    """As ``shape_audit``, from the ``counted_copies`` of filled rows."""
+    typed, columns = convert_types(counted), len(counted.columns) - 1
     kept = ~sales_not_positive() & _holds(F.col("quantity") > 0)
     return typed.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_before"),
-        F.lit(len(df.columns)).alias("columns_before"),
+        F.lit(columns).alias("columns_before"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("copies_removed"),
         F.count_if(kept).alias("rows_after"),
-        F.lit(len(df.columns)).alias("columns_after"),
+        F.lit(columns).alias("columns_after"),
     )
 
 

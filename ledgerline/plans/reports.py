@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerline.functions import calendar as cal
 from ledgerline.operators import baskets, cleaning, kpis, statistics, timebins
 from ledgerline.operators.cleaning_audit import CleaningAudit
+from ledgerline.operators.stored import stored_table
 
 
 def section(df: DataFrame, name: str, metric: str | Column, value: str | Column) -> DataFrame:
@@ -44,9 +45,12 @@ def kpi_report(lines: DataFrame, top: int = 10, months: int = 6) -> DataFrame:
 
 
 def cleaning_report(raw: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Figures of a cleaning run; outliers are searched in the stored clean table when there is one."""
-    unique = cleaning.remove_copies(cleaning.fill_missing(raw))
-    typed = cleaning.convert_types(unique)
+    """Figures of a cleaning run; outliers are searched in the stored clean table when there is one.
+
+    Copies are removed once: the different rows are stored with their counts, and shape, rules and outliers read these.
+    """
+    counted = stored_table(cleaning.counted_copies(cleaning.fill_missing(raw)))
+    typed = cleaning.convert_types(counted.drop("_copies"))
     if stored is None:
         clean = typed.transform(cleaning.repair_ship_dates).transform(cleaning.drop_invalid_amounts)
         fences = cleaning.iqr_fences(clean)
@@ -54,7 +58,7 @@ def cleaning_report(raw: DataFrame, stored: DataFrame | None = None) -> DataFram
         fences = cleaning.iqr_fences(stored, precount=False)
     return stack(
         [
-            one_row_section(cleaning.shape_audit(raw), "shape", ["rows_before", "copies_removed", "rows_after"]),
+            one_row_section(cleaning.shape_of_counted(counted), "shape", ["rows_before", "copies_removed", "rows_after"]),
             section(cleaning.null_profile(raw), "missing", "column_name", "null_count"),
             section(cleaning.rule_violations(typed), "rules", "rule", "violations"),
             section(fences, "outliers", "metric", "outliers"),

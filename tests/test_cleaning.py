@@ -97,3 +97,12 @@ def test_category_profile_lists_frequent_values_exactly(spark):
     assert rows(found.where("column_name = 'region'"), "value", "row_count") == [("x", 12_000), ("y", 6_000), ("z", 6_000)]
     assert {r["is_complete"] for r in found.collect()} == {False} and found.where("column_name = 'city' AND row_count > 1").isEmpty()
     assert cleaning.category_profile(many.limit(0), ["region"]).collect() == []
+
+
+def test_figures_of_counted_copies_are_those_of_the_rows(spark, small):
+    from ledgerline.registry import queries
+
+    raw = queries.dirty(spark, small)
+    counted = cleaning.counted_copies(cleaning.fill_missing(raw))
+    assert cleaning.shape_of_counted(counted).collect() == cleaning.shape_audit(raw).collect()
+    assert counted.count() == cleaning.remove_copies(cleaning.fill_missing(raw)).count() < raw.count()
