@@ -106,3 +106,11 @@ def test_figures_of_counted_copies_are_those_of_the_rows(spark, small):
     counted = cleaning.counted_copies(cleaning.fill_missing(raw))
     assert cleaning.shape_of_counted(counted).collect() == cleaning.shape_audit(raw).collect()
     assert counted.count() == cleaning.remove_copies(cleaning.fill_missing(raw)).count() < raw.count()
+
+
+def test_reports_read_stored_frames(spark, small):
+    """Joined lines are computed once, not by every section of a report."""
+    from ledgerline.registry import queries
+
+    plan = queries.eda_report(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_extendedprice" not in plan and "/table-" in queries.eda_report(spark, small)._jdf.queryExecution().executedPlan().toString()
