@@ -93,7 +93,7 @@ def cluster_scores(scaled: DataFrame, labels: Mapping[int, Column]) -> DataFrame
     names = {k: f"_c{k}" for k in labels}
     squares = reduce(lambda a, b: a + b, [F.col(z) * F.col(z) for z in _Z])
     points = scaled.select(*_Z, squares.alias("_q"), *[label.alias(names[k]) for k, label in labels.items()])
-    cells = F.array(*[F.struct(F.lit(k).alias("k"), F.col(n).cast("long").alias("c")) for k, n in names.items()])
+    cells = F.array(*[F.struct(F.lit(k).alias("k"), F.col(n).cast("long").alias("c")) for k, n in names.items()]).cast("array<struct<k:int,c:bigint>>")
     sums = points.withColumn("_l", F.explode(cells)).groupBy("_l.k", "_l.c").agg(F.count("*").alias("n"), *[F.sum(z).alias(z) for z in _Z], F.sum("_q").alias("q"))
     found: dict[int, list] = {k: [] for k in labels}
     for r in sums.orderBy("k", "c").collect():
