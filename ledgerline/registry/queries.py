@@ -633,14 +633,19 @@ def fitted_segment_report(spark, directory):
 # Market baskets
 
 
-def _basket_lines(spark, directory):
-    """Lines with brand and type as the item: single parts are too rare to reach the support."""
-    base = lines(spark, directory, ["order_id", "order_date", "category", "sub_category", "product_name"])
+def _basket_lines(spark, directory, *columns):
+    """Lines with brand and type as the item: single parts are too rare to reach the support. Only names ask for more
+    columns: an order date joins every line to its header."""
+    base = lines(spark, directory, ["order_id", "category", "sub_category", *columns])
     return base.withColumn("item", F.concat_ws("/", "sub_category", "category"))
 
 
+def _named_lines(spark, directory):
+    return _basket_lines(spark, directory, "order_date", "product_name")
+
+
 def _rules(spark, directory):
-    return baskets.association_rules(_basket_lines(spark, directory).select("order_id", "item"), "item")
+    return baskets.association_rules(_basket_lines(spark, directory), "item")
 
 
 def _items(spark, directory):
@@ -655,7 +660,7 @@ def basket_lists(spark, directory):
 
 @query
 def item_names(spark, directory):
-    return baskets.item_names(_basket_lines(spark, directory), "item")
+    return baskets.item_names(_named_lines(spark, directory), "item")
 
 
 @query
@@ -694,7 +699,7 @@ def recommendation_lists(spark, directory):
 
 @query
 def rules_top10(spark, directory):
-    names = baskets.item_names(_basket_lines(spark, directory), "item")
+    names = baskets.item_names(_named_lines(spark, directory), "item")
     return baskets.top_rules(_rules(spark, directory), names)
 
 
@@ -705,9 +710,7 @@ def rule_evidence(spark, directory):
 
 @query
 def rule_report(spark, directory):
-    base = _basket_lines(spark, directory)
-    rules = baskets.association_rules(base.select("order_id", "item"), "item")
-    return reports.rule_report(rules, baskets.basket_items(base, "item"), baskets.item_names(base, "item"))
+    return reports.rule_report(_rules(spark, directory), _items(spark, directory), item_names(spark, directory))
 
 
 # Forecasting

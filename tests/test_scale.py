@@ -105,6 +105,12 @@ def test_filters_and_columns_reach_the_scan(spark, small):
     assert "orders" not in plan and "customer" not in plan
 
 
+@pytest.mark.parametrize("name", ["association_rules", "baskets", "item_counts", "pair_counts", "recommendation_lists", "recommendations", "rule_evidence"])
+def test_baskets_do_not_join_the_headers(spark, small, name):
+    plan = plan_of(QUERIES[name](spark, small))
+    assert "l_orderkey" in plan and "o_orderkey" not in plan and "orders.parquet" not in plan
+
+
 def test_top_rules_neither_broadcast_nor_sort_all_names(spark):
     names = spark.range(1000).select(F.concat(F.lit("i"), "id").alias("item"), F.concat(F.lit("name "), "id").alias("product_name"))
     rules = spark.createDataFrame([("i1", "i2", 2.0), ("i3", "none", 1.5)], "product_a string, product_b string, lift double")
