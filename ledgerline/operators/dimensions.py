@@ -14,7 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.operators.normalize import keyed
-from ledgerline.schemas import CUSTOMER_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS
+from ledgerline.operators.stored import stored_table
+from ledgerline.schemas import CUSTOMER_COLUMNS, ID_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,11 @@ class Dimension:
     def key(self) -> str:
         return self.columns[0]
 
+    @property
+    def needed(self) -> list[str]:
+        """Columns of the lines that a state is made of: the keys of all tables are required."""
+        return list(dict.fromkeys([*self.columns, *self.order, *ID_COLUMNS]))
+
     @property
     def ranking(self) -> list[str]:
         """Order columns, then the dimension's own as tie breakers."""
@@ -94,6 +100,7 @@ def update(lines: DataFrame, dimension: Dimension, path: str, parts: int = PARTS
     if old is None:
         changed = batch
     else:
+        batch = stored_table(batch)  # two readers: which parts change, and the change itself
         before = old.select(dimension.key, F.col("first").alias("before"), "part")
         found = batch.join(before, [dimension.key, "part"], "left")
         news = found.where(F.col("before").isNull() | (F.col("first") < F.col("before"))).select(batch["part"]).distinct()

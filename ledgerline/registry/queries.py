@@ -354,8 +354,11 @@ def order_items(spark, directory):
 
 
 def _by_batches(spark, directory, dimension):
-    """Three batches of months, in no order of time, merged into a stored state one after the other."""
-    clean = _clean_keyed(spark, directory)
+    """Three batches of months, in no order of time, merged into a stored state one after the other. A state is the same
+    with copies of lines, so only the dimension's columns are cleaned and stored."""
+    columns = dict.fromkeys([*dimension.needed, "customer_name", "order_date", "ship_date", "sales", "quantity", "discount"])
+    faulty = inject_faults(lines(spark, directory, columns))
+    clean = stored_table(cleaning.clean(faulty, copies=True).select(*dimension.needed))
     path = f"{shared_folder(spark)}/dimension-{uuid.uuid4().hex}"
     for k in (1, 2, 0):
         dimensions.update(clean.where(F.month("order_date") % 3 == k), dimension, path)

@@ -9,8 +9,9 @@ import pytest
 from row_sets import rows
 from pyspark.sql import functions as F
 
-from ledgerline.operators import dimensions, normalize
+from ledgerline.operators import cleaning, dimensions, normalize
 from ledgerline.plans import jobs
+from ledgerline.registry.queries import dirty
 from ledgerline.sources.retail import StarTables, inject_faults, order_lines
 from test_normalize_audits import DAY, line, lines
 
@@ -67,3 +68,25 @@ def test_a_batch_that_fails_leaves_the_state(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         dimensions.update(broken, customers, path)
     assert rows(dimensions.read_state(spark, path)) == before
+
+
+@pytest.mark.parametrize("name", BUILD)
+def test_copies_of_lines_leave_a_state_as_it_is(spark, small, name):
+    dimension, faulty = jobs.DIMENSIONS[name], dirty(spark, small)
+    kept = cleaning.clean(faulty, copies=True).select(*dimension.needed)
+    assert kept.count() > cleaning.clean(faulty).count() and "Aggregate" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert rows(dimensions.rows_of(dimensions.state_of(kept, dimension), dimension)) == rows(BUILD[name](cleaning.clean(faulty)))
+
+
+def test_a_later_batch_is_computed_once(spark, tmp_path):
+    path, seen = str(tmp_path / "state"), spark.sparkContext.accumulator(0)
+    dimensions.update(lines(spark, [line("o1", "p1")]), dimensions.CUSTOMERS, path)
+    batch = lines(spark, [line("o2", "p1", customer="c5"), line("o3", "p1", customer="c6")])
+
+    def counted(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    dimensions.update(batch.mapInPandas(counted, batch.schema), dimensions.CUSTOMERS, path)
+    assert seen.value == 2 and dimensions.read_state(spark, path).count() == 3
