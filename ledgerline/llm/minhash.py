@@ -171,25 +171,29 @@ def linked(sets: list[np.ndarray], signed: np.ndarray, side: np.ndarray, percent
     """Verified links that connect the members of a group as all its links do.
 
     Pairs are taken by falling agreement of their signatures; a pair that is already connected is passed over. Where
-    the group holds two blocks, only pairs across them are looked at.
+    the group holds two blocks, only pairs across them are looked at. Agreements are a byte a pair, and only the open pairs of
+    one agreement are listed: a family of close copies has nearly all its pairs among the candidates.
     """
     cross = side.any() and not side.all()
-    candidates = []
+    ranks = signed.shape[1]
+    agree = np.zeros((len(sets), len(sets)), np.min_scalar_type(ranks))
     for a in range(len(sets) - 1):
-        agree = (signed[a + 1 :] == signed[a]).sum(axis=1)
-        near = np.flatnonzero((agree >= LEAST_AGREEING) & ((side[a + 1 :] != side[a]) | (not cross)))
-        candidates += [(-int(agree[b]), a, a + 1 + int(b)) for b in near]
+        agree[a, a + 1 :] = (signed[a + 1 :] == signed[a]).sum(axis=1) * ((side[a + 1 :] != side[a]) | (not cross))
     union, out = Union(len(sets)), []
-    for _, a, b in sorted(candidates):
-        if union.find(a) == union.find(b):
-            continue
-        x, y = sets[a], sets[b]
-        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-            continue
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        if 100 * common >= percent * (len(x) + len(y) - common):
-            union.join(a, b)
-            out.append((a, b))
+    for level in range(ranks, LEAST_AGREEING - 1, -1):
+        root = np.array([union.find(k) for k in range(len(sets))])
+        for a in np.flatnonzero((agree == level).any(axis=1)).tolist():
+            near = np.flatnonzero(agree[a] == level)
+            for b in near[root[near] != root[a]].tolist():
+                if union.find(a) == union.find(b):
+                    continue
+                x, y = sets[a], sets[b]
+                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                    continue
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    union.join(a, b)
+                    out.append((a, b))
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -51,6 +52,39 @@ def test_near_duplicates_equal_brute_force(spark, make):
     assert found == {k: (len(sets[k]), low[k]) for k in range(len(texts))}
 
 
+def copies_of_one_set(n):
+    """Sets that differ from one in a few values, and their signatures."""
+    rng = np.random.default_rng(5)
+    base, sets = rng.integers(0, 1 << 63, 200, dtype=np.uint64), []
+    for _ in range(n):
+        own = base.copy()
+        own[rng.choice(200, rng.integers(1, 20), replace=False)] = rng.integers(0, 1 << 63, 1, dtype=np.uint64)
+        sets.append(np.unique(own))
+    return sets, minhash.super_min_hash(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+
+
+def test_links_are_taken_by_falling_agreement():
+    sets, signed = copies_of_one_set(60)
+    for side in (np.arange(60) % 3 == 0, np.zeros(60, bool)):
+        pairs = [(a, b) for b in range(60) for a in range(b) if not side.any() or side[a] != side[b]]
+        agree = {p: int((signed[p[0]] == signed[p[1]]).sum()) for p in pairs}
+        low, expected = list(range(60)), []
+        for a, b in sorted((p for p in pairs if agree[p] >= minhash.LEAST_AGREEING), key=lambda p: (-agree[p], p)):
+            if low[a] != low[b] and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b])):
+                expected.append((a, b))
+                low = [low[a] if x == low[b] else x for x in low]
+        assert expected and minhash.linked(sets, signed, side, 80) == expected
+
+
+def test_a_large_family_takes_a_byte_a_pair():
+    sets, signed = copies_of_one_set(900)
+    tracemalloc.start()
+    found = minhash.linked(sets, signed, np.zeros(900, bool), 80)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(found) == 899 and peak < 8 << 20  # 404,550 candidates
+
+
 def test_families_larger_than_a_block(spark, make, monkeypatch):
     texts = family_texts()
     whole = rows(minhash.near_duplicates(make(texts), width=4))
