@@ -22,8 +22,8 @@ END_ID = 2
 #: Pieces of one length that are ordered together.
 BUCKET_ROWS = 100_000
 
-#: Words that a Python worker remembers with their ids; beyond it it starts over.
-CACHE_WORDS = 1_500_000
+#: Words that a Python worker remembers with their ids, about 70 bytes each; beyond it those that were met once go.
+CACHE_WORDS = 400_000
 
 #: Words of these characters only can skip the normaliser and the splitter: lower-casing is all they do to them.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]*)")
@@ -33,6 +33,12 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + n) for n, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
 
 
+def _taken(pool: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of a pool one after another, and where each begins then."""
+    begin = np.cumsum(size) - size
+    return pool[np.arange(size.sum()) + np.repeat(at - begin, size)], begin
+
+
 class WordTokens:
     """Token ids of whole texts, each distinct word tokenised once.
 
@@ -50,6 +56,17 @@ class WordTokens:
         self.keys, self.at, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
         self.text, self.text_at, self.text_size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.again = np.zeros(0, bool)
+
+    def _forget_rare(self) -> None:
+        """Keeps the words that were met again since the last time, or none if these alone would soon fill it."""
+        held = np.flatnonzero(self.again)
+        if 2 * len(held) > CACHE_WORDS:
+            return self._forget()
+        self.keys, self.count, self.text_size = self.keys[held], self.count[held], self.text_size[held]
+        self.pool, self.at = _taken(self.pool, self.at[held], self.count)
+        self.text, self.text_at = _taken(self.text, self.text_at[held], self.text_size)
+        self.again = np.zeros(len(held), bool)
 
     def word_ids(self, word: str) -> list[int]:
         if plain := _PLAIN.fullmatch(word):
@@ -65,8 +82,8 @@ class WordTokens:
         self.pool = np.concatenate([self.pool, np.array([i for x in ids for i in x], np.uint32)])
         self.text = np.concatenate([self.text, np.frombuffer(b"".join(new), np.uint8)])
         place = np.searchsorted(self.keys, keys)
-        held = ((self.keys, keys), (self.at, at), (self.count, count), (self.text_at, text_at), (self.text_size, size))
-        self.keys, self.at, self.count, self.text_at, self.text_size = (np.insert(a, place, b) for a, b in held)
+        held = ((self.keys, keys), (self.at, at), (self.count, count), (self.text_at, text_at), (self.text_size, size), (self.again, False))
+        self.keys, self.at, self.count, self.text_at, self.text_size, self.again = (np.insert(a, place, b) for a, b in held)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all documents of a slice, each closed by ``END_ID``, and the offsets of the documents in them.
@@ -77,9 +94,10 @@ class WordTokens:
         size = ends - starts
         keys, sample, inverse = np.unique(span_hashes(prefix_hashes(data), starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) + len(keys) > CACHE_WORDS:
-            self._forget()
+            self._forget_rare()
         place = np.searchsorted(self.keys, keys)
         known = self.keys[np.minimum(place, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        self.again[place[known]] = True
         raw = data.tobytes()
         if not known.all():
             fresh = np.flatnonzero(~known)

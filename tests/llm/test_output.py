@@ -53,6 +53,37 @@ def test_words_of_one_hash_keep_their_own_ids(spark, make):
     assert found == {(k, 0): [*own.encode(t, add_special_tokens=False).ids, packing.END_ID] for k, t in enumerate(texts * 2)}
 
 
+def slice_of(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+
+
+def test_a_worker_remembers_few_words_and_keeps_those_that_come_back(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 300)
+    with open(queries.vocabulary(), encoding="utf-8") as f:
+        tokens = packing.WordTokens(f.read())
+    own, learnt = tokenizer(), []
+    word_ids = tokens.word_ids
+    tokens.word_ids = lambda word: learnt.append(word) or word_ids(word)
+    for k in range(40):
+        common = "the common words, of every slice." if k % 4 < 3 else ""
+        texts = [f"{common} " + " ".join(f"w{n}x" for n in range(40 * k, 40 * k + 40)), common]
+        ids, bounds = tokens.encode(*slice_of(texts))
+        expected = [[*own.encode(t, add_special_tokens=False).ids, packing.END_ID] for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == expected
+        assert len(tokens.keys) <= 300
+    assert learnt.count("common") == 1 and learnt.count("w0x") == 1
+
+
+def test_a_worker_with_many_words_stays_small():
+    with open(queries.vocabulary(), encoding="utf-8") as f:
+        tokens = packing.WordTokens(f.read())
+    tokens.word_ids = lambda word: [1, 2, 3, 4]
+    for k in range(6):
+        tokens.encode(*slice_of([" ".join(f"w{n}" for n in range(100_000 * k, 100_000 * k + 100_000))]))
+    assert sum(a.nbytes for a in vars(tokens).values() if isinstance(a, np.ndarray)) < 32e6
+
+
 @pytest.mark.parametrize("sequence", [10, 64])
 def test_shortest_pack_first_places_every_piece_once(sequence):
     random.seed(sequence)
