@@ -7,20 +7,28 @@ from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
+from py4j.java_gateway import JavaObject
+from pyspark import RDD, SparkContext, StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.wrapper import JavaWrapper
+from pyspark.mllib.common import _py2java
+from pyspark.mllib.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerline.functions.numbers import half_even
+from ledgerline.operators.lloyd import Refined, point_blocks, refine
+from ledgerline.operators.stored import stored
 from ledgerline.sources.literals import segment_action_table, segment_label_table
 
-# Cluster counts tried, starts per count, seed, iterations.
+# Cluster counts tried, starts per count, seed, iterations, and the move of a centre that ends a fit.
 CLUSTER_RANGE = range(2, 9)
 STARTS = 10
 SEED = 42
 MAX_ITERATIONS = 300
+TOLERANCE = 1e-4
 
 #: Customers of one task of a fit. An iteration is a job of its own: with few customers in each of many tasks it only starts tasks.
 ROWS_PER_TASK = 50_000
@@ -28,21 +36,31 @@ ROWS_PER_TASK = 50_000
 RFM = ("recency_days", "frequency", "monetary")
 
 
+def customer_history(df: DataFrame) -> DataFrame:
+    """Last order, distinct orders and sales of every customer, the missing one included."""
+    return df.groupBy("customer_id").agg(
+        F.max("order_date").alias("last_order_date"),
+        F.countDistinct("order_id").alias("frequency"),
+        F.sum("sales").cast("double").alias("monetary"),
+    )
+
+
+def _rfm(history: DataFrame, last: DataFrame) -> DataFrame:
+    today = last.select(F.date_add("last_order_date", 1)).scalar()
+    return history.where(F.col("customer_id").isNotNull()).select(
+        "customer_id", F.datediff(today, "last_order_date").alias("recency_days"), "frequency", "monetary"
+    )
+
+
 def rfm(df: DataFrame) -> DataFrame:
     """Days since the last order, distinct orders and sales per customer, as of the day after the last order."""
-    today = df.agg(F.date_add(F.max("order_date"), 1))
-    return (
-        df.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(
-            F.max("order_date").alias("last_order_date"),
-            F.countDistinct("order_id").alias("frequency"),
-            F.sum("sales").cast("double").alias("monetary"),
-        )
-        .select(
-            "customer_id", F.datediff(today.scalar(), "last_order_date").alias("recency_days"), "frequency", "monetary"
-        )
-    )
+    return _rfm(customer_history(df), df.agg(F.max("order_date").alias("last_order_date")))
+
+
+def stored_rfm(df: DataFrame) -> DataFrame:
+    """As ``rfm``, kept for several readers: the lines are read once, for the last day too."""
+    history = stored(customer_history(df))
+    return _rfm(history, history.agg(F.max("last_order_date").alias("last_order_date")))
 
 
 def fit_scaling(rfm_rows: DataFrame) -> DataFrame:
@@ -64,9 +82,13 @@ def scale(rfm_rows: DataFrame, scaling: DataFrame | None = None) -> DataFrame:
     return rfm_rows.select("customer_id", *[z(c).alias(f"{c}_z") for c in RFM])
 
 
-def _vectors(scaled: DataFrame) -> DataFrame:
+def _assembled(scaled: DataFrame) -> DataFrame:
     assembler = VectorAssembler(inputCols=[f"{c}_z" for c in RFM], outputCol="features")
-    return assembler.transform(scaled).select("customer_id", "features")
+    return assembler.transform(scaled)
+
+
+def _vectors(scaled: DataFrame) -> DataFrame:
+    return _assembled(scaled).select("customer_id", "features")
 
 
 @dataclass
@@ -88,11 +110,34 @@ def packed(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
         spread.unpersist()
 
 
-def _fit(vectors: DataFrame, clusters: int, start: int) -> KMeansModel:
-    means = KMeans(
-        k=clusters, seed=SEED + start, maxIter=MAX_ITERATIONS, featuresCol="features", predictionCol="cluster"
+def _kmeans(clusters: int, start: int) -> KMeans:
+    return KMeans(
+        k=clusters, seed=SEED + start, maxIter=MAX_ITERATIONS, tol=TOLERANCE, featuresCol="features", predictionCol="cluster"
     )
-    return means.fit(vectors)
+
+
+def _rdd_of_vectors(blocks: RDD) -> JavaObject:
+    """The points as MLlib's vectors, cached in the executors: fits then decode no columns."""
+    vectors = blocks.flatMap(lambda points: map(Vectors.dense, points.T))
+    return _py2java(blocks.ctx, vectors).rdd().persist(blocks.ctx._getJavaStorageLevel(StorageLevel.MEMORY_AND_DISK_DESER))
+
+
+def _first_centres(vectors: JavaObject, clusters: int, start: int) -> np.ndarray:
+    """The centres that MLlib's k-means|| chooses for a start: a fit without iterations."""
+    means = SparkContext.getOrCreate()._jvm.org.apache.spark.mllib.clustering.KMeans
+    model = means.train(vectors, clusters, 0, "k-means||", SEED + start)
+    return np.array([list(c.toArray()) for c in model.clusterCenters()], np.float64)
+
+
+def _model(clusters: int, start: int, fit: Refined) -> KMeansModel:
+    """The fit as a model of MLlib: it assigns customers, is saved and loaded."""
+    context = SparkContext.getOrCreate()
+    centres = [_py2java(context, Vectors.dense(c)) for c in fit.centres]
+    vectors = JavaWrapper._new_java_array(centres, context._jvm.org.apache.spark.mllib.linalg.Vector)
+    parts = JavaWrapper._new_java_obj("org.apache.spark.mllib.clustering.KMeansModel", vectors, "euclidean", fit.cost, fit.iterations)
+    kmeans = _kmeans(clusters, start)
+    model = KMeansModel(JavaWrapper._new_java_obj("org.apache.spark.ml.clustering.KMeansModel", kmeans.uid, parts))
+    return kmeans._copyValues(model)
 
 
 def sweep_clusters(
@@ -100,22 +145,28 @@ def sweep_clusters(
 ) -> list[ClusterFit]:
     """For every cluster count the model with the lowest cost out of several seeded starts.
 
-    The fits are independent jobs over one cached frame and are submitted side by side; only costs,
-    scores and centres reach the driver.
+    The starts are independent jobs over one cached frame and are submitted side by side, as are the scores. All fits then
+    move together: a pass over all customers is one step of every fit that has not settled. Only costs, scores, sums per
+    cluster and centres reach the driver. Costs that agree to twelve digits are equal, and the first start wins.
     """
-    vectors = packed(_vectors(scaled))
+    vectors = packed(_assembled(scaled))
+    points = point_blocks(vectors.select(*[f"{c}_z" for c in RFM]))
+    seeded = _rdd_of_vectors(points)
     evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
     runs = [(k, start) for k in clusters for start in range(starts)]
     try:
         with ThreadPool(parallelism) as pool:
-            fit = inheritable_thread_target(vectors.sparkSession)(lambda run: _fit(vectors, *run))
-            models = dict(zip(runs, pool.map(fit, runs, chunksize=1)))
-        fits = []
-        for k in dict.fromkeys(k for k, _ in runs):
-            model = min((models[k, s] for s in range(starts)), key=lambda m: m.summary.trainingCost)
-            fits.append(ClusterFit(k, model, model.summary.trainingCost, evaluator.evaluate(model.transform(vectors))))
-        return fits
+            on_session = inheritable_thread_target(vectors.sparkSession)
+            seeded.count()
+            first = pool.map(on_session(lambda run: _first_centres(seeded, *run)), runs, chunksize=1)
+            fits = dict(zip(runs, refine(points, first, MAX_ITERATIONS, TOLERANCE)))
+            best = [min((r for r in runs if r[0] == k), key=lambda r: float(f"{fits[r].cost:.12g}")) for k in dict.fromkeys(k for k, _ in runs)]
+            models = [_model(*run, fits[run]) for run in best]
+            scores = pool.map(on_session(lambda model: evaluator.evaluate(model.transform(vectors))), models, chunksize=1)
+        return [ClusterFit(run[0], model, fits[run].cost, score) for run, model, score in zip(best, models, scores)]
     finally:
+        seeded.unpersist(False)
+        points.unpersist()
         vectors.unpersist()
 
 

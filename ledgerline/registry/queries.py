@@ -548,8 +548,17 @@ def eda_report(spark, directory):
 # Segmentation
 
 
+RFM_LINES = ["order_id", "customer_id", "order_date", "sales"]
+
+
 def _rfm(spark, directory):
-    return segmentation.rfm(lines(spark, directory, ["order_id", "customer_id", "order_date", "sales"]))
+    return segmentation.rfm(lines(spark, directory, RFM_LINES))
+
+
+def _shared_rfm(spark, directory):
+    """(the measures, their scaled values), stored: a sweep and what follows it read them many times."""
+    rows = segmentation.stored_rfm(lines(spark, directory, RFM_LINES))
+    return rows, stored(segmentation.scale(rows))
 
 
 def _fixed_clusters(spark, directory):
@@ -589,7 +598,7 @@ def segment_points(spark, directory):
 
 @query
 def k_sweep(spark, directory):
-    scaled = segmentation.scale(_rfm(spark, directory))
+    _, scaled = _shared_rfm(spark, directory)
     return segmentation.sweep_table(scaled, segmentation.sweep_clusters(scaled))
 
 

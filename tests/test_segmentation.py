@@ -3,10 +3,12 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans, KMeansModel
 from row_sets import rows
 
-from ledgerline.operators import segmentation
+from ledgerline.operators import lloyd, segmentation
 from ledgerline.sources.literals import SEGMENT_LABELS
 
 
@@ -68,3 +70,59 @@ def test_fits_run_in_as_few_tasks_as_the_customers_need(spark):
     assert few.rdd.getNumPartitions() == 4 and few.distinct().count() == 1000
     assert segmentation.packed(rows, rows_per_task=10).rdd.getNumPartitions() == 16
     assert segmentation.packed(rows.limit(0)).count() == 0
+
+
+Z = [f"{c}_z" for c in segmentation.RFM]
+
+
+def cloud(spark, count=900):
+    rng = np.random.Generator(np.random.PCG64(7))
+    points = rng.normal(0, 1, (count, 3)) + 1.5 * rng.integers(0, 3, (count, 1))
+    return spark.createDataFrame([(k, *map(float, p)) for k, p in enumerate(points)], "customer_id long, " + ", ".join(f"{z} double" for z in Z)).coalesce(1).cache()
+
+
+def test_shared_passes_end_where_single_fits_do(spark, tmp_path):
+    scaled = cloud(spark)
+    fits = segmentation.sweep_clusters(scaled, clusters=[2, 5], starts=3)
+    for fit in fits:
+        alone = [
+            KMeans(k=fit.clusters, seed=segmentation.SEED + s, maxIter=segmentation.MAX_ITERATIONS, predictionCol="cluster").fit(segmentation._vectors(scaled))
+            for s in range(3)
+        ]
+        best = min(alone, key=lambda m: m.summary.trainingCost)
+        assert fit.inertia == pytest.approx(best.summary.trainingCost, rel=1e-9)
+        assert np.allclose(fit.model.clusterCenters(), best.clusterCenters(), atol=1e-9)
+        fit.model.write().overwrite().save(str(tmp_path / "model"))
+        assigned = KMeansModel.load(str(tmp_path / "model")).transform(segmentation._vectors(scaled))
+        assert rows(assigned, "customer_id", "cluster") == rows(best.transform(segmentation._vectors(scaled)), "customer_id", "cluster")
+
+
+def test_a_pass_serves_all_fits(spark):
+    blocks = lloyd.point_blocks(cloud(spark).select(*Z))
+    starts = [np.array(blocks.first()[:, s : s + k].T) for k in (2, 3, 4) for s in range(0, 40, 5)]
+    spark.sparkContext.setJobGroup("refine", "passes of the fits")
+    try:
+        fits = lloyd.refine(blocks, starts, 300, 1e-4)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("refine"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs == 1 + max(f.iterations for f in fits) < sum(f.iterations for f in fits)
+    assert [f.cost for f in lloyd.refine(blocks, starts[:1], 300, 1e-4)] == pytest.approx([fits[0].cost], rel=1e-9)
+
+
+def test_equally_near_centres_and_centres_without_points(spark):
+    frame = spark.createDataFrame([(x, 0.0, 0.0) for x in (-1.0, 0.0, 1.0)], ", ".join(f"{z} double" for z in Z)).coalesce(1)
+    blocks = lloyd.point_blocks(frame)
+    near = np.array([[-1.0, 0, 0], [1.0, 0, 0], [50.0, 0, 0], [1.0, 0, 0]])
+    (sums,) = lloyd._sums(blocks.collect(), [near])
+    assert sums[:, 3].tolist() == [2, 1, 0, 0] and sums[:, 0].tolist() == [-1, 1, 0, 0]
+    (fit,) = lloyd.refine(blocks, [near], 300, 1e-4)
+    assert fit.centres[:, 0].tolist() == [-0.5, 1.0, 50.0, 1.0] and fit.cost == 0.5
+
+
+def test_stored_measures_are_the_same_and_count_lines_without_a_customer(spark):
+    df = spark.createDataFrame(
+        [(1, 10, dt.date(2024, 1, 1), 5.0), (1, 11, dt.date(2024, 1, 9), 1.0), (2, 12, dt.date(2024, 1, 3), 2.0), (None, 13, dt.date(2024, 2, 1), 1.0)],
+        "customer_id int, order_id int, order_date date, sales double",
+    )
+    assert rows(segmentation.stored_rfm(df)) == rows(segmentation.rfm(df)) == [(1, 24, 2, 6.0), (2, 30, 1, 2.0)]
