@@ -617,8 +617,7 @@ def cluster_scores(spark, directory):
 
 @query
 def kmeans_segments(spark, directory):
-    rows = _rfm(spark, directory)
-    scaled = segmentation.scale(rows)
+    rows, scaled = _shared_rfm(spark, directory)
     best = max(segmentation.sweep_clusters(scaled), key=lambda fit: fit.silhouette)
     return segmentation.label_customers(segmentation.assign_clusters(rows, scaled, best.model))
 
