@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -84,14 +84,20 @@ def with_load_time(df: DataFrame) -> DataFrame:
     return df.withColumn("created_at", F.current_timestamp())
 
 
-def order_summary(items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+def order_summary(
+    items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Inner star join of the four tables. Sizes choose the strategy: small dimensions are broadcast by
     their statistics, large ones are sort-merged with skewed partitions split.
 
     Customers join the orders, which are fewer than the items, and products join the items while these are narrow: no
     customer column is shuffled with the items. Further columns of the orders come last.
+
+    ``keep`` stores both sides of the last join one after the other (``stored_table``): the shuffles of one are gone before
+    those of the next are written, so the disk holds the largest step and not all of them.
     """
-    placed = join_per_key(orders, customers, ["customer_id"])
-    joined = join_per_key(join_per_key(items, products, ["product_id"]), placed, ["order_id"])
+    keep = keep or (lambda df: df)
+    placed = keep(join_per_key(orders, customers, ["customer_id"]))
+    joined = join_per_key(keep(join_per_key(items, products, ["product_id"])), placed, ["order_id"])
     further = [c for c in orders.columns if c not in SUMMARY_COLUMNS]
     return joined.select(*[c for c in SUMMARY_COLUMNS if c in joined.columns], *further)

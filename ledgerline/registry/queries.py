@@ -189,11 +189,11 @@ def _clean_keyed(spark, directory):
 
 def summary(spark, directory, profiled: bool = False):
     clean = _clean_keyed(spark, directory)
-    items, orders = normalize.order_items(clean), normalize.order_headers(clean)
+    items, orders, keep = normalize.order_items(clean), normalize.order_headers(clean), None
     if profiled:
-        orders = features.profiled_orders(stored_table(orders), items)
+        orders, keep = features.profiled_orders(stored_table(orders), items), stored_table
     return normalize.order_summary(
-        normalize.number_items(items), orders, normalize.customers(clean), normalize.products(clean)
+        normalize.number_items(items), orders, normalize.customers(clean), normalize.products(clean), keep
     )
 
 

@@ -1,13 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from row_sets import rows
 from pyspark.sql import functions as F
 
-from ledgerline.operators import features, forecasting
+from ledgerline.operators import features, forecasting, normalize
 from ledgerline.operators.radix import with_chunks
+from ledgerline.operators.stored import CLEAN_UP, stored_table
+from ledgerline.registry import queries
 
 
 def expected_history(data):
@@ -169,3 +173,32 @@ def test_stored_tables_are_read_by_column(spark):
     plan = kept.select("name")._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "double_id" not in plan.split("ReadSchema")[1]
     assert stored_table(wide.limit(0)).count() == 0
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {file.name for folder in folders for file in Path(str(folder)).rglob("shuffle_*")}
+
+
+def test_shuffle_files_go_with_the_step_that_is_stored(spark):
+    known, setting = shuffle_files(spark), spark.conf.get(CLEAN_UP)
+    frame = spark.range(1000).repartition(8, "id").groupBy((F.col("id") % 10).alias("k")).count()
+    stored = stored_table(frame)
+    until = time.time() + 20
+    while shuffle_files(spark) - known and time.time() < until:  # they are removed in the background
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - known
+    assert rows(stored) == rows(frame) == [(k, 100) for k in range(10)]
+    assert spark.conf.get(CLEAN_UP) == setting
+
+
+def test_a_kept_summary_has_the_rows_of_one_plan(spark, small):
+    clean = queries._clean_keyed(spark, small)
+    tables = [normalize.number_items(normalize.order_items(clean)), *(f(clean) for f in (normalize.order_headers, normalize.customers, normalize.products))]
+    kept = []
+
+    def keep(df):
+        kept.append(stored_table(df))
+        return kept[-1]
+
+    assert rows(normalize.order_summary(*tables, keep)) == rows(normalize.order_summary(*tables)) and len(kept) == 2
